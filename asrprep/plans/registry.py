@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from asrprep.plans import curation_queries
+from asrprep.plans import curation_queries, prep_queries
 
-_MODULES = [curation_queries]
+_MODULES = [curation_queries, prep_queries]
 
 
 def queries() -> dict:
