@@ -41,8 +41,12 @@ def _literal_list(s: str):
 
 @F.pandas_udf(CORRECTIONS)
 def _strict_parse_fn(raw: pd.Series) -> pd.Series:
-    # rows that the JSON reader already handled arrive as null and are skipped cheaply
-    return raw.map(lambda s: None if s is None else _literal_list(s))
+    # rows that the JSON reader already handled arrive as null and are skipped without a Python call
+    out = pd.Series([None] * len(raw), dtype="object")
+    todo = raw.notna()
+    if todo.any():
+        out[todo] = raw[todo].map(_literal_list)
+    return out
 
 
 # Marked non-deterministic on purpose: it is an optimizer barrier, so filters inferred further up

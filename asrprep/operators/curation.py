@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from asrprep.functions import corrections as corr
 from asrprep.functions.similarity import similarity as similarity_expr
 from asrprep.functions.text import WORD, words
+from asrprep.operators.joins import checked_broadcast
 
 PURE_WORD = f"^{WORD}$"
 
@@ -91,7 +92,7 @@ def full_transcripts(df: DataFrame, audio_col: str = "audio_id", order_col: str
 
 def appears_in_transcript(chunks: DataFrame, occurrences: DataFrame, audio_col: str = "audio_id",
                           text_col: str = "transcription", order_col: str = "order",
-                          tie_cols: list[str] = ()) -> DataFrame:
+                          tie_cols: list[str] = (), pin: bool = True) -> DataFrame:
     """Distinct ``(audio_id, correct)`` with ``appears`` = correct is a substring of the lower-cased
     full transcript of the recording, for non-empty words of non-null recordings (the empty word
     always appears; any other word never appears for a null recording id: the caller handles both)."""
@@ -103,16 +104,29 @@ def appears_in_transcript(chunks: DataFrame, occurrences: DataFrame, audio_col:
     tokens = (chunks.where(F.col(audio_col).isNotNull())
               .select(audio_col, F.explode(words(F.col(text_col), lower=True)).alias("tok"))
               .distinct())
-    hit_whole = pure.join(tokens.withColumnRenamed("tok", "correct"), [audio_col, "correct"], "left_semi")
-    rest = pure.join(tokens.withColumnRenamed("tok", "correct"), [audio_col, "correct"], "left_anti")
+    if pin:  # read by two joins; computed once
+        tokens = tokens.checkpoint(eager=True)
+    # one left join marks the words that occur as a whole word of the recording
+    marked = pure.join(tokens.select(audio_col, F.col("tok").alias("correct"), F.lit(True).alias("_whole")),
+                       [audio_col, "correct"], "left")
+    hit_whole = marked.where(F.col("_whole")).select(audio_col, "correct")
+    rest = marked.where(F.col("_whole").isNull()).select(audio_col, "correct")
     # substrings of the recording's words, only of the lengths still asked for in that recording
+    # (linear in the text: at most one substring per character and asked-for length); fed straight
+    # into a semi join, which needs no distinct
     lens = rest.select(audio_col, F.length("correct").alias("L")).distinct()
+    # positions exploded first, then a plain substring: no lambda, so it stays in generated code
     subs = (tokens.join(lens, audio_col)
             .where(F.length("tok") > F.col("L"))
-            .select(audio_col, F.explode(F.transform(F.sequence(F.lit(1), F.length("tok") - F.col("L") + 1),
-                                                     lambda j: F.substring(F.col("tok"), j, F.col("L")))).alias("correct"))
-            .distinct())
-    hit_sub = rest.join(subs, [audio_col, "correct"], "left_semi")
+            .select(audio_col, "tok", "L", F.explode(F.sequence(F.lit(1), F.length("tok") - F.col("L") + 1)).alias("j"))
+            .select(audio_col, F.expr("substring(tok, j, L)").alias("correct")))
+    # probe the substrings against the remaining words: the words are the build side (broadcast when
+    # a count shows they are small), so the substrings are never shuffled in that case
+    if pin:
+        rest = rest.checkpoint(eager=True)
+        hit_sub = subs.join(checked_broadcast(rest), [audio_col, "correct"], "left_semi").distinct()
+    else:
+        hit_sub = rest.join(subs, [audio_col, "correct"], "left_semi")
 
     # words with non-word characters: containment in the joined transcript of those recordings only
     needing = other.select(audio_col).distinct()
@@ -136,7 +150,7 @@ def flag_rule(pair_frequency: Column, similarity: Column, known: Column, appears
 
 @dataclass
 class Curation:
-    rows: DataFrame        # input + corrections_list, n_corrections, n_flagged, verdict, reject_reason, approved
+    rows: DataFrame        # input + n_corrections, n_flagged, approved, reject_reason, verdict
     audit: DataFrame       # one row per correction with every criterion and the flag
     kept: DataFrame        # rows judged KEEP, transcription rewritten, other columns untouched
     removed: DataFrame     # rows judged REMOVE
@@ -145,10 +159,28 @@ class Curation:
     pair_stats: DataFrame
 
 
+def parse_once(df: DataFrame, key_cols: list[str], audio_col: str, corrections_col: str,
+               pin: bool = True) -> DataFrame:
+    """The narrow occurrence table every later step reads: one row per correction (key, recording,
+    pos, lower-cased wrong/correct) plus one marker row per unparsable row (``malformed``).
+
+    Pinned with a reliable checkpoint in the shared checkpoint folder: the literal parse (with its
+    Python fallback) runs once, the later branches read the pinned table, and the lineage is cut.
+    """
+    parsed = with_parsed_corrections(df.select(*key_cols, audio_col, corrections_col), corrections_col,
+                                     "_list")
+    occ = (parsed.select(*key_cols, audio_col, F.col("_list").isNull().alias("malformed"),
+                         F.posexplode_outer("_list").alias("pos", "c"))
+           .where(F.col("c").isNotNull() | F.col("malformed"))
+           .select(*key_cols, audio_col, "malformed", "pos",
+                   F.lower(F.col("c.wrong")).alias("wrong"), F.lower(F.col("c.correct")).alias("correct")))
+    return occ.checkpoint(eager=True) if pin else occ
+
+
 def curate(df: DataFrame, key_cols: list[str], audio_col: str = "audio_id", order_col: str = "order",
            text_col: str = "transcription", corrections_col: str = "corrections",
            min_pair_freq: int = 2, similarity_threshold: float = 0.7, min_word_freq: int = 3,
-           metric: str = "sequence", remove_share: float = 0.5) -> Curation:
+           metric: str = "sequence", remove_share: float = 0.5, pin: bool = True) -> Curation:
     """Judge every row's corrections and rewrite the kept rows.
 
     A row is removed when flagged / max(1, n) > ``remove_share`` (strict). Word and pair statistics
@@ -156,12 +188,12 @@ def curate(df: DataFrame, key_cols: list[str], audio_col: str = "audio_id", orde
     with ``malformed_corrections`` and contribute to no pair statistic.
     """
     key_cols = list(key_cols)
-    parsed = with_parsed_corrections(df, corrections_col, "corrections_list")
-    good = parsed.where(F.col("corrections_list").isNotNull())
-    occ = correction_occurrences(good, key_cols, "corrections_list", [audio_col])
+    occ_all = parse_once(df, key_cols, audio_col, corrections_col, pin)
+    occ = occ_all.where(~F.col("malformed")).drop("malformed")
+    bad = occ_all.where(F.col("malformed")).select(*key_cols, F.lit(True).alias("_malformed"))
     wf = word_frequency(df, text_col)
     stats = pair_statistics(occ, wf, min_word_freq, metric)
-    appears = appears_in_transcript(df, occ, audio_col, text_col, order_col, key_cols)
+    appears = appears_in_transcript(df, occ, audio_col, text_col, order_col, key_cols, pin)
 
     audit = (occ.join(stats, ["wrong", "correct"], "inner")
              .join(appears, [audio_col, "correct"], "left")
@@ -176,19 +208,24 @@ def curate(df: DataFrame, key_cols: list[str], audio_col: str = "audio_id", orde
                .agg(F.count(F.lit(1)).alias("n_corrections"),
                     F.sum(F.col("flagged").cast("long")).alias("n_flagged"),
                     F.array_sort(F.collect_list(F.when(~F.col("flagged"), F.struct(
-                        F.col("pos"), F.col("wrong"), F.col("correct"))))).alias("_approved")))
+                        F.col("pos"), F.col("wrong"), F.col("correct"))))).alias("_approved"),
+                    F.lit(None).cast("boolean").alias("_malformed"))
+               .unionByName(bad.select(*key_cols, F.lit(None).cast("long").alias("n_corrections"),
+                                       F.lit(None).cast("long").alias("n_flagged"),
+                                       F.lit(None).cast("array<struct<pos:int,wrong:string,correct:string>>").alias("_approved"),
+                                       "_malformed")))
 
-    rows = (parsed.join(per_row, key_cols, "left")
+    approved = F.coalesce(F.col("_approved"), F.array().cast("array<struct<pos:int,wrong:string,correct:string>>"))
+    rows = (df.join(per_row, key_cols, "left")
             .withColumn("n_corrections", F.coalesce(F.col("n_corrections"), F.lit(0)).cast("long"))
             .withColumn("n_flagged", F.coalesce(F.col("n_flagged"), F.lit(0)).cast("long"))
-            .withColumn("reject_reason", F.when(F.col("corrections_list").isNull(), F.lit("malformed_corrections")))
+            .withColumn("reject_reason", F.when(F.col("_malformed"), F.lit("malformed_corrections")))
             .withColumn("verdict", F.when(F.col("reject_reason").isNotNull(), F.lit("REJECT"))
                         .when(F.col("n_flagged") / F.greatest(F.lit(1), F.col("n_corrections")) > F.lit(remove_share),
                               F.lit("REMOVE"))
-                        .otherwise(F.lit("KEEP"))))
-
-    approved = F.coalesce(F.col("_approved"), F.array().cast("array<struct<pos:int,wrong:string,correct:string>>"))
-    rows = rows.withColumn("approved", approved).drop("_approved")
+                        .otherwise(F.lit("KEEP")))
+            .withColumn("approved", approved)
+            .drop("_approved", "_malformed"))
     kept = (rows.where(F.col("verdict") == "KEEP")
             .withColumn(text_col, corr.apply_in_order(F.col(text_col), F.col("approved"))))
     return Curation(rows=rows, audit=audit, kept=kept,

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from asrprep.functions.corrections import parse_corrections
+from asrprep.functions.similarity import similarity
 from asrprep.operators import curation as cur
 from asrprep.plans.stand_ins import CHUNK_COLS, CHUNK_KEYS, chunks, table
 
@@ -24,9 +25,13 @@ def known_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cur.known_words(word_frequency(spark, sf_dir), min_word_freq=3)
 
 
+def _occurrences(spark, sf_dir):
+    occ = cur.parse_once(chunks(spark, sf_dir), CHUNK_KEYS, "conv_id", "corrections")
+    return occ.where(~F.col("malformed"))
+
+
 def correction_pair_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parsed = cur.with_parsed_corrections(chunks(spark, sf_dir))
-    return cur.correction_pair_frequency(cur.correction_occurrences(parsed, CHUNK_KEYS))
+    return cur.correction_pair_frequency(_occurrences(spark, sf_dir))
 
 
 def parse_corrections_q(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,9 +46,7 @@ def full_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _pairs(spark, sf_dir, metric):
-    parsed = cur.with_parsed_corrections(chunks(spark, sf_dir))
-    pairs = cur.correction_pair_frequency(cur.correction_occurrences(parsed, CHUNK_KEYS))
-    from asrprep.functions.similarity import similarity
+    pairs = cur.correction_pair_frequency(_occurrences(spark, sf_dir))
     return pairs.select("wrong", "correct", F.round(similarity("wrong", "correct", metric), 6).alias("similarity"))
 
 
