@@ -193,9 +193,13 @@ def curate(df: DataFrame, key_cols: list[str], audio_col: str = "audio_id", orde
     bad = occ_all.where(F.col("malformed")).select(*key_cols, F.lit(True).alias("_malformed"))
     wf = word_frequency(df, text_col)
     stats = pair_statistics(occ, wf, min_word_freq, metric)
+    if pin:  # similarity (a Python UDF for 'sequence') computed once per distinct pair
+        stats = stats.checkpoint(eager=True)
     appears = appears_in_transcript(df, occ, audio_col, text_col, order_col, key_cols, pin)
 
-    audit = (occ.join(stats, ["wrong", "correct"], "inner")
+    # a hot pair would skew a shuffle join on (wrong, correct): broadcast the distinct-pair table
+    # when its counted size allows
+    audit = (occ.join(checked_broadcast(stats) if pin else stats, ["wrong", "correct"], "inner")
              .join(appears, [audio_col, "correct"], "left")
              .withColumn("appears_in_full_transcription",
                          (F.length("correct") == 0) | F.coalesce(F.col("appears"), F.lit(False)))

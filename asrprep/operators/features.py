@@ -212,3 +212,35 @@ def log_mel_from_samples(df: DataFrame, id_col: str, samples_col: str, sample_ra
 
     out = df.select(F.col(id_col), F.col(samples_col)).mapInPandas(run, _features_schema(id_type, summary))
     return out.withColumnRenamed("id", id_col)
+
+
+def fetch_audio(df: DataFrame, id_col: str, location_col: str, loader, tries: int = 3, delay: float = 5.0) -> DataFrame:
+    """Load each row's audio bytes with an injected ``loader(location) -> bytes``: up to ``tries``
+    attempts ``delay`` seconds apart; after the last failure the row carries ``error`` instead of
+    bytes (and later becomes an ``audio_missing`` reject). One loader per task."""
+    import time as _time
+
+    id_type = df.schema[id_col].dataType.simpleString()
+    schema = f"{id_col} {id_type}, {location_col} string, audio binary, attempts int, error string"
+
+    def run(batches):
+        for pdf in batches:
+            audio, att, err = [], [], []
+            for loc in pdf[location_col]:
+                data, last, n = None, None, 0
+                for n in range(1, tries + 1):
+                    try:
+                        data = loader(loc)
+                        last = None
+                        break
+                    except Exception as e:  # noqa: BLE001 - retried, then recorded
+                        last = f"{type(e).__name__}: {e}"
+                        if n < tries and delay:
+                            _time.sleep(delay)
+                audio.append(data)
+                att.append(n)
+                err.append(last)
+            yield pd.DataFrame({id_col: pdf[id_col], location_col: pdf[location_col], "audio": audio,
+                                "attempts": pd.array(att, dtype="Int32"), "error": err})
+
+    return df.select(id_col, F.col(location_col).cast("string").alias(location_col)).mapInPandas(run, schema)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from asrprep.functions.text import words as words_expr
+from asrprep.operators.joins import checked_broadcast
 from asrprep.operators.ordering import with_global_index
 
 # Special tokens and ids, and the loss-masking pad label.
@@ -37,7 +38,9 @@ def encode(df: DataFrame, vocab: DataFrame, key_cols: list[str], text_col: str =
     """``out_col`` = [bos] + word ids (unknown words -> unk) + [eos] for every row."""
     toks = (df.select(*key_cols, F.posexplode_outer(words_expr(F.col(text_col), lower=lower_case)).alias("p", "word"))
             .where(F.col("word").isNotNull()))
-    joined = toks.join(vocab.select("word", "id"), "word", "left")
+    # hot words ("the") would skew a shuffle join on the word: broadcast the vocabulary when its
+    # counted size allows, else the shuffle join with AQE skew splitting
+    joined = toks.join(checked_broadcast(vocab.select("word", "id")), "word", "left")
     per_row = (joined.groupBy(*key_cols)
                .agg(F.array_sort(F.collect_list(F.struct("p", F.coalesce("id", F.lit(UNK_ID)).alias("id")))).alias("_ids")))
     ids = F.coalesce(F.transform("_ids", lambda s: s["id"]), F.array().cast("array<int>"))
@@ -55,7 +58,7 @@ def decode(df: DataFrame, vocab: DataFrame, key_cols: list[str], labels_col: str
     ids = F.transform(labels_col, lambda x: F.when(x == IGNORE_INDEX, F.lit(PAD_ID)).otherwise(x))
     toks = (df.select(*key_cols, F.posexplode_outer(F.filter(ids, lambda x: x >= N_SPECIAL)).alias("p", "id"))
             .where(F.col("id").isNotNull()))
-    joined = toks.join(vocab.select("word", "id"), "id", "left")
+    joined = toks.join(checked_broadcast(vocab.select("word", "id")), "id", "left")
     per_row = (joined.groupBy(*key_cols)
                .agg(F.array_sort(F.collect_list(F.struct("p", F.coalesce("word", F.lit(UNK)).alias("w")))).alias("_w")))
     return (df.select(*key_cols).join(per_row, key_cols, "left")

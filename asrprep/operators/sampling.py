@@ -45,6 +45,12 @@ def train_eval_split(df: DataFrame, value_col: str, frac: float = 0.7, seed: int
             .unionByName(evals.withColumn("split", F.lit("eval"))))
 
 
+def train_test_split(df: DataFrame, key_col: str, test_size: float = 0.1, seed: int = 42) -> DataFrame:
+    """``split`` = 'test' for keys whose seeded hash falls below ``test_size``, else 'train'."""
+    return df.withColumn("split", F.when(seeded_unit(seed, key_col) < F.lit(test_size), F.lit("test"))
+                         .otherwise(F.lit("train")))
+
+
 def sample_k(df: DataFrame, key_col: str, k: int, seed: int = 42) -> DataFrame:
     """``k`` rows without replacement: smallest ``md5(seed:key)`` (top-k per partition, then merged)."""
     return df.orderBy(seeded_md5(seed, key_col), F.col(key_col)).limit(k)

@@ -19,6 +19,8 @@ _LOCAL_DEFAULTS = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # audio rows are large: bound Arrow batches by bytes as well as by rows
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(64 << 20),
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

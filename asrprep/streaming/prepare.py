@@ -56,3 +56,32 @@ def prepared_rows(spark: SparkSession, out_dir: str) -> DataFrame:
 def processed_ids(spark: SparkSession, out_dir: str, id_col: str = "id") -> DataFrame:
     """The ledger: ids present in the output (exactly the committed ones)."""
     return prepared_rows(spark, out_dir).select(id_col).distinct()
+
+
+def run_label():
+    """Wall-clock run label ``yyyyMMdd_HHmmss`` (the same for every row of a query)."""
+    return F.date_format(F.current_timestamp(), "yyyyMMdd_HHmmss")
+
+
+def prepare_batch(spark: SparkSession, manifest: DataFrame, out_dir: str, id_col: str = "id",
+                  text_col: str = "transcription", sample_size="Full", lower_case: bool = False,
+                  remove_punct: bool = False, rows_per_file: int = 1000) -> DataFrame:
+    """Batch form of the resumable job: skip ids already in the output, take ``sample_size`` of the
+    rest (after dropping null text), prepare, and append good rows and rejects under a ``run``
+    partition. Re-running after a crash redoes only what was not committed; the ledger is the
+    output itself (``processed_ids``)."""
+    from asrprep.operators.manifest import select_backlog
+
+    good_dir = os.path.join(out_dir, "good")
+    try:
+        done = spark.read.parquet(good_dir).select(id_col)
+    except Exception:  # noqa: BLE001 - first run: no output yet
+        done = spark.createDataFrame([], manifest.select(id_col).schema)
+    todo = select_backlog(manifest, done, id_col, text_col, sample_size)
+    prepared = prepare_text(todo, text_col, lower_case, remove_punct).withColumn("run", run_label())
+    prepared = prepared.checkpoint(eager=True)  # one evaluation feeds both writes
+    (prepared.where(F.col("reject_reason").isNull()).drop("reject_reason")
+     .write.mode("append").option("maxRecordsPerFile", str(rows_per_file)).partitionBy("run").parquet(good_dir))
+    (prepared.where(F.col("reject_reason").isNotNull()).select(id_col, "reject_reason", "run")
+     .write.mode("append").partitionBy("run").parquet(os.path.join(out_dir, "rejects")))
+    return prepared

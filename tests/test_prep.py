@@ -344,3 +344,47 @@ def test_stream_resume_and_new_file(spark, tmp_dir):
     assert len(ids) == 25 and len(set(ids)) == 25
     rejects = spark.read.parquet(os.path.join(out, "rejects")).collect()
     assert [(r.id, r.reject_reason) for r in rejects] == [(99, "text_blank")]
+
+
+def test_batch_prepare_resumes(spark, tmp_dir):
+    m = spark.createDataFrame([(i, f"u{i}", f" t{i} ") for i in range(10)] + [(50, "u", None), (51, "u", " ")],
+                              "id long, new_audio_url string, transcription string")
+    out = os.path.join(tmp_dir, "batch")
+    stream.prepare_batch(spark, m, out, sample_size=4)
+    assert stream.processed_ids(spark, out).count() == 4
+    stream.prepare_batch(spark, m, out, sample_size="Full")
+    ids = sorted(r.id for r in stream.processed_ids(spark, out).collect())
+    assert ids == list(range(10))
+    stream.prepare_batch(spark, m, out)
+    assert stream.prepared_rows(spark, out).count() == 10  # nothing new, nothing duplicated
+
+
+class FlakyLoader:
+    def __init__(self):
+        self.n = {}
+
+    def __call__(self, loc):
+        self.n[loc] = self.n.get(loc, 0) + 1
+        if loc == "bad":
+            raise IOError("gone")
+        if self.n[loc] < 2:
+            raise IOError("timeout")
+        return _wav()
+
+
+def test_fetch_audio_with_retries(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "bad")], "id long, url string").coalesce(1)
+    out = {r.id: r for r in features.fetch_audio(df, "id", "url", FlakyLoader(), tries=3, delay=0).collect()}
+    assert out[1].attempts == 2 and out[1].error is None and len(out[1].audio) > 44
+    assert out[2].attempts == 3 and out[2].audio is None and "gone" in out[2].error
+    feats = features.log_mel_features(features.fetch_audio(df, "id", "url", FlakyLoader(), delay=0), "id", "audio",
+                                      summary=True)
+    got = {r.id: r.reject_reason for r in feats.collect()}
+    assert got == {1: None, 2: "audio_missing"}
+
+
+def test_train_test_split_disjoint_complete(spark):
+    df = spark.range(0, 2000).withColumnRenamed("id", "k")
+    s = sampling.train_test_split(df, "k", 0.1)
+    c = {r.split: r["count"] for r in s.groupBy("split").count().collect()}
+    assert c["train"] + c["test"] == 2000 and 120 < c["test"] < 280
