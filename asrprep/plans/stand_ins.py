@@ -21,13 +21,15 @@ from pyspark.sql import functions as F
 
 from asrprep.functions.corrections import corrections_literal
 from asrprep.functions.text import words
+from asrprep.operators.partitioning import ensure_parallelism
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    """A driver table; spread over the session's parallelism when the file is a single split."""
+    return ensure_parallelism(spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet")))
 
 
 def _rotate(w):
