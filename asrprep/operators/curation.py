@@ -116,6 +116,8 @@ def appears_in_transcript(chunks: DataFrame, occurrences: DataFrame, audio_col:
     # into a semi join, which needs no distinct
     lens = rest.select(audio_col, F.length("correct").alias("L")).distinct()
     # positions exploded first, then a plain substring: no lambda, so it stays in generated code
+    if pin:  # the partitioned word table drives the generation; the small length table is the build side
+        lens = checked_broadcast(lens.checkpoint(eager=True))
     subs = (tokens.join(lens, audio_col)
             .where(F.length("tok") > F.col("L"))
             .select(audio_col, "tok", "L", F.explode(F.sequence(F.lit(1), F.length("tok") - F.col("L") + 1)).alias("j"))

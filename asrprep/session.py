@@ -13,6 +13,9 @@ from pyspark.sql import SparkSession
 _LOCAL_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # CPU-heavy row work (regex folds, substring generation) follows small shuffles: do not merge
+    # them below 256 KB, or a few MB of text end up in one task (no effect on large partitions)
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # runtime-measured broadcast: AQE turns a shuffle join into a broadcast join only when the
     # materialised small side is below this size, otherwise the shuffle join stays
