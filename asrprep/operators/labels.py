@@ -35,34 +35,33 @@ def build_vocab(df: DataFrame, text_col: str = "transcription", lower_case: bool
 
 def encode(df: DataFrame, vocab: DataFrame, key_cols: list[str], text_col: str = "transcription",
            lower_case: bool = False, add_bos: bool = True, add_eos: bool = True, out_col: str = "labels") -> DataFrame:
-    """``out_col`` = [bos] + word ids (unknown words -> unk) + [eos] for every row."""
-    toks = (df.select(*key_cols, F.posexplode_outer(words_expr(F.col(text_col), lower=lower_case)).alias("p", "word"))
-            .where(F.col("word").isNotNull()))
+    """``out_col`` = [bos] + word ids (unknown words -> unk) + [eos] for every row.
+
+    ``posexplode_outer`` keeps rows without words as one null token, so the regrouping covers every
+    row and no join back to the input is needed."""
+    toks = df.select(*key_cols, F.posexplode_outer(words_expr(F.col(text_col), lower=lower_case)).alias("p", "word"))
     # hot words ("the") would skew a shuffle join on the word: broadcast the vocabulary when its
     # counted size allows, else the shuffle join with AQE skew splitting
     joined = toks.join(checked_broadcast(vocab.select("word", "id")), "word", "left")
-    per_row = (joined.groupBy(*key_cols)
-               .agg(F.array_sort(F.collect_list(F.struct("p", F.coalesce("id", F.lit(UNK_ID)).alias("id")))).alias("_ids")))
-    ids = F.coalesce(F.transform("_ids", lambda s: s["id"]), F.array().cast("array<int>"))
+    item = F.when(F.col("word").isNotNull(), F.struct("p", F.coalesce("id", F.lit(UNK_ID)).alias("id")))
+    per_row = joined.groupBy(*key_cols).agg(F.array_sort(F.collect_list(item)).alias("_ids"))
+    ids = F.transform("_ids", lambda s: s["id"])
     if add_bos:
         ids = F.concat(F.array(F.lit(BOS_ID)), ids)
     if add_eos:
         ids = F.concat(ids, F.array(F.lit(EOS_ID)))
-    return (df.select(*key_cols).join(per_row, key_cols, "left")
-            .select(*key_cols, ids.cast("array<int>").alias(out_col)))
+    return per_row.select(*key_cols, ids.cast("array<int>").alias(out_col))
 
 
 def decode(df: DataFrame, vocab: DataFrame, key_cols: list[str], labels_col: str = "labels",
            out_col: str = "text") -> DataFrame:
     """Ids back to text: ``-100`` first mapped to pad, special ids skipped, words joined by one space."""
     ids = F.transform(labels_col, lambda x: F.when(x == IGNORE_INDEX, F.lit(PAD_ID)).otherwise(x))
-    toks = (df.select(*key_cols, F.posexplode_outer(F.filter(ids, lambda x: x >= N_SPECIAL)).alias("p", "id"))
-            .where(F.col("id").isNotNull()))
+    toks = df.select(*key_cols, F.posexplode_outer(F.filter(ids, lambda x: x >= N_SPECIAL)).alias("p", "id"))
     joined = toks.join(checked_broadcast(vocab.select("word", "id")), "id", "left")
-    per_row = (joined.groupBy(*key_cols)
-               .agg(F.array_sort(F.collect_list(F.struct("p", F.coalesce("word", F.lit(UNK)).alias("w")))).alias("_w")))
-    return (df.select(*key_cols).join(per_row, key_cols, "left")
-            .select(*key_cols, F.coalesce(F.array_join(F.transform("_w", lambda s: s["w"]), " "), F.lit("")).alias(out_col)))
+    item = F.when(F.col("id").isNotNull(), F.struct("p", F.coalesce("word", F.lit(UNK)).alias("w")))
+    per_row = joined.groupBy(*key_cols).agg(F.array_sort(F.collect_list(item)).alias("_w"))
+    return per_row.select(*key_cols, F.array_join(F.transform("_w", lambda s: s["w"]), " ").alias(out_col))
 
 
 def collate(df: DataFrame, batch_col: str = "batch_id", labels_col: str = "labels", start_id: int = BOS_ID,

@@ -232,9 +232,9 @@ def build_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _vocab(spark, sf_dir)
 
 
-def _encoded(spark, sf_dir):
+def _encoded(spark, sf_dir, vocab=None):
     d = table(spark, sf_dir, "documents")
-    return labels.encode(d, _vocab(spark, sf_dir), ["doc_id"], "text")
+    return labels.encode(d, vocab if vocab is not None else _vocab(spark, sf_dir), ["doc_id"], "text")
 
 
 def _ids_string(c):
@@ -247,7 +247,8 @@ def encode_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def decode_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return labels.decode(_encoded(spark, sf_dir), _vocab(spark, sf_dir), ["doc_id"], "labels", "text")
+    vocab = _vocab(spark, sf_dir)
+    return labels.decode(_encoded(spark, sf_dir, vocab), vocab, ["doc_id"], "labels", "text")
 
 
 def collate_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
