@@ -42,7 +42,36 @@ def get_spark(master: str | None = None, app: str = "asrprep", shuffle_partition
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    return prepare_session(spark)
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``asrprep`` importable in Python workers (UDFs and ``mapInPandas`` functions refer to
+    it by module): zip the package once and add it with ``addPyFile``, as ``--py-files`` would."""
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    import zipfile
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="asrprep-pyfiles-"), "asrprep.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _dirs, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    sc.addPyFile(out)
+    _SHIPPED.add(key)
+
+
+def prepare_session(spark: SparkSession) -> SparkSession:
+    """Everything a session needs before running this library's jobs."""
     checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
