@@ -75,19 +75,31 @@ def pair_statistics(occurrences: DataFrame, word_freq: DataFrame, min_word_freq:
 
 
 def full_transcripts(df: DataFrame, audio_col: str = "audio_id", order_col: str = "order",
-                     text_col: str = "transcription", tie_cols: list[str] = ()) -> DataFrame:
+                     text_col: str = "transcription", tie_cols: list[str] = (), bucket_width: int = 1024) -> DataFrame:
     """Chunk texts of each recording joined by one space in chunk order; null texts skipped; null
     order last; ties by ``tie_cols``. Rows with a null recording id form no group.
 
-    One output string per recording: the group is bounded by one recording's text.
+    Two levels, so a recording with very many chunks is not one aggregation group: chunks are first
+    joined inside order ranges of ``bucket_width`` (a hot recording spreads over many groups and
+    tasks), then each recording joins its ordered pieces (one per range). The result is one string
+    per recording by definition.
     """
+    bucket = F.when(F.col(order_col).isNull(), F.lit(None)).otherwise(F.floor(F.col(order_col) / F.lit(bucket_width)))
     parts = F.struct(F.col(order_col).isNull().alias("o_null"), F.col(order_col).alias("o"),
                      *[F.col(c).alias(f"t{i}") for i, c in enumerate(tie_cols)],
                      F.col(text_col).cast("string").alias("text"))
-    return (df.where(F.col(audio_col).isNotNull())
-            .groupBy(audio_col)
-            .agg(F.array_sort(F.collect_list(parts)).alias("_parts"))
-            .select(audio_col, F.concat_ws(" ", F.transform("_parts", lambda p: p["text"])).alias("full_transcription")))
+    pieces = (df.where(F.col(audio_col).isNotNull())
+              .withColumn("_b", bucket.cast("long"))
+              .groupBy(audio_col, "_b")
+              .agg(F.array_sort(F.collect_list(parts)).alias("_parts"),
+                   F.count(F.col(text_col)).alias("_n"))
+              .select(audio_col, "_b",
+                      F.when(F.col("_n") > 0, F.concat_ws(" ", F.transform("_parts", lambda p: p["text"])))
+                      .alias("_piece")))
+    ordered = F.struct(F.col("_b").isNull().alias("b_null"), F.col("_b").alias("b"), F.col("_piece").alias("piece"))
+    return (pieces.groupBy(audio_col)
+            .agg(F.array_sort(F.collect_list(ordered)).alias("_pieces"))
+            .select(audio_col, F.concat_ws(" ", F.transform("_pieces", lambda p: p["piece"])).alias("full_transcription")))
 
 
 def appears_in_transcript(chunks: DataFrame, occurrences: DataFrame, audio_col: str = "audio_id",

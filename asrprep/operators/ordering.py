@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from asrprep.operators.joins import checked_broadcast
+
 _PID_SHIFT = 33  # monotonically_increasing_id = partition index << 33 | record number in partition
 
 
@@ -60,6 +62,6 @@ def with_group_index(df: DataFrame, group_by: list[str], order_by: list, index_c
     """
     gi = with_global_index(df, list(group_by) + list(order_by), "_gidx", num_partitions)
     starts = gi.groupBy(*group_by).agg(F.min("_gidx").alias("_gstart"))
-    return (gi.join(starts, list(group_by), "inner")
+    return (gi.join(checked_broadcast(starts), list(group_by), "inner")
             .withColumn(index_col, (F.col("_gidx") - F.col("_gstart")).cast("long"))
             .drop("_gidx", "_gstart"))

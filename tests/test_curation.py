@@ -210,3 +210,12 @@ def test_similarity_udf_runs_on_distinct_pairs(spark):
     assert "BatchEvalPython" not in plan
     sim_eval = [i for i in range(len(plan)) if plan.startswith("ArrowEvalPython [_sequence_ratio", i)]
     assert len(sim_eval) == 1 and sim_eval[0] < plan.index("HashAggregate")
+
+
+def test_full_transcripts_two_levels(spark):
+    # more chunks than one order range, null texts and a null order, tiny ranges to force many pieces
+    rows = [(i, "R", i, (None if i % 7 == 0 else f"w{i}"), "[]") for i in range(1, 60)] + [(100, "R", None, "last", "[]")]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = cur.full_transcripts(df, tie_cols=["row_id"], bucket_width=5).collect()[0].full_transcription
+    expected = " ".join([f"w{i}" for i in range(1, 60) if i % 7 != 0] + ["last"])
+    assert got == expected
