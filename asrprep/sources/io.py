@@ -13,7 +13,8 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str, na_tokens
     """CSV with a header, quoted multi-line fields and an explicit schema. Only the empty field is
     null unless ``na_tokens`` lists more strings to treat as missing."""
     df = (spark.read.schema(schema).option("header", "true").option("multiLine", "true")
-          .option("escape", '"').option("mode", "PERMISSIVE").csv(path))
+          .option("escape", '"').option("mode", "PERMISSIVE")
+          .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(path))
     if na_tokens:
         for f in df.schema.fields:
             if f.dataType.simpleString() == "string":
@@ -23,7 +24,8 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str, na_tokens
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Header, no index column; an empty result still writes its header."""
-    df.write.mode(mode).option("header", "true").option("escape", '"').csv(path)
+    (df.write.mode(mode).option("header", "true").option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(path))
 
 
 def write_features(df: DataFrame, path: str, rows_per_file: int = 1000, mode: str = "append",
@@ -41,9 +43,10 @@ def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).json(path)
 
 
-def read_ledger_json(spark: SparkSession, path: str) -> DataFrame:
-    """Import a ``{"processed_ids": [...]}`` checkpoint file as an ``(id)`` table."""
-    raw = spark.read.option("multiLine", "true").json(path)
+def read_ledger_json(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Import ``{"processed_ids": [...]}`` checkpoint objects (one per line, any number of lines and
+    files) as a distinct ``(id)`` table; ``multi_line`` for one pretty-printed object per file."""
+    raw = spark.read.option("multiLine", str(multi_line).lower()).json(path)
     return raw.select(F.explode("processed_ids").alias("id")).distinct()
 
 

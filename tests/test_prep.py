@@ -388,3 +388,19 @@ def test_train_test_split_disjoint_complete(spark):
     s = sampling.train_test_split(df, "k", 0.1)
     c = {r.split: r["count"] for r in s.groupBy("split").count().collect()}
     assert c["train"] + c["test"] == 2000 and 120 < c["test"] < 280
+
+
+def test_feature_sink_rows_per_file(spark, tmp_dir):
+    df = spark.range(0, 2500).withColumn("labels", F.array(F.col("id").cast("int")))
+    path = os.path.join(tmp_dir, "features")
+    aio.write_features(df.coalesce(1), path, rows_per_file=1000)
+    files = [f for f in os.listdir(path) if f.endswith(".parquet")]
+    assert len(files) == 3 and spark.read.parquet(path).count() == 2500
+    assert any("snappy" in f for f in files)
+
+
+def test_ledger_pretty_printed_file(spark, tmp_dir):
+    f = os.path.join(tmp_dir, "pretty.json")
+    with open(f, "w") as fh:
+        fh.write('{\n  "processed_ids": [\n    1,\n    2\n  ]\n}\n')
+    assert sorted(r.id for r in aio.read_ledger_json(spark, f, multi_line=True).collect()) == [1, 2]
