@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_ROWS = 2_000_000
+# a bound in rows on tables of short keys (words, word pairs, ids): ~100 bytes a row -> ~100 MB
+DEFAULT_MAX_ROWS = 1_000_000
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
