@@ -67,20 +67,43 @@ def mel_filters(n_mels: int = 80, n_fft: int = N_FFT, sr: int = SAMPLE_RATE) ->
 
 
 def log_mel(samples: np.ndarray, n_mels: int = 80, filters: np.ndarray | None = None) -> np.ndarray:
-    """(n_mels, 3000) float32 log-Mel of the first 30 s, zero-padded."""
-    x = np.zeros(N_SAMPLES, dtype=np.float64)
+    """(n_mels, 3000) float32 log-Mel of the first 30 s, zero-padded.
+
+    Frames lying wholly in the zero padding after the signal have zero power, hence the floor value
+    log10(1e-10) = -10 before the dynamic-range clamp; only frames that touch the signal are
+    transformed (the same result as transforming all of them, at a fraction of the cost for short
+    clips).
+    """
     s = np.asarray(samples, dtype=np.float64)[:N_SAMPLES]
+    x = np.zeros(N_SAMPLES, dtype=np.float64)
     x[:len(s)] = s
     pad = N_FFT // 2
     xp = np.pad(x, (pad, pad), mode="reflect")
-    n_frames = 1 + (len(xp) - N_FFT) // HOP
-    idx = np.arange(N_FFT)[None, :] + HOP * np.arange(n_frames)[:, None]
+    n_frames = 1 + (len(xp) - N_FFT) // HOP - 1  # the last frame is dropped
+    # frame t covers xp[t*HOP : t*HOP + N_FFT] = x[t*HOP - pad : ...]; zero once t*HOP - pad >= len(s)
+    active = min(n_frames, (len(s) + pad) // HOP + 1)
+    idx = np.arange(N_FFT)[None, :] + HOP * np.arange(active)[:, None]
     window = 0.5 - 0.5 * np.cos(2 * np.pi * np.arange(N_FFT) / N_FFT)  # periodic Hann
     spec = np.fft.rfft(xp[idx] * window, axis=1)
-    power = (np.abs(spec) ** 2).T[:, :-1]
+    power = (np.abs(spec) ** 2).T
     fb = filters if filters is not None else mel_filters(n_mels)
-    mel = fb @ power
-    logm = np.log10(np.maximum(mel, 1e-10))
+    logm = np.full((fb.shape[0], n_frames), -10.0)
+    logm[:, :active] = np.log10(np.maximum(fb @ power, 1e-10))
+    logm = np.maximum(logm, logm.max() - 8.0)
+    return ((logm + 4.0) / 4.0).astype(np.float32)
+
+
+def log_mel_reference(samples: np.ndarray, n_mels: int = 80) -> np.ndarray:
+    """Every frame transformed (no shortcut); used to check :func:`log_mel`."""
+    x = np.zeros(N_SAMPLES, dtype=np.float64)
+    s = np.asarray(samples, dtype=np.float64)[:N_SAMPLES]
+    x[:len(s)] = s
+    xp = np.pad(x, (N_FFT // 2, N_FFT // 2), mode="reflect")
+    n = 1 + (len(xp) - N_FFT) // HOP
+    idx = np.arange(N_FFT)[None, :] + HOP * np.arange(n)[:, None]
+    window = 0.5 - 0.5 * np.cos(2 * np.pi * np.arange(N_FFT) / N_FFT)
+    power = (np.abs(np.fft.rfft(xp[idx] * window, axis=1)) ** 2).T[:, :-1]
+    logm = np.log10(np.maximum(mel_filters(n_mels) @ power, 1e-10))
     logm = np.maximum(logm, logm.max() - 8.0)
     return ((logm + 4.0) / 4.0).astype(np.float32)
 

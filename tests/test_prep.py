@@ -404,3 +404,12 @@ def test_ledger_pretty_printed_file(spark, tmp_dir):
     with open(f, "w") as fh:
         fh.write('{\n  "processed_ids": [\n    1,\n    2\n  ]\n}\n')
     assert sorted(r.id for r in aio.read_ledger_json(spark, f, multi_line=True).collect()) == [1, 2]
+
+
+@pytest.mark.parametrize("n", [0, 1, 64, 159, 160, 1000, 16000, 16000 * 29 + 7, 16000 * 31])
+def test_log_mel_shortcut_equals_full_transform(n):
+    x = np.random.default_rng(n).standard_normal(n) * 0.1
+    a = features.log_mel(x)
+    b = features.log_mel_reference(x)
+    assert a.shape == b.shape == (80, 3000)
+    np.testing.assert_allclose(a, b, rtol=0, atol=1e-6)
