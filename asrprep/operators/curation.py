@@ -129,7 +129,8 @@ def appears_in_transcript(chunks: DataFrame, occurrences: DataFrame, audio_col:
     lens = rest.select(audio_col, F.length("correct").alias("L")).distinct()
     # positions exploded first, then a plain substring: no lambda, so it stays in generated code
     if pin:  # the partitioned word table drives the generation; the small length table is the build side
-        lens = checked_broadcast(lens.checkpoint(eager=True))
+        rest = rest.checkpoint(eager=True)
+        lens = checked_broadcast(rest.select(audio_col, F.length("correct").alias("L")).distinct())
     subs = (tokens.join(lens, audio_col)
             .where(F.length("tok") > F.col("L"))
             .select(audio_col, "tok", "L", F.explode(F.sequence(F.lit(1), F.length("tok") - F.col("L") + 1)).alias("j"))
@@ -137,7 +138,6 @@ def appears_in_transcript(chunks: DataFrame, occurrences: DataFrame, audio_col:
     # probe the substrings against the remaining words: the words are the build side (broadcast when
     # a count shows they are small), so the substrings are never shuffled in that case
     if pin:
-        rest = rest.checkpoint(eager=True)
         hit_sub = subs.join(checked_broadcast(rest), [audio_col, "correct"], "left_semi").distinct()
     else:
         hit_sub = rest.join(subs, [audio_col, "correct"], "left_semi")
