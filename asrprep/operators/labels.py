@@ -75,7 +75,8 @@ def collate(df: DataFrame, batch_col: str = "batch_id", labels_col: str = "label
     width = F.max(F.size(labels_col)).over(w)
     all_start = F.min(F.coalesce((F.try_element_at(labels_col, F.lit(1)) == F.lit(start_id)).cast("int"), F.lit(0))).over(w) == 1
     padded = F.concat(F.col(labels_col), F.array_repeat(F.lit(pad_label), (F.col("_width") - F.size(labels_col)).cast("int")))
-    out = (df.withColumn("_width", width).withColumn("_cut", all_start)
+    # both window expressions in one projection: one Window operator, one exchange
+    out = (df.select("*", width.alias("_width"), all_start.alias("_cut"))
            .withColumn(labels_col, padded)
            .withColumn(labels_col, F.when(F.col("_cut"), F.slice(labels_col, 2, F.col("_width"))).otherwise(F.col(labels_col)))
            .withColumn("width", (F.col("_width") - F.col("_cut").cast("int")).cast("long"))
