@@ -29,6 +29,7 @@ from asrprep.functions import corrections as corr
 from asrprep.functions.similarity import similarity as similarity_expr
 from asrprep.functions.text import WORD, words
 from asrprep.operators.joins import checked_broadcast
+from asrprep.session import pin as pin_df
 
 PURE_WORD = f"^{WORD}$"
 
@@ -117,7 +118,7 @@ def appears_in_transcript(chunks: DataFrame, occurrences: DataFrame, audio_col:
               .select(audio_col, F.explode(words(F.col(text_col), lower=True)).alias("tok"))
               .distinct())
     if pin:  # read by two joins; computed once
-        tokens = tokens.checkpoint(eager=True)
+        tokens = pin_df(tokens)
     # one left join marks the words that occur as a whole word of the recording
     marked = pure.join(tokens.select(audio_col, F.col("tok").alias("correct"), F.lit(True).alias("_whole")),
                        [audio_col, "correct"], "left")
@@ -129,7 +130,7 @@ def appears_in_transcript(chunks: DataFrame, occurrences: DataFrame, audio_col:
     lens = rest.select(audio_col, F.length("correct").alias("L")).distinct()
     # positions exploded first, then a plain substring: no lambda, so it stays in generated code
     if pin:  # the partitioned word table drives the generation; the small length table is the build side
-        rest = rest.checkpoint(eager=True)
+        rest = pin_df(rest)
         lens = checked_broadcast(rest.select(audio_col, F.length("correct").alias("L")).distinct())
     subs = (tokens.join(lens, audio_col)
             .where(F.length("tok") > F.col("L"))
@@ -188,7 +189,7 @@ def parse_once(df: DataFrame, key_cols: list[str], audio_col: str, corrections_c
            .where(F.col("c").isNotNull() | F.col("malformed"))
            .select(*key_cols, audio_col, "malformed", "pos",
                    F.lower(F.col("c.wrong")).alias("wrong"), F.lower(F.col("c.correct")).alias("correct")))
-    return occ.checkpoint(eager=True) if pin else occ
+    return pin_df(occ) if pin else occ
 
 
 def curate(df: DataFrame, key_cols: list[str], audio_col: str = "audio_id", order_col: str = "order",
@@ -208,7 +209,7 @@ def curate(df: DataFrame, key_cols: list[str], audio_col: str = "audio_id", orde
     wf = word_frequency(df, text_col)
     stats = pair_statistics(occ, wf, min_word_freq, metric)
     if pin:  # similarity (a Python UDF for 'sequence') computed once per distinct pair
-        stats = stats.checkpoint(eager=True)
+        stats = pin_df(stats)
     appears = appears_in_transcript(df, occ, audio_col, text_col, order_col, key_cols, pin)
 
     # a hot pair would skew a shuffle join on (wrong, correct): broadcast the distinct-pair table

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from asrprep.operators.joins import checked_broadcast
+from asrprep.session import pin
 
 _PID_SHIFT = 33  # monotonically_increasing_id = partition index << 33 | record number in partition
 
@@ -34,7 +35,7 @@ def with_global_index(df: DataFrame, order_by: list, index_col: str = "idx",
     ordered = df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
     # reliable checkpoint: written to the shared checkpoint folder, cuts lineage, and fixes the
     # partition contents for both passes (and survives the loss of an executor)
-    pinned = ordered.checkpoint(eager=True)
+    pinned = pin(ordered)
     mid = F.monotonically_increasing_id()
     tagged = (pinned.withColumn("_mid", mid)
               .withColumn("_pid", F.shiftright("_mid", _PID_SHIFT).cast("int")))

@@ -24,6 +24,8 @@ _LOCAL_DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # audio rows are large: bound Arrow batches by bytes as well as by rows
     "spark.sql.execution.arrow.maxBytesPerBatch": str(64 << 20),
+    # pinned (checkpointed) intermediates are deleted once nothing references them
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -92,6 +94,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def pin(df):
+    """Reliable checkpoint into the shared checkpoint folder: computes ``df`` once, cuts its
+    lineage, and survives the loss of executors (never a local checkpoint)."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     root = checkpoint_dir(spark)

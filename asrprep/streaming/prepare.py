@@ -11,10 +11,11 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from asrprep.operators.manifest import prepare_text
+from asrprep.session import pin
 
 
 def prepare_stream(spark: SparkSession, source_dir: str, out_dir: str, checkpoint: str, id_col: str = "id",
@@ -65,11 +66,12 @@ def run_label():
 
 def prepare_batch(spark: SparkSession, manifest: DataFrame, out_dir: str, id_col: str = "id",
                   text_col: str = "transcription", sample_size="Full", lower_case: bool = False,
-                  remove_punct: bool = False, rows_per_file: int = 1000) -> DataFrame:
+                  remove_punct: bool = False, rows_per_file: int = 1000):
     """Batch form of the resumable job: skip ids already in the output, take ``sample_size`` of the
     rest (after dropping null text), prepare, and append good rows and rejects under a ``run``
     partition. Re-running after a crash redoes only what was not committed; the ledger is the
-    output itself (``processed_ids``)."""
+    output itself (``processed_ids``). Returns the prepared rows and the run counters
+    (``rows``, ``good``, ``text_blank``)."""
     from asrprep.operators.manifest import select_backlog
 
     good_dir = os.path.join(out_dir, "good")
@@ -79,9 +81,14 @@ def prepare_batch(spark: SparkSession, manifest: DataFrame, out_dir: str, id_col
         done = spark.createDataFrame([], manifest.select(id_col).schema)
     todo = select_backlog(manifest, done, id_col, text_col, sample_size)
     prepared = prepare_text(todo, text_col, lower_case, remove_punct).withColumn("run", run_label())
-    prepared = prepared.checkpoint(eager=True)  # one evaluation feeds both writes
+    # run counters gathered while the rows are computed (no extra job)
+    counters = Observation("prepare_batch")
+    prepared = prepared.observe(counters, F.count(F.lit(1)).alias("rows"),
+                                F.count_if(F.col("reject_reason").isNull()).alias("good"),
+                                F.count_if(F.col("reject_reason") == "text_blank").alias("text_blank"))
+    prepared = pin(prepared)  # one evaluation feeds both writes
     (prepared.where(F.col("reject_reason").isNull()).drop("reject_reason")
      .write.mode("append").option("maxRecordsPerFile", str(rows_per_file)).partitionBy("run").parquet(good_dir))
     (prepared.where(F.col("reject_reason").isNotNull()).select(id_col, "reject_reason", "run")
      .write.mode("append").partitionBy("run").parquet(os.path.join(out_dir, "rejects")))
-    return prepared
+    return prepared, counters.get

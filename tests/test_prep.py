@@ -350,8 +350,9 @@ def test_batch_prepare_resumes(spark, tmp_dir):
     m = spark.createDataFrame([(i, f"u{i}", f" t{i} ") for i in range(10)] + [(50, "u", None), (51, "u", " ")],
                               "id long, new_audio_url string, transcription string")
     out = os.path.join(tmp_dir, "batch")
-    stream.prepare_batch(spark, m, out, sample_size=4)
+    _, counters = stream.prepare_batch(spark, m, out, sample_size=4)
     assert stream.processed_ids(spark, out).count() == 4
+    assert counters == {"rows": 4, "good": 4, "text_blank": 0}
     stream.prepare_batch(spark, m, out, sample_size="Full")
     ids = sorted(r.id for r in stream.processed_ids(spark, out).collect())
     assert ids == list(range(10))
