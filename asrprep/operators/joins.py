@@ -11,8 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# a bound in rows on tables of short keys (words, word pairs, ids): ~100 bytes a row -> ~100 MB
-DEFAULT_MAX_ROWS = 1_000_000
+# a bound in rows on tables of short keys (words, word pairs, ids): at ~60 bytes a row about
+# 12 MB, the order of Spark's own broadcast default; every task builds the hash table from it
+DEFAULT_MAX_ROWS = 200_000
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
