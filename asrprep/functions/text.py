@@ -5,8 +5,10 @@ All of these are built-in Spark expressions, so they stay inside whole-stage cod
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # The characters Python's ``str.isspace`` / ``str.strip()`` / Unicode ``\s`` treat as
 # whitespace (Java's ``trim`` strips only U+0020 and control chars, and ``\s`` is ASCII-only).
@@ -61,16 +63,24 @@ def clean_transcription(text, lower_case: bool = False, remove_punct: bool = Fal
     return t
 
 
-def normalize_for_scoring(text) -> Column:
+@F.pandas_udf(StringType())
+def _nfkc(s: pd.Series) -> pd.Series:
+    return s.str.normalize("NFKC")
+
+
+def normalize_for_scoring(text, nfkc: bool = False) -> Column:
     """Basic scoring normaliser: lower-case, drop ``[..]``/``<..>`` and ``(..)`` spans, turn marks,
     symbols and punctuation into spaces, collapse whitespace runs to one space.
 
-    NFKC folding is not applied (Spark has no built-in for it); text that is already NFKC, which is
-    what transcripts are in practice, gives the same result.
+    ``nfkc=True`` also applies Unicode NFKC folding (ligatures, full-width forms) before the symbol
+    step, through an Arrow-batched pandas UDF (Spark has no built-in for it). Text that is already
+    NFKC, which is what transcripts are in practice, gives the same result without it.
     """
     t = F.lower(_c(text))
     t = F.regexp_replace(t, r"[<\[][^>\]]*[>\]]", "")
     t = F.regexp_replace(t, r"\(([^)]+?)\)", "")
+    if nfkc:
+        t = _nfkc(t)
     t = F.regexp_replace(t, r"[\p{M}\p{S}\p{P}]", " ")
     t = F.lower(t)
     return F.regexp_replace(t, f"{WS}+", " ")

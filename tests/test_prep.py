@@ -451,3 +451,14 @@ def test_stream_replayed_batch_is_not_duplicated(spark, tmp_dir):
     stream.prepare_stream(spark, os.path.join(src, "*"), out, ckpt, schema=m.schema)
     ids = [r.id for r in stream.prepared_rows(spark, out).collect()]
     assert sorted(ids) == list(range(30))
+
+
+def test_normalizer_nfkc_option(spark):
+    import unicodedata
+    texts = ["ﬁnal Ｔｅｘｔ ①", "café", "x²"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r.n for r in df.select(normalize_for_scoring("t", nfkc=True).alias("n")).collect()]
+    for t, g in zip(texts, got):
+        s = t.lower()
+        s = "".join(" " if unicodedata.category(c)[0] in "MSP" else c for c in unicodedata.normalize("NFKC", s)).lower()
+        assert g == re.sub(r"\s+", " ", s)
