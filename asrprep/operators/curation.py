@@ -125,19 +125,20 @@ def appears_in_transcript(chunks: DataFrame, occurrences: DataFrame, audio_col:
     hit_whole = marked.where(F.col("_whole")).select(audio_col, "correct")
     rest = marked.where(F.col("_whole").isNull()).select(audio_col, "correct")
     # substrings of the recording's words, only of the lengths still asked for in that recording
-    # (linear in the text: at most one substring per character and asked-for length); fed straight
-    # into a semi join, which needs no distinct
+    # (linear in the text: at most one substring per character and asked-for length)
+    if pin:
+        rest = pin_df(rest)
     lens = rest.select(audio_col, F.length("correct").alias("L")).distinct()
-    # positions exploded first, then a plain substring: no lambda, so it stays in generated code
     if pin:  # the partitioned word table drives the generation; the small length table is the build side
-        rest = pin_df(rest)
-        lens = checked_broadcast(rest.select(audio_col, F.length("correct").alias("L")).distinct())
+        lens = checked_broadcast(lens)
+    # positions exploded first, then a plain substring: no lambda, so it stays in generated code
     subs = (tokens.join(lens, audio_col)
             .where(F.length("tok") > F.col("L"))
             .select(audio_col, "tok", "L", F.explode(F.sequence(F.lit(1), F.length("tok") - F.col("L") + 1)).alias("j"))
             .select(audio_col, F.expr("substring(tok, j, L)").alias("correct")))
     # probe the substrings against the remaining words: the words are the build side (broadcast when
-    # a count shows they are small), so the substrings are never shuffled in that case
+    # a count shows they are small), so the substrings are not shuffled in that case; a semi join
+    # needs no distinct on the probe side
     if pin:
         hit_sub = subs.join(checked_broadcast(rest), [audio_col, "correct"], "left_semi").distinct()
     else:
@@ -196,7 +197,8 @@ def curate(df: DataFrame, key_cols: list[str], audio_col: str = "audio_id", orde
            text_col: str = "transcription", corrections_col: str = "corrections",
            min_pair_freq: int = 2, similarity_threshold: float = 0.7, min_word_freq: int = 3,
            metric: str = "sequence", remove_share: float = 0.5, pin: bool = True) -> Curation:
-    """Judge every row's corrections and rewrite the kept rows.
+    """Judge every row's corrections and rewrite the kept rows. ``key_cols`` must identify a row
+    (unique, non-null); the original has no row key, so the caller names one.
 
     A row is removed when flagged / max(1, n) > ``remove_share`` (strict). Word and pair statistics
     include rows that are later removed. Rows with an unparsable correction literal are rejected
