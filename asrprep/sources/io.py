@@ -68,10 +68,10 @@ def read_audio_files(spark: SparkSession, path: str, glob: str | None = None, re
 
 
 def read_audio_dataset(spark: SparkSession, path: str, split: str | None = None) -> DataFrame:
-    """Audio dataset stored as Parquet partitioned by ``split``; the audio stays encoded bytes."""
-    df = spark.read.schema(schemas.AUDIO_DATASET).parquet(path) if split is None else \
-        spark.read.parquet(path).where(F.col("split") == split)
-    return df
+    """Audio dataset stored as Parquet partitioned by ``split`` (``split=train/...``); the audio
+    stays encoded bytes. Selecting a split prunes the other split directories."""
+    df = spark.read.schema(schemas.AUDIO_DATASET).parquet(path)
+    return df if split is None else df.where(F.col("split") == split)
 
 
 def read_stream_parquet(spark: SparkSession, path: str, schema: StructType, max_files_per_trigger: int = 1) -> DataFrame:

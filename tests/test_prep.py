@@ -462,3 +462,15 @@ def test_normalizer_nfkc_option(spark):
         s = t.lower()
         s = "".join(" " if unicodedata.category(c)[0] in "MSP" else c for c in unicodedata.normalize("NFKC", s)).lower()
         assert g == re.sub(r"\s+", " ", s)
+
+
+def test_audio_dataset_split_pruning(spark, tmp_dir):
+    rows = [(i, (_wav(), f"{i}.wav"), f"t{i}", "train" if i % 4 else "test") for i in range(8)]
+    df = spark.createDataFrame(rows, "id long, audio struct<bytes:binary,path:string>, transcription string, split string")
+    path = os.path.join(tmp_dir, "audio_ds")
+    df.write.partitionBy("split").parquet(path)
+    test = aio.read_audio_dataset(spark, path, "test")
+    assert sorted(r.id for r in test.collect()) == [0, 4]
+    assert "PartitionFilters: [isnotnull(split" in test._jdf.queryExecution().executedPlan().toString()
+    feats = features.log_mel_features(test.select("id", F.col("audio.bytes").alias("audio")), "id", "audio", summary=True)
+    assert all(r.reject_reason is None and r.n_frames == 3000 for r in feats.collect())
