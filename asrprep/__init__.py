@@ -4,6 +4,6 @@ Public functions take and return ``DataFrame`` / ``Column`` objects. Thresholds
 arguments whose defaults are the values the original scripts use.
 """
 
-from asrprep.session import get_spark, checkpoint_dir
+from asrprep.session import checkpoint_dir, get_spark, pin, prepare_session
 
-__all__ = ["get_spark", "checkpoint_dir"]
+__all__ = ["get_spark", "prepare_session", "checkpoint_dir", "pin"]

@@ -55,7 +55,7 @@ def enrich(df: DataFrame, key_col: str, value_col: str, client, out_col: str = "
                         out[j] = g
                 for j, g in enumerate(out):
                     res.append(g)
-                    att.append(a)
+                    att.append(0 if chunk[j] is None else a)
                     if chunk[j] is None:
                         err.append("value_missing")
                     elif g is None:

@@ -474,3 +474,10 @@ def test_audio_dataset_split_pruning(spark, tmp_dir):
     assert "PartitionFilters: [isnotnull(split" in test._jdf.queryExecution().executedPlan().toString()
     feats = features.log_mel_features(test.select("id", F.col("audio.bytes").alias("audio")), "id", "audio", summary=True)
     assert all(r.reject_reason is None and r.n_frames == 3000 for r in feats.collect())
+
+
+def test_enrich_null_values(spark):
+    df = spark.createDataFrame([(1, "a"), (2, None)], "id long, path string").coalesce(1)
+    out = {r.id: r for r in enrich(df, "id", "path", HashSigner(), backoff=None).collect()}
+    assert out[1].attempts == 1 and out[1].error is None
+    assert out[2].attempts == 0 and out[2].result is None and out[2].error == "value_missing"
