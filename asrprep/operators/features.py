@@ -271,3 +271,27 @@ def fetch_audio(df: DataFrame, id_col: str, location_col: str, loader, tries: in
                                 "attempts": pd.array(att, dtype="Int32"), "error": err})
 
     return df.select(id_col, F.col(location_col).cast("string").alias(location_col)).mapInPandas(run, schema)
+
+
+def wav_bytes(samples, rate: int = SAMPLE_RATE):
+    """Column: 16-bit mono PCM WAV bytes of an array of float samples in [-1, 1]."""
+    from pyspark.sql.types import BinaryType
+
+    @F.pandas_udf(BinaryType())
+    def _encode(col: pd.Series) -> pd.Series:
+        out = []
+        for s in col:
+            if s is None:
+                out.append(None)
+                continue
+            pcm = (np.clip(np.asarray(s, dtype=np.float64), -1.0, 1.0) * 32767).astype("<i2")
+            buf = io.BytesIO()
+            with wave.open(buf, "wb") as w:
+                w.setnchannels(1)
+                w.setsampwidth(2)
+                w.setframerate(rate)
+                w.writeframes(pcm.tobytes())
+            out.append(buf.getvalue())
+        return pd.Series(out, dtype="object")
+
+    return _encode(F.col(samples) if isinstance(samples, str) else samples)

@@ -282,6 +282,15 @@ def log_mel(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.round("feat_max", 4).alias("feat_max"))
 
 
+def wav_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The embedding values stored as 8 kHz 16-bit WAV objects, then decoded, resampled to 16 kHz
+    and turned into log-Mel features (the full decode path)."""
+    e = table(spark, sf_dir, "embeddings")
+    audio = e.select("vec_id", features.wav_bytes("embedding", rate=8000).alias("audio"))
+    return features.log_mel_features(audio, "vec_id", "audio", summary=True).select(
+        "vec_id", "input_length", "n_mels", "n_frames", "reject_reason")
+
+
 # ---- streaming -------------------------------------------------------------------------------
 
 
@@ -348,6 +357,8 @@ ORACLES = {
         SELECT doc_id, batch_id, array_to_string(CASE WHEN cut THEN padded[2:] ELSE padded END, ',') AS labels,
                (wd - cut::INTEGER)::BIGINT AS width FROM p""",
     "audio_seconds": "SELECT vec_id, len(embedding)::DOUBLE / 16000 AS input_length FROM embeddings",
+    "wav_features": """SELECT vec_id, (2 * len(embedding))::DOUBLE / 16000 AS input_length, 80 AS n_mels,
+                              3000 AS n_frames, NULL::VARCHAR AS reject_reason FROM embeddings""",
     "stream_prepare": f"""SELECT doc_id, {_sql_strip('text')} AS text, n_chars FROM documents
         WHERE text IS NOT NULL AND length({_sql_strip('text')}) > 0""",
 }
@@ -377,6 +388,7 @@ QUERIES = {
     "collate_batches": collate_batches,
     "audio_seconds": audio_seconds,
     "log_mel": log_mel,
+    "wav_features": wav_features,
     "stream_prepare": stream_prepare,
 }
 
