@@ -1,22 +1,38 @@
 """Size-checked broadcast.
 
 ``broadcast()`` is only safe for a side whose size is bounded. When the bound is not known from
-the data model, the side is counted first (an action on a small, usually pinned table) and
-broadcast only below ``max_rows``; otherwise the join stays a shuffle join (where AQE may still
-switch to a broadcast from measured shuffle sizes, or split skewed partitions).
+the data model, the side is measured first (one aggregate over a small, usually pinned table:
+row count and bytes of its string/binary values) and broadcast only when the estimated size is
+below ``max_bytes``; otherwise the join stays a shuffle join (where AQE may still switch to a
+broadcast from measured shuffle sizes, or split skewed partitions).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType
 
-# a bound in rows on tables of short keys (words, word pairs, ids): at ~60 bytes a row about
-# 12 MB, the order of Spark's own broadcast default; every task builds the hash table from it
-DEFAULT_MAX_ROWS = 200_000
+# Every task builds the hash table from a broadcast side, so the bound is of the order of Spark's
+# own broadcast default rather than of executor memory.
+DEFAULT_MAX_BYTES = 16 << 20
+DEFAULT_MAX_ROWS = 2_000_000
+_ROW_OVERHEAD = 16   # hash-table entry and row header
+_FIELD_BYTES = 8     # fixed-width slot per field
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
-    """``F.broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df`` unchanged."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+def estimated_bytes(df: DataFrame) -> tuple[int, int]:
+    """(rows, estimated in-memory bytes) of ``df``, measured in one aggregate."""
+    var = [f.name for f in df.schema.fields if isinstance(f.dataType, (StringType, BinaryType))]
+    aggs = [F.count(F.lit(1)).alias("_n")]
+    aggs += [F.coalesce(F.sum(F.octet_length(F.col(c))), F.lit(0)).alias(f"_b{i}") for i, c in enumerate(var)]
+    row = df.agg(*aggs).collect()[0]
+    n = int(row["_n"])
+    var_bytes = sum(int(row[f"_b{i}"]) for i in range(len(var)))
+    return n, n * (_ROW_OVERHEAD + _FIELD_BYTES * len(df.schema.fields)) + var_bytes
+
+
+def checked_broadcast(df: DataFrame, max_bytes: int = DEFAULT_MAX_BYTES, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+    """``F.broadcast(df)`` when ``df`` is measured below both bounds, else ``df`` unchanged."""
+    n, size = estimated_bytes(df)
+    return F.broadcast(df) if n <= max_rows and size <= max_bytes else df

@@ -17,9 +17,6 @@ _LOCAL_DEFAULTS = {
     # them below 256 KB, or a few MB of text end up in one task (no effect on large partitions)
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # runtime-measured broadcast: AQE turns a shuffle join into a broadcast join only when the
-    # materialised small side is below this size, otherwise the shuffle join stays
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # audio rows are large: bound Arrow batches by bytes as well as by rows
