@@ -481,3 +481,15 @@ def test_enrich_null_values(spark):
     out = {r.id: r for r in enrich(df, "id", "path", HashSigner(), backoff=None).collect()}
     assert out[1].attempts == 1 and out[1].error is None
     assert out[2].attempts == 0 and out[2].result is None and out[2].error == "value_missing"
+
+
+def test_threshold_split_is_disjoint_by_value(spark):
+    urls = [f"http://h/{i % 700}.mp3" for i in range(1000)]  # 300 values occur twice
+    df = spark.createDataFrame(list(enumerate(urls)), "id long, url string")
+    s = sampling.train_eval_split(df, "url", 0.7, 42, exact=False).collect()
+    train = {r.url for r in s if r.split == "train"}
+    evals = {r.url for r in s if r.split == "eval"}
+    assert not (train & evals) and len(train | evals) == 700
+    assert 0.6 < len(train) / 700 < 0.8
+    # copies of a value go to the same side
+    assert sum(r.split == "train" for r in s) == sum(urls.count(u) for u in train)
