@@ -219,3 +219,11 @@ def test_full_transcripts_two_levels(spark):
     got = cur.full_transcripts(df, tie_cols=["row_id"], bucket_width=5).collect()[0].full_transcription
     expected = " ".join([f"w{i}" for i in range(1, 60) if i % 7 != 0] + ["last"])
     assert got == expected
+
+
+def test_pair_similarity_seq_brute_force_sf001(spark):
+    import __spark_entry__ as E
+    rows = E.queries()["pair_similarity_seq"](spark, "/root/testdata/sf0.01").collect()
+    assert len(rows) > 10000
+    for r in rows:
+        assert r.similarity == round(difflib.SequenceMatcher(None, r.wrong, r.correct).ratio(), 6), (r.wrong, r.correct)
