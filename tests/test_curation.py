@@ -185,12 +185,13 @@ def _python_curation(rows, min_pair=2, sim_th=0.7, min_wf=3):
     return out
 
 
-def test_differential_on_driver_data(spark):
-    ch = chunks(spark, SF001).withColumn("cs", parse_corrections("corrections"))
+@pytest.mark.parametrize("sf_dir", [SF001, "/root/testdata/sf0.01"])
+def test_differential_on_driver_data(spark, sf_dir):
+    ch = chunks(spark, sf_dir).withColumn("cs", parse_corrections("corrections"))
     rows = [dict(conv_id=r.conv_id, turn=r.turn, audio=r.conv_id, order=r.turn, text=r.text,
                  cs=[(x.wrong, x.correct) for x in r.cs]) for r in ch.collect()]
     expected = _python_curation(rows)
-    res = cur.curate(chunks(spark, SF001), CHUNK_KEYS, metric="sequence", **CHUNK_COLS)
+    res = cur.curate(chunks(spark, sf_dir), CHUNK_KEYS, metric="sequence", **CHUNK_COLS)
     verdicts = {(r.conv_id, r.turn): r.verdict for r in res.rows.collect()}
     kept = {(r.conv_id, r.turn): r.text for r in res.kept.collect()}
     assert len(verdicts) == len(expected)
