@@ -493,3 +493,17 @@ def test_threshold_split_is_disjoint_by_value(spark):
     assert 0.6 < len(train) / 700 < 0.8
     # copies of a value go to the same side
     assert sum(r.split == "train" for r in s) == sum(urls.count(u) for u in train)
+
+
+def test_log_mel_query_matches_numpy(spark):
+    import __spark_entry__ as E
+    got = {r.vec_id: r for r in E.queries()["log_mel"](spark, SF001).collect()}
+    emb = spark.read.parquet(os.path.join(SF001, "embeddings.parquet")).collect()
+    assert len(got) == len(emb)
+    for r in emb[:60]:
+        f = features.log_mel_reference(np.asarray(r.embedding, dtype=np.float64))
+        g = got[r.vec_id]
+        assert (g.n_mels, g.n_frames) == f.shape
+        assert g.input_length == pytest.approx(len(r.embedding) / 16000)
+        assert g.feat_mean == pytest.approx(round(float(f.mean()), 4), abs=1e-4)
+        assert g.feat_max == pytest.approx(round(float(f.max()), 4), abs=1e-4)
