@@ -169,9 +169,11 @@ def _emit(ids, feats, lengths, reasons, summary):
 
 
 def log_mel_features(df: DataFrame, id_col: str, audio_col: str, n_mels: int = 80, downmix: bool = False,
-                     decoder=None, summary: bool = False, rows_per_output: int = 32) -> DataFrame:
+                     decoder=None, summary: bool = False, rows_per_output: int = 32,
+                     max_seconds: float | None = None) -> DataFrame:
     """Features from encoded audio bytes (WAV by default). Rejects: ``audio_missing``,
-    ``audio_undecodable``, ``multi_channel`` (unless ``downmix``), ``feature_error``."""
+    ``audio_undecodable``, ``multi_channel`` (unless ``downmix``), ``too_long`` (only when
+    ``max_seconds`` is given; off by default), ``feature_error``."""
     id_type = df.schema[id_col].dataType.simpleString()
     read = decoder or read_wav
 
@@ -199,7 +201,10 @@ def log_mel_features(df: DataFrame, id_col: str, audio_col: str, n_mels: int = 8
                                     mono = samples.mean(axis=1) if samples.ndim == 2 else samples
                                     mono = resample(mono, rate)
                                     ln = len(mono) / SAMPLE_RATE
-                                    f = log_mel(mono, n_mels, fb)
+                                    if max_seconds is not None and ln > max_seconds:
+                                        why = "too_long"
+                                    else:
+                                        f = log_mel(mono, n_mels, fb)
                                 except Exception:  # noqa: BLE001
                                     f, ln, why = None, None, "feature_error"
                     feats.append(f)

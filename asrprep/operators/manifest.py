@@ -12,6 +12,7 @@ from asrprep.functions.text import clean_transcription, strip
 AUDIO_MISSING = "audio_missing"
 AUDIO_UNDECODABLE = "audio_undecodable"
 MULTI_CHANNEL = "multi_channel"
+TOO_LONG = "too_long"
 FEATURE_ERROR = "feature_error"
 TEXT_MISSING = "text_missing"
 TEXT_BLANK = "text_blank"

@@ -507,3 +507,18 @@ def test_log_mel_query_matches_numpy(spark):
         assert g.input_length == pytest.approx(len(r.embedding) / 16000)
         assert g.feat_mean == pytest.approx(round(float(f.mean()), 4), abs=1e-4)
         assert g.feat_max == pytest.approx(round(float(f.max()), 4), abs=1e-4)
+
+
+def test_max_seconds_filter_is_optional(spark):
+    df = spark.createDataFrame([(1, _wav(seconds=2.0)), (2, _wav(seconds=0.5))], "id long, audio binary")
+    off = {r.id: r.reject_reason for r in features.log_mel_features(df, "id", "audio", summary=True).collect()}
+    on = {r.id: r.reject_reason for r in features.log_mel_features(df, "id", "audio", summary=True, max_seconds=1.0).collect()}
+    assert off == {1: None, 2: None} and on == {1: "too_long", 2: None}
+
+
+def test_empty_csv_keeps_header(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "empty")
+    aio.write_csv(spark.createDataFrame([], "audio_id string, transcription string"), p)
+    files = [f for f in os.listdir(p) if f.endswith(".csv")]
+    content = "".join(open(os.path.join(p, f)).read() for f in files)
+    assert content.startswith("audio_id,transcription")
