@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from asrprep.functions import corrections as corr
 from asrprep.functions.similarity import similarity as similarity_expr
 from asrprep.functions.text import WORD, words
-from asrprep.operators.joins import checked_broadcast
+from asrprep.operators.joins import broadcast_if_small, checked_broadcast, pin_measured
 from asrprep.session import pin as pin_df
 
 PURE_WORD = f"^{WORD}$"
@@ -126,8 +126,8 @@ def appears_in_transcript(chunks: DataFrame, occurrences: DataFrame, audio_col:
     rest = marked.where(F.col("_whole").isNull()).select(audio_col, "correct")
     # substrings of the recording's words, only of the lengths still asked for in that recording
     # (linear in the text: at most one substring per character and asked-for length)
-    if pin:
-        rest = pin_df(rest)
+    if pin:  # pinned and measured in one job
+        rest, rest_rows, rest_bytes = pin_measured(rest)
     lens = rest.select(audio_col, F.length("correct").alias("L")).distinct()
     if pin:  # the partitioned word table drives the generation; the small length table is the build side
         lens = checked_broadcast(lens)
@@ -140,7 +140,8 @@ def appears_in_transcript(chunks: DataFrame, occurrences: DataFrame, audio_col:
     # a count shows they are small), so the substrings are not shuffled in that case; a semi join
     # needs no distinct on the probe side
     if pin:
-        hit_sub = subs.join(checked_broadcast(rest), [audio_col, "correct"], "left_semi").distinct()
+        hit_sub = subs.join(broadcast_if_small(rest, rest_rows, rest_bytes), [audio_col, "correct"],
+                            "left_semi").distinct()
     else:
         hit_sub = rest.join(subs, [audio_col, "correct"], "left_semi")
 
@@ -210,13 +211,13 @@ def curate(df: DataFrame, key_cols: list[str], audio_col: str = "audio_id", orde
     bad = occ_all.where(F.col("malformed")).select(*key_cols, F.lit(True).alias("_malformed"))
     wf = word_frequency(df, text_col)
     stats = pair_statistics(occ, wf, min_word_freq, metric)
-    if pin:  # similarity (a Python UDF for 'sequence') computed once per distinct pair
-        stats = pin_df(stats)
+    if pin:  # similarity (a Python UDF for 'sequence') computed once per distinct pair; measured in the same job
+        stats, stats_rows, stats_bytes = pin_measured(stats)
     appears = appears_in_transcript(df, occ, audio_col, text_col, order_col, key_cols, pin)
 
     # a hot pair would skew a shuffle join on (wrong, correct): broadcast the distinct-pair table
     # when its counted size allows
-    audit = (occ.join(checked_broadcast(stats) if pin else stats, ["wrong", "correct"], "inner")
+    audit = (occ.join(broadcast_if_small(stats, stats_rows, stats_bytes) if pin else stats, ["wrong", "correct"], "inner")
              .join(appears, [audio_col, "correct"], "left")
              .withColumn("appears_in_full_transcription",
                          (F.length("correct") == 0) | F.coalesce(F.col("appears"), F.lit(False)))
