@@ -14,6 +14,8 @@ ALPHABET = (
     + [chr(c) for c in range(0xC0, 0x100) if c not in (0xD7, 0xF7)]
     + ["\t", "\n", "\r", "\x0b", "\x0c", "\xa0", " ", "　", " ", "«", "»", "¿", "¡", "–", "—", "…", "€",
        "́", "ß", "ñ", "ç", "ø", "²", "½"]
+    + [chr(c) for c in list(range(0x391, 0x3CA)) + list(range(0x410, 0x450))]  # Greek, Cyrillic
+    + ["̈", "̧", "’", "“", "”", "•", "٠", "١", "Ⅰ"]
 )
 texts = st.lists(st.text(alphabet=ALPHABET, max_size=40), min_size=1, max_size=40)
 
