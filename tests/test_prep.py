@@ -522,3 +522,25 @@ def test_empty_csv_keeps_header(spark, tmp_dir):
     files = [f for f in os.listdir(p) if f.endswith(".csv")]
     content = "".join(open(os.path.join(p, f)).read() for f in files)
     assert content.startswith("audio_id,transcription")
+
+
+def test_size_measurement_and_broadcast_choice(spark):
+    from asrprep.operators.joins import broadcast_if_small, estimated_bytes, pin_measured
+    df = spark.createDataFrame([(i, "w" * (i % 7)) for i in range(1000)], "id long, word string")
+    n, size = estimated_bytes(df)
+    pinned, n2, size2 = pin_measured(df)
+    assert (n, size) == (n2, size2) == (1000, 1000 * (16 + 16) + sum(i % 7 for i in range(1000)))
+    assert pinned.count() == 1000
+    small = broadcast_if_small(pinned, n2, size2)
+    big = broadcast_if_small(pinned, n2, size2, max_bytes=1000)
+    plan = lambda d: spark.range(10).join(d, "id")._jdf.queryExecution().optimizedPlan().toString()
+    assert "broadcast" in plan(small).lower() and "broadcast" not in plan(big).lower()
+
+
+def test_global_index_edge_cases(spark):
+    empty = spark.createDataFrame([], "k long")
+    assert with_global_index(empty, ["k"], "idx").count() == 0
+    one = spark.range(0, 5).withColumnRenamed("id", "k").coalesce(1)
+    assert [r.idx for r in with_global_index(one, ["k"], "idx", num_partitions=1).orderBy("k").collect()] == list(range(5))
+    many = spark.range(0, 3).withColumnRenamed("id", "k")
+    assert sorted(r.idx for r in with_global_index(many, ["k"], "idx", num_partitions=16).collect()) == [0, 1, 2]
