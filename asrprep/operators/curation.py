@@ -103,9 +103,17 @@ def full_transcripts(df: DataFrame, audio_col: str = "audio_id", order_col: str
             .select(audio_col, F.concat_ws(" ", F.transform("_pieces", lambda p: p["piece"])).alias("full_transcription")))
 
 
+def recording_word_counts(df: DataFrame, audio_col: str = "audio_id", text_col: str = "transcription") -> DataFrame:
+    """``(recording, word, n)``: lower-cased word counts per recording (a null recording is its own
+    group). One pass over the text gives both the corpus word frequencies (sum over recordings)
+    and each recording's distinct words."""
+    return (df.select(audio_col, F.explode(words(F.col(text_col), lower=True)).alias("word"))
+            .groupBy(audio_col, "word").agg(F.count(F.lit(1)).alias("n")))
+
+
 def appears_in_transcript(chunks: DataFrame, occurrences: DataFrame, audio_col: str = "audio_id",
                           text_col: str = "transcription", order_col: str = "order",
-                          tie_cols: list[str] = (), pin: bool = True) -> DataFrame:
+                          tie_cols: list[str] = (), pin: bool = True, tokens: DataFrame | None = None) -> DataFrame:
     """Distinct ``(audio_id, correct)`` with ``appears`` = correct is a substring of the lower-cased
     full transcript of the recording, for non-empty words of non-null recordings (the empty word
     always appears; any other word never appears for a null recording id: the caller handles both)."""
@@ -114,11 +122,12 @@ def appears_in_transcript(chunks: DataFrame, occurrences: DataFrame, audio_col:
     pure = cw.where(F.col("correct").rlike(PURE_WORD))
     other = cw.where(~F.col("correct").rlike(PURE_WORD))
 
-    tokens = (chunks.where(F.col(audio_col).isNotNull())
-              .select(audio_col, F.explode(words(F.col(text_col), lower=True)).alias("tok"))
-              .distinct())
-    if pin:  # read by two joins; computed once
-        tokens = pin_df(tokens)
+    if tokens is None:  # distinct (recording, word); callers that have word counts pass them in
+        tokens = (chunks.where(F.col(audio_col).isNotNull())
+                  .select(audio_col, F.explode(words(F.col(text_col), lower=True)).alias("tok"))
+                  .distinct())
+        if pin:  # read by two joins; computed once
+            tokens = pin_df(tokens)
     # one left join marks the words that occur as a whole word of the recording
     marked = pure.join(tokens.select(audio_col, F.col("tok").alias("correct"), F.lit(True).alias("_whole")),
                        [audio_col, "correct"], "left")
@@ -209,11 +218,17 @@ def curate(df: DataFrame, key_cols: list[str], audio_col: str = "audio_id", orde
     occ_all = parse_once(df, key_cols, audio_col, corrections_col, pin)
     occ = occ_all.where(~F.col("malformed")).drop("malformed")
     bad = occ_all.where(F.col("malformed")).select(*key_cols, F.lit(True).alias("_malformed"))
-    wf = word_frequency(df, text_col)
+    # one pass over the text: per-recording word counts give the corpus frequencies and the
+    # recordings' distinct words
+    aw = recording_word_counts(df, audio_col, text_col)
+    if pin:
+        aw = pin_df(aw)
+    wf = aw.groupBy("word").agg(F.sum("n").alias("freq"))
+    tokens = aw.where(F.col(audio_col).isNotNull()).select(audio_col, F.col("word").alias("tok"))
     stats = pair_statistics(occ, wf, min_word_freq, metric)
     if pin:  # similarity (a Python UDF for 'sequence') computed once per distinct pair; measured in the same job
         stats, stats_rows, stats_bytes = pin_measured(stats)
-    appears = appears_in_transcript(df, occ, audio_col, text_col, order_col, key_cols, pin)
+    appears = appears_in_transcript(df, occ, audio_col, text_col, order_col, key_cols, pin, tokens=tokens)
 
     # a hot pair would skew a shuffle join on (wrong, correct): broadcast the distinct-pair table
     # when its counted size allows
