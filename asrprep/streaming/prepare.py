@@ -21,7 +21,8 @@ from asrprep.session import pin
 def prepare_stream(spark: SparkSession, source_dir: str, out_dir: str, checkpoint: str, id_col: str = "id",
                    text_col: str = "transcription", glob: str | None = None, max_files_per_trigger: int | None = None,
                    lower_case: bool = False, remove_punct: bool = False, fmt: str = "parquet", schema=None) -> None:
-    """Run the preparation stream until every available file is processed, then stop."""
+    """Run the preparation stream until every available file is processed, then stop. Writes
+    ``good/``, ``rejects/`` and per-batch run ``counters/`` under ``out_dir``."""
     reader = spark.readStream.format(fmt)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
@@ -36,13 +37,25 @@ def prepare_stream(spark: SparkSession, source_dir: str, out_dir: str, checkpoin
     prepared = prepare_text(stream.where(F.col(text_col).isNotNull()), text_col, lower_case, remove_punct)
 
     def write_batch(batch_df: DataFrame, batch_id: int) -> None:
-        tagged = batch_df.withColumn("batch_id", F.lit(int(batch_id)))
+        # one evaluation of the micro-batch feeds both writes (persisted for the batch only; a lost
+        # block is recomputed from the file source, which replays the same rows); counters are
+        # observed in the first write
+        obs = Observation()
+        tagged = batch_df.withColumn("batch_id", F.lit(int(batch_id))).observe(
+            obs, F.count(F.lit(1)).alias("rows"), F.count_if(F.col("reject_reason").isNull()).alias("good")).persist()
         (tagged.where(F.col("reject_reason").isNull()).drop("reject_reason")
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id").parquet(os.path.join(out_dir, "good")))
         (tagged.where(F.col("reject_reason").isNotNull()).select(id_col, "reject_reason", "batch_id")
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id").parquet(os.path.join(out_dir, "rejects")))
+        tagged.unpersist()
+        counts = obs.get
+        (batch_df.sparkSession.createDataFrame(
+            [(int(batch_id), int(counts["rows"]), int(counts["good"]), int(counts["rows"]) - int(counts["good"]))],
+            "batch_id long, rows long, good long, rejected long")
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch_id").parquet(os.path.join(out_dir, "counters")))
 
     q = (prepared.writeStream.foreachBatch(write_batch)
          .option("checkpointLocation", checkpoint)

@@ -344,6 +344,9 @@ def test_stream_resume_and_new_file(spark, tmp_dir):
     assert len(ids) == 25 and len(set(ids)) == 25
     rejects = spark.read.parquet(os.path.join(out, "rejects")).collect()
     assert [(r.id, r.reject_reason) for r in rejects] == [(99, "text_blank")]
+    c = spark.read.parquet(os.path.join(out, "counters")).agg(F.sum("rows").alias("r"), F.sum("good").alias("g"),
+                                                               F.sum("rejected").alias("x")).collect()[0]
+    assert (c.r, c.g, c.x) == (26, 25, 1)
 
 
 def test_batch_prepare_resumes(spark, tmp_dir):
