@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from asrprep.llm import exact_dedup, rules, simhash
+from asrprep.llm import bfd_packing, exact_dedup, mixture_packing, rules, simhash
 from asrprep.llm.exprs import table
 
 # DuckDB: the texts with ASCII white space deleted
@@ -72,5 +72,13 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
 
 
-QUERIES = {"op3_simhash": op3_simhash, "op7_exact_dedup": op7_exact_dedup, "op8_quality_rules": op8_quality_rules}
+def op10_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixture_packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bfd_packing.pack(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"op1_best_fit_packing": op1_best_fit_packing, "op3_simhash": op3_simhash, "op10_mixture_packing": op10_mixture_packing, "op7_exact_dedup": op7_exact_dedup, "op8_quality_rules": op8_quality_rules}
 ORACLES = {"op7_exact_dedup": OP7_SQL, "op8_quality_rules": _op8_sql()}
