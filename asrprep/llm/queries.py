@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from asrprep.llm import bfd_packing, exact_dedup, mixture_packing, rules, simhash
-from asrprep.llm.exprs import table
+from asrprep.llm import bfd_packing, exact_dedup, html_text, mixture_packing, quality, rules, simhash, toxicity
+from asrprep.llm.exprs import crc_mod, table
 
 # DuckDB: the texts with ASCII white space deleted
 _NORM = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')"
@@ -80,5 +81,21 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bfd_packing.pack(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_best_fit_packing": op1_best_fit_packing, "op3_simhash": op3_simhash, "op10_mixture_packing": op10_mixture_packing, "op7_exact_dedup": op7_exact_dedup, "op8_quality_rules": op8_quality_rules}
+def op4_quality_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held = table(spark, sf_dir, "documents"), crc_mod("doc_id", 3) == 1
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), ~held)
+    return quality.score(docs, model, held)
+
+
+def op5_toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held = table(spark, sf_dir, "documents"), crc_mod("doc_id", 5) == 0
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), ~held)
+    return toxicity.score(docs, model, held)
+
+
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+QUERIES = {"op4_quality_pu": op4_quality_pu, "op5_toxicity_cnn": op5_toxicity_cnn, "op9_html_extraction": op9_html_extraction, "op1_best_fit_packing": op1_best_fit_packing, "op3_simhash": op3_simhash, "op10_mixture_packing": op10_mixture_packing, "op7_exact_dedup": op7_exact_dedup, "op8_quality_rules": op8_quality_rules}
 ORACLES = {"op7_exact_dedup": OP7_SQL, "op8_quality_rules": _op8_sql()}
