@@ -2,8 +2,8 @@
 
 Every window (a sequence of up to ``length`` tokens) should hold each source's target share of
 tokens. Sources are queues of documents; in each window every source earns its share as credit and,
-in turn, hands over as many tokens as its credit, its queue and the window allow. Room left over goes
-to the sources with most credit. What a source got too little or too much stays in its deficit,
+in turn, hands over as many tokens as its credit, its queue and the window allow. Room left over is
+shared among the queues that still hold tokens. What a source got too little or too much stays in its deficit,
 which is carried to the next window, and from one partition to the next.
 
 1. Texts are tokenised once, where they are read; ids go to a table in the shared folder under the
@@ -91,25 +91,30 @@ def round_robin(left: np.ndarray, share: np.ndarray, deficit: np.ndarray, sizes:
     takes, left, deficit, n = [], left.astype(np.int64).copy(), deficit.astype(float).copy(), len(left)
     for w, size in enumerate(sizes):
         deficit += size * share
-        room, order = size, [(w + i) % n for i in range(n)]
+        give = np.zeros(n, np.int64)
+        room, turn = size, np.roll(np.arange(n), -w)
         due = np.minimum(np.floor(np.maximum(deficit, 0)), left).astype(np.int64)
-        for s in order:
-            t = int(min(due[s], room))
-            if t:
-                takes.append([w, s, size - room, t])
-                left[s] -= t
-                deficit[s] -= t
-                room -= t
-        while room:  # queues ran dry or credits are fractions: those with most credit overdraw
-            live = np.flatnonzero(left)
-            s = int(live[np.argmax(deficit[live])])
-            others = live[live != s]
-            second = deficit[others].max() if len(others) else deficit[s] - room
-            t = int(min(room, left[s], max(1, np.ceil(deficit[s] - second))))
-            takes.append([w, s, size - room, t])
-            left[s] -= t
-            deficit[s] -= t
-            room -= t
+        for s in turn.tolist():
+            give[s] = min(due[s], room)
+            room -= int(give[s])
+        while room:  # queues ran dry, or credits are fractions: the others overdraw by their shares
+            live = np.flatnonzero(left - give)
+            weight = share[live] if share[live].sum() > 0 else np.ones(len(live))
+            more = np.minimum(np.floor(room * weight / weight.sum()).astype(np.int64), (left - give)[live])
+            if more.sum() == 0:
+                most = int(live[np.argmax((deficit - give)[live])])
+                give[most] += 1
+                room -= 1
+            else:
+                give[live] += more
+                room -= int(more.sum())
+        left -= give
+        deficit -= give
+        at = 0
+        for s in turn.tolist():
+            if give[s]:
+                takes.append([w, s, at, int(give[s])])
+                at += int(give[s])
     return takes, deficit
 
 
