@@ -22,6 +22,7 @@ import base64
 import hashlib
 import json
 import zlib
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -110,18 +111,19 @@ def decode_ids(t: Column, ids: Column) -> Column:
 
 def _cut(shards: int):
     """Blocks of a task's documents: word numbers per document, and distinct words per shard."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, int, bytes]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, bytes]]:
         import public_tokenizers
         import regex
 
         find = regex.compile(public_tokenizers.PATTERN).findall
         for chunk, parts in chunks.batched(batches, 1):
-            index: dict[str, int] = {}
+            index: defaultdict[str, int] = defaultdict()
+            index.default_factory = index.__len__  # a new word gets the next number
             numbers, lengths = [], []
             for part in parts:
                 for text in part.column(1).to_pylist():
                     found = find(text)
-                    numbers.append(np.fromiter((index.setdefault(w, len(index)) for w in found), np.int32, len(found)))
+                    numbers.append(np.fromiter(map(index.__getitem__, found), np.int32, len(found)))
                     lengths.append(len(found))
             words = [w.encode("utf-8", "replace") for w in index]
             flat = np.concatenate(numbers) if numbers else np.zeros(0, np.int32)
@@ -135,10 +137,10 @@ def _cut(shards: int):
             for shard, at in chunks.by_shard(home, shards):
                 own = short[at]
                 asked.append(rank[own])
-                yield chunks.KEYS, chunk, shard, chunks.pack(*chunks.pack_words([words[i] for i in own.tolist()]))
+                yield chunk, shard, chunks.pack(*chunks.pack_words([words[i] for i in own.tolist()]))
             own = np.flatnonzero(long)
             ids = pa.concat_arrays([p.column(0) for p in parts])
-            yield chunks.DOCS, chunk, -1, chunks.pack(
+            yield chunk, -1, chunks.pack(
                 np.frombuffer(_ids_block(ids), np.uint8), np.array(lengths, np.int32),
                 rank[flat] if len(words) else flat, np.concatenate([*asked, np.zeros(0, np.int32)]), rank[own],
                 *chunks.pack_words([words[i] for i in own.tolist()]))
@@ -159,6 +161,8 @@ def _ids_of(block: np.ndarray) -> list:
 
 def _distinct(rows: pd.DataFrame) -> pd.DataFrame:
     """A shard's distinct words as byte arrays, and each chunk's numbers in them."""
+    if rows["key"].iloc[0] >= 0:
+        return pd.DataFrame({"shard": [], "chunks": [], "asked": [], "words": []}, dtype=object)
     index: dict[bytes, int] = {}
     asked = []
     for block in rows["block"]:
@@ -193,10 +197,11 @@ def encode(docs: DataFrame, rank_file: str | None = None, id_col: str = "doc_id"
     path = rank_file or tokenizer_path("byte_bpe_multi_50k.tiktoken")
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    blocks, keys = chunks.write_blocks(rows, _cut(chunks.shards_for(docs.sparkSession, rows)), "bpe-blocks")
-    words = keys.groupBy("shard").applyInPandas(
+    blocks = chunks.keyed(rows, _cut(chunks.shards_for(docs.sparkSession, rows)))
+    words = blocks.groupBy("key").applyInPandas(
         _distinct, "shard int, chunks array<long>, asked array<binary>, words array<array<smallint>>")
-    literals = rank_literals(read_ranks(path))
+    ranks = read_ranks(path)
+    literals = rank_literals(ranks)
     table = F.struct(*[c.alias(k) for k, c in literals.items()])
     # one row per shard: both projections bind the literal once per row
     encoded = words.select("shard", "chunks", "asked", let(table, lambda t: F.transform(
@@ -205,16 +210,18 @@ def encode(docs: DataFrame, rank_file: str | None = None, id_col: str = "doc_id"
         "ids", lambda i: decode_ids(t, i))).alias("back"))
     answers = decoded.mapInArrow(_answers, "chunk long, shard int, block binary")
 
+    digits = [str(i) for i in range(max(ranks.values()) + 1)]
+
     def join(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out: list[list] = [[] for _ in names]
-        for block in left["block"]:
+        for block in left["block"][left["shard"] < 0]:
             ids_block, lengths, numbers, asked, long, *rest = chunks.unpack(block)
             n = len(asked) + len(long)
             text, back, count, raw = [b""] * n, [b""] * n, np.zeros(n, np.int64), [b""] * n
             at = 0
             for answer in right.sort_values("shard")["block"]:
                 counts, ids, *bytes_ = chunks.unpack(answer)
-                ends, pieces = np.cumsum(counts).tolist(), ids.astype(str).tolist()
+                ends, pieces = np.cumsum(counts).tolist(), list(map(digits.__getitem__, ids.tolist()))
                 flat = ids.astype("<u4")
                 own = asked[at:at + len(counts)].tolist()
                 at += len(counts)
@@ -231,18 +238,19 @@ def encode(docs: DataFrame, rank_file: str | None = None, id_col: str = "doc_id"
                     raw[k] = np.array(ids, "<u4").tobytes()
             at = 0
             for doc_id, length in zip(_ids_of(ids_block), lengths.tolist()):
-                own = numbers[at:at + length].tolist()
+                mine = numbers[at:at + length]
+                own = mine.tolist()
                 at += length
                 whole = b"".join([back[k] for k in own])
-                row = [doc_id, int(count[own].sum()) if own else 0,
+                row = [doc_id, int(count[mine].sum()),
                        hashlib.sha256(b",".join([text[k] for k in own])).hexdigest(), hashlib.sha256(whole).hexdigest()]
                 if with_ids:
                     row += [np.frombuffer(b"".join([raw[k] for k in own]), "<u4").astype(np.int64).tolist(), whole]
                 for c, v in zip(out, row):
                     c.append(v)
-        return pd.DataFrame(dict(zip(names, out)))
+        return pd.DataFrame(dict(zip(names, out)), columns=names, dtype=None if out[0] else object)
 
     schema = f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
     schema += ", ids array<long>, decoded binary" if with_ids else ""
     names = [x.split()[0] for x in schema.split(", ")]
-    return blocks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(join, schema)
+    return blocks.groupBy("key").cogroup(answers.groupBy("chunk")).applyInPandas(join, schema)

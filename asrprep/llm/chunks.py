@@ -6,7 +6,9 @@ keys to the shard that owns them, as one compressed block per (chunk, shard). Sh
 block per chunk that asked, and the chunk's documents (a block of key numbers) meet the answers in a
 cogroup. A word that a third of all rows hold is one key per chunk; blocks are spread by key hash.
 
-Both kinds of blocks are written once to the shared folder, so a lost executor repeats only its tasks.
+Both kinds of blocks go through one exchange, keyed by the chunk or the shard, which Spark writes
+once and reads for both: ``keyed`` returns the same plan for every use. Functions skip the kind that
+is not theirs (a filter would be pushed below the exchange and make it two). A lost executor's blocks are made again by its tasks, the same ones.
 """
 
 from __future__ import annotations
@@ -18,14 +20,10 @@ import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from asrprep.session import scratch_path
-
-CHUNK_BYTES = 24 << 20
+CHUNK_BYTES = 28 << 20
 SHARD_BYTES = 8 << 20
-BLOCK = "kind int, chunk long, shard int, block binary"
-DOCS, KEYS = 0, 1
+BLOCK = "key long, chunk long, shard int, block binary"
 
 
 def pack(*arrays: np.ndarray) -> bytes:
@@ -81,24 +79,16 @@ def batched(batches: Iterator[pa.RecordBatch], text_col: int, size: int = CHUNK_
         yield number, held
 
 
-def write_blocks(rows: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[tuple[int, int, int, bytes]]],
-                 name: str) -> tuple[DataFrame, DataFrame]:
-    """Runs ``fn`` on each task's batches, writes its (kind, chunk, shard, block) rows, and returns
-    the document blocks and the key blocks."""
+def keyed(rows: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[tuple[int, int, bytes]]]) -> DataFrame:
+    """Runs ``fn`` on each task's batches: (chunk, shard, block), the shard -1 for a block of documents. The
+    result has a row per block, partitioned by ``key``: the chunk, or -1 - shard."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for kind, chunk, shard, block in fn(batches):
-            yield pa.RecordBatch.from_arrays([pa.array([kind], pa.int32()), pa.array([chunk], pa.int64()),
-                                              pa.array([shard], pa.int32()), pa.array([block], pa.binary())],
-                                             names=["kind", "chunk", "shard", "block"])
-
-    return saved(rows.mapInArrow(run, BLOCK), name)
-
+        for chunk, shard, block in fn(batches):
+            yield pa.RecordBatch.from_arrays([
+                pa.array([chunk if shard < 0 else -1 - shard], pa.int64()), pa.array([chunk], pa.int64()),
+                pa.array([shard], pa.int32()), pa.array([block], pa.binary())], names=["key", "chunk", "shard", "block"])
 
-def saved(blocks: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
-    spark, path = blocks.sparkSession, scratch_path(blocks.sparkSession, name)
-    blocks.write.option("compression", "none").partitionBy("kind").parquet(path)
-    schema = "chunk long, shard int, block binary, kind int"
-    return tuple(spark.read.schema(schema).parquet(path).where(F.col("kind") == k).drop("kind") for k in (DOCS, KEYS))
+    return rows.mapInArrow(run, BLOCK).repartition("key")
 
 
 def by_shard(shard_of: np.ndarray, shards: int) -> Iterator[tuple[int, np.ndarray]]:
