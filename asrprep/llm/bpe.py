@@ -33,25 +33,24 @@ from pyspark.sql import functions as F
 
 from asrprep.llm import chunks
 from asrprep.llm.exprs import let
-from asrprep.llm.tokens import byte_encoding, read_ranks, tokenizer_path
+from asrprep.llm.tokens import byte_encoding, read_ranks, splitter, tokenizer_path
 
 BUCKETS = 1 << 15
 LONG_WORD = 512
-_NEVER = 2**31 - 1
+_NEVER = 65536
 
 
-def rank_literals(ranks: dict[bytes, int]) -> dict[str, Column]:
-    """The vocabulary as constant columns; Spark folds each parsed JSON text to one literal.
+def rank_literal(ranks: dict[bytes, int]) -> Column:
+    """The ranks as one constant column, which Spark folds from JSON text to a literal.
 
     ``bytes``: id of each single byte. ``first``: rank of each pair of bytes, at 256 * a + b.
-    ``keys``, ``ranks``: the map from a pair of ids (65536 * a + b) to the rank of their
-    concatenation, in buckets by hash, for every way to cut a token in two tokens. ``pieces``: bytes by id.
+    ``pairs``: from a pair of ids to the rank of their concatenation, for every way to cut a token in
+    two tokens. Buckets by hash hold key, rank, key, rank, ...; keys lie above all ranks.
     """
     import xxhash
 
     first = [_NEVER] * 65536
-    keys: list[list[int]] = [[] for _ in range(BUCKETS)]
-    found: list[list[int]] = [[] for _ in range(BUCKETS)]
+    pairs: list[list[int]] = [[] for _ in range(BUCKETS)]
     for token, r in ranks.items():
         for cut in range(1, len(token)):
             a, b = ranks.get(token[:cut]), ranks.get(token[cut:])
@@ -59,36 +58,37 @@ def rank_literals(ranks: dict[bytes, int]) -> dict[str, Column]:
                 continue
             if len(token) == 2:
                 first[256 * token[0] + token[1]] = r
-            k = 65536 * a + b
-            at = xxhash.xxh64_intdigest(k.to_bytes(8, "little"), 42) & (BUCKETS - 1)
-            keys[at].append(k)
-            found[at].append(r)
+            k = 65536 * (a + 1) + b
+            pairs[xxhash.xxh64_intdigest(k.to_bytes(8, "little"), 42) & (BUCKETS - 1)] += [k, r]
+    return F.from_json(F.lit(json.dumps({"bytes": [ranks[bytes([b])] for b in range(256)], "first": first, "pairs": pairs})),
+                       "bytes array<bigint>, first array<bigint>, pairs array<array<bigint>>")
+
+
+def piece_literal(ranks: dict[bytes, int]) -> Column:
+    """The bytes of each id as a constant column."""
     pieces = [""] * (max(ranks.values()) + 1)
     for b, r in ranks.items():
         pieces[r] = base64.b64encode(b).decode()
-
-    def constant(value, kind: str) -> Column:
-        return F.from_json(F.lit(json.dumps(value)), kind)
-
-    return {"bytes": constant([ranks[bytes([b])] for b in range(256)], "array<int>"), "first": constant(first, "array<int>"),
-            "keys": constant(keys, "array<array<bigint>>"), "ranks": constant(found, "array<array<int>>"),
-            "pieces": constant(pieces, "array<binary>")}
+    return F.from_json(F.lit(json.dumps(pieces)), "array<binary>")
 
 
 def _rank(t: Column, a: Column, b: Column) -> Column:
-    """Rank of the concatenation of ids ``a`` and ``b``, or ``_NEVER``."""
-    return let(a.cast("long") * 65536 + b, lambda k: let(
-        F.xxhash64(k).bitwiseAND(F.lit(BUCKETS - 1).cast("long")).cast("int"), lambda at: F.coalesce(
-            F.get(F.get(t["ranks"], at), F.array_position(F.get(t["keys"], at), k).cast("int") - 1), F.lit(_NEVER))))
+    """Rank of the concatenation of ids ``a`` and ``b``, or a number from ``_NEVER`` up: the element
+    after the key in its bucket; a missing key gives the bucket's first key."""
+    def bucket(k):
+        return F.get(t["pairs"], F.xxhash64(k).bitwiseAND(F.lit(BUCKETS - 1).cast("long")).cast("int"))
+
+    return let((a + 1) * 65536 + b, lambda k: F.coalesce(
+        F.get(bucket(k), F.array_position(bucket(k), k).cast("int")), F.lit(_NEVER).cast("long")))
 
 
 def encode_word(t: Column, word: Column) -> Column:
     """Ids of one word, given as its byte values."""
-    none = F.array().cast("array<int>")
+    none = F.array().cast("array<bigint>")
 
     def step(acc):
         p, r = acc["p"], acc["r"]
-        return let(F.array_min(r), lambda m: F.when(m.isNull() | (m == _NEVER), acc).otherwise(let(
+        return let(F.array_min(r), lambda m: F.when(m.isNull() | (m >= _NEVER), acc).otherwise(let(
             F.array_position(r, m).cast("int") - 1, lambda i: F.struct(
                 F.concat(F.slice(p, F.lit(1), i), F.array(m), F.slice(p, i + 3, F.size(p))).alias("p"),
                 F.concat(F.slice(r, F.lit(1), F.greatest(i - 1, F.lit(0))),
@@ -104,18 +104,15 @@ def encode_word(t: Column, word: Column) -> Column:
     return F.aggregate(F.slice(word, 2, F.size(word)), start, lambda acc, _: step(acc), lambda acc: acc["p"])
 
 
-def decode_ids(t: Column, ids: Column) -> Column:
+def decode_ids(pieces: Column, ids: Column) -> Column:
     """Bytes of an array of ids."""
-    return F.aggregate(ids, F.lit(b""), lambda acc, i: F.concat(acc, F.get(t["pieces"], i)))
+    return F.aggregate(ids, F.lit(b""), lambda acc, i: F.concat(acc, F.get(pieces, i.cast("int"))))
 
 
 def _cut(shards: int):
     """Blocks of a task's documents: word numbers per document, and distinct words per shard."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, bytes]]:
-        import public_tokenizers
-        import regex
-
-        find = regex.compile(public_tokenizers.PATTERN).findall
+        find = splitter()
         for chunk, parts in chunks.batched(batches, 1):
             index: defaultdict[str, int] = defaultdict()
             index.default_factory = index.__len__  # a new word gets the next number
@@ -201,12 +198,10 @@ def encode(docs: DataFrame, rank_file: str | None = None, id_col: str = "doc_id"
     words = blocks.groupBy("key").applyInPandas(
         _distinct, "shard int, chunks array<long>, asked array<binary>, words array<array<smallint>>")
     ranks = read_ranks(path)
-    literals = rank_literals(ranks)
-    table = F.struct(*[c.alias(k) for k, c in literals.items()])
-    # one row per shard: both projections bind the literal once per row
-    encoded = words.select("shard", "chunks", "asked", let(table, lambda t: F.transform(
+    # one row per shard: both projections bind their literal once per row
+    encoded = words.select("shard", "chunks", "asked", let(rank_literal(ranks), lambda t: F.transform(
         "words", lambda w: encode_word(t, w))).alias("ids"))
-    decoded = encoded.select("shard", "chunks", "asked", "ids", let(table, lambda t: F.transform(
+    decoded = encoded.select("shard", "chunks", "asked", "ids", let(piece_literal(ranks), lambda t: F.transform(
         "ids", lambda i: decode_ids(t, i))).alias("back"))
     answers = decoded.mapInArrow(_answers, "chunk long, shard int, block binary")
 

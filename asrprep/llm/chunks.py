@@ -21,7 +21,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-CHUNK_BYTES = 28 << 20
+CHUNK_BYTES = 14 << 20
 SHARD_BYTES = 8 << 20
 BLOCK = "key long, chunk long, shard int, block binary"
 
