@@ -6,9 +6,10 @@ keys to the shard that owns them, as one compressed block per (chunk, shard). Sh
 block per chunk that asked, and the chunk's documents (a block of key numbers) meet the answers in a
 cogroup. A word that a third of all rows hold is one key per chunk; blocks are spread by key hash.
 
-Both kinds of blocks go through one exchange, keyed by the chunk or the shard, which Spark writes
-once and reads for both: ``keyed`` returns the same plan for every use. Functions skip the kind that
-is not theirs (a filter would be pushed below the exchange and make it two). A lost executor's blocks are made again by its tasks, the same ones.
+``keyed`` sends both kinds of blocks through one exchange, by the chunk or the shard, which Spark
+writes once and reads for both uses in a query. Functions then skip the kind that is not theirs (a
+filter would be pushed below the exchange and make it two). ``saved`` writes them to the shared folder.
+A lost executor's blocks are made again by its tasks, the same ones.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from asrprep.session import scratch_path
+
 CHUNK_BYTES = 14 << 20
 SHARD_BYTES = 8 << 20
 BLOCK = "key long, chunk long, shard int, block binary"
@@ -79,16 +82,28 @@ def batched(batches: Iterator[pa.RecordBatch], text_col: int, size: int = CHUNK_
         yield number, held
 
 
-def keyed(rows: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[tuple[int, int, bytes]]]) -> DataFrame:
+def blocks(rows: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[tuple[int, int, bytes]]]) -> DataFrame:
     """Runs ``fn`` on each task's batches: (chunk, shard, block), the shard -1 for a block of documents. The
-    result has a row per block, partitioned by ``key``: the chunk, or -1 - shard."""
+    result has a row per block, and a ``key``: the chunk, or -1 - shard."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk, shard, block in fn(batches):
             yield pa.RecordBatch.from_arrays([
                 pa.array([chunk if shard < 0 else -1 - shard], pa.int64()), pa.array([chunk], pa.int64()),
                 pa.array([shard], pa.int32()), pa.array([block], pa.binary())], names=["key", "chunk", "shard", "block"])
 
-    return rows.mapInArrow(run, BLOCK).repartition("key")
+    return rows.mapInArrow(run, BLOCK)
+
+
+def keyed(rows: DataFrame, fn) -> DataFrame:
+    """``blocks`` partitioned by key, for two uses in one query."""
+    return blocks(rows, fn).repartition("key")
+
+
+def saved(rows: DataFrame, fn, name: str) -> DataFrame:
+    """``blocks`` written once to the shared folder, for uses in several queries."""
+    path = scratch_path(rows.sparkSession, name)
+    blocks(rows, fn).write.option("compression", "none").parquet(path)
+    return rows.sparkSession.read.schema(BLOCK).parquet(path)
 
 
 def by_shard(shard_of: np.ndarray, shards: int) -> Iterator[tuple[int, np.ndarray]]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from asrprep.llm import bfd_packing, bpe, exact_dedup, html_text, mixture_packing, quality, rules, simhash, toxicity
+from asrprep.llm import bfd_packing, bpe, exact_dedup, html_text, mixture_packing, ngram_lm, quality, rules, simhash, toxicity
 from asrprep.llm.exprs import crc_mod, table
 
 # DuckDB: the texts with ASCII white space deleted
@@ -97,9 +97,13 @@ def op5_toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model, held)
 
 
+def op6_elias_fano_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_lm.score(table(spark, sf_dir, "documents"), crc_mod("doc_id", 5) != 1)
+
+
 def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
-QUERIES = {"op2_byte_bpe": op2_byte_bpe, "op4_quality_pu": op4_quality_pu, "op5_toxicity_cnn": op5_toxicity_cnn, "op9_html_extraction": op9_html_extraction, "op1_best_fit_packing": op1_best_fit_packing, "op3_simhash": op3_simhash, "op10_mixture_packing": op10_mixture_packing, "op7_exact_dedup": op7_exact_dedup, "op8_quality_rules": op8_quality_rules}
+QUERIES = {"op6_elias_fano_lm": op6_elias_fano_lm, "op2_byte_bpe": op2_byte_bpe, "op4_quality_pu": op4_quality_pu, "op5_toxicity_cnn": op5_toxicity_cnn, "op9_html_extraction": op9_html_extraction, "op1_best_fit_packing": op1_best_fit_packing, "op3_simhash": op3_simhash, "op10_mixture_packing": op10_mixture_packing, "op7_exact_dedup": op7_exact_dedup, "op8_quality_rules": op8_quality_rules}
 ORACLES = {"op7_exact_dedup": OP7_SQL, "op8_quality_rules": _op8_sql()}
