@@ -41,6 +41,8 @@ from asrprep.session import scratch_path
 
 CONST, SHARE = 5.0, 1.0  # m(h) = CONST + SHARE * c(h)
 END = b""
+CHUNK_BYTES = 8 << 20
+PAIR_SHARDS = 4  # pair shards per word shard: a text has many more distinct pairs than words
 
 
 def _ids_block(ids: pa.Array) -> np.ndarray:
@@ -58,7 +60,7 @@ def _ids_of(block: np.ndarray) -> list:
 def _cut(shards: int):
     """Documents as word numbers (a document ends with the end mark), and distinct words per shard."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, bytes]]:
-        for chunk, parts in chunks.batched(batches, 1):
+        for chunk, parts in chunks.batched(batches, 1, CHUNK_BYTES):
             index: defaultdict[bytes, int] = defaultdict()
             index.default_factory = index.__len__
             numbers, lengths, train = [], [], []
@@ -164,10 +166,13 @@ def _score_pairs(rows: pd.DataFrame, tokens: int, types: int) -> pd.DataFrame:
     for block in rows["block"]:
         h, ch, run, w, cw, n = chunks.unpack(block)
         asked.append((np.repeat(h, run), np.repeat(ch, run), w.astype(np.int64), cw, n))
+    ends = np.cumsum([len(x[0]) for x in asked])
     h, ch, w, cw, n = map(np.concatenate, zip(*asked))
+    del asked
     local, w_local = np.unique(w, return_inverse=True)  # ids relative to the shard keep the levels' universe small
     heads, h_local = np.unique(h, return_inverse=True)
     universe = max(len(local), len(heads))
+    del h, w
     key, first, inverse = np.unique(h_local * universe + w_local, return_index=True, return_inverse=True)
     total = np.bincount(inverse, weights=n, minlength=len(key))
     p1 = (cw + 0.5) / (tokens + 0.5 * (types + 1))
@@ -183,7 +188,6 @@ def _score_pairs(rows: pd.DataFrame, tokens: int, types: int) -> pd.DataFrame:
         answer = trie.find(np.stack([h_local, w_local], 1))
         del trie
     answer = np.where(np.isnan(answer), unseen, answer).astype(np.float32)
-    ends = np.cumsum([len(x[0]) for x in asked])
     blocks = [chunks.pack(answer[a:b]) for a, b in zip([0, *ends], ends)]
     return pd.DataFrame({"chunk": rows["chunk"].tolist(), "shard": int(rows["shard"].iloc[0]), "block": blocks})
 
@@ -209,7 +213,7 @@ def score(docs: DataFrame, learnable: Column, id_col: str = "doc_id", text_col:
     names = ["key", "chunk", "shard", "block"]
     answers = words.where("chunk >= 0").select("chunk", "shard", "block")
     pairs = (blocks.where("shard < 0").groupBy("chunk").cogroup(answers.groupBy("chunk"))
-             .applyInPandas(_pairs(offsets, shards, tokens, types, names), chunks.BLOCK).repartition("key"))
+             .applyInPandas(_pairs(offsets, PAIR_SHARDS * shards, tokens, types, names), chunks.BLOCK).repartition("key"))
     found = pairs.groupBy("key").applyInPandas(lambda x: _score_pairs(x, tokens, types), "chunk long, shard int, block binary")
 
     def join(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
