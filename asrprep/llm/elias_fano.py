@@ -17,6 +17,10 @@ import json
 import numpy as np
 
 
+#: The code of an n-gram that is not in a trie.
+UNSEEN = 255
+
+
 class EliasFano:
     """A non-decreasing sequence: low bits packed, high bits as a unary bit vector."""
 
@@ -80,10 +84,10 @@ class EliasFano:
             hi[live] = np.where(below, hi[live], mid)
 
 
-def quantise(values: np.ndarray, levels: int = 256) -> tuple[np.ndarray, np.ndarray]:
+def quantise(values: np.ndarray, levels: int = 255) -> tuple[np.ndarray, np.ndarray]:
     """(codes, code book): bins of equal width, each at the mean of its values."""
     if not len(values):
-        return np.zeros(0, np.uint8), np.zeros(1)
+        return np.zeros(0, np.uint8), np.zeros(levels)
     least, span = values.min(), max(float(np.ptp(values)), 1e-12)
     codes = np.minimum(((values - least) / span * levels).astype(np.int64), levels - 1)
     counts = np.bincount(codes, minlength=levels)
@@ -117,13 +121,22 @@ class Trie:
         levels[-1] |= {"codes": codes, "book": book}
         return cls(universe, levels)
 
+    @property
+    def book(self) -> np.ndarray:
+        return self.levels[-1]["book"]
+
     def find(self, grams: np.ndarray) -> np.ndarray:
         """Value of each n-gram, NaN where it is not in the trie."""
+        codes = self.find_codes(grams)
+        return np.where(codes == UNSEEN, np.nan, np.asarray(self.book)[np.minimum(codes, len(self.book) - 1)])
+
+    def find_codes(self, grams: np.ndarray) -> np.ndarray:
+        """Code of each n-gram, ``UNSEEN`` where it is not in the trie."""
         node, found = np.zeros(len(grams), np.int64), np.ones(len(grams), bool)
         for k, level in enumerate(self.levels):
             ids, begins = level["ids"], level["begins"]
             if not ids.n:
-                return np.full(len(grams), np.nan)
+                return np.full(len(grams), UNSEEN, np.uint8)
             begin, end = begins.get(node), begins.get(node + 1)
             want = node * self.universe + grams[:, k]
             at = ids.find(want)
@@ -131,8 +144,7 @@ class Trie:
             safe = np.where(inside, at, 0)
             found &= inside & (ids.get(safe) == want)
             node = np.where(found, safe, 0)
-        out = np.asarray(self.levels[-1]["book"])[np.asarray(self.levels[-1]["codes"])[node]]
-        return np.where(found, out, np.nan)
+        return np.where(found, np.asarray(self.levels[-1]["codes"])[node], UNSEEN).astype(np.uint8)
 
     def save(self, path: str) -> None:
         head, parts, at = {"universe": self.universe, "levels": []}, [], 0

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from asrprep.llm import chunks
-from asrprep.llm.elias_fano import Trie
+from asrprep.llm.elias_fano import UNSEEN, Trie
 from asrprep.session import scratch_path
 
 CONST, SHARE = 5.0, 1.0  # m(h) = CONST + SHARE * c(h)
@@ -98,15 +98,16 @@ def _count_words(rows: pd.DataFrame) -> pd.DataFrame:
         asked.append(np.array(list(map(index.__getitem__, chunks.unpack_words(*ws))), np.int64))
         counts.append(n)
     total = np.bincount(np.concatenate(asked), weights=np.concatenate(counts), minlength=len(index)).astype(np.int64)
-    number = np.cumsum(total > 0) - 1
+    number = np.empty(len(total), np.int64)
+    number[np.argsort(-total, kind="stable")] = np.arange(len(total))  # frequent words get small numbers: small blocks
     shard = int(rows["shard"].iloc[0])
     return pd.DataFrame({
         "shard": shard, "chunk": [-1, *rows["chunk"]],
-        "block": [b"", *(chunks.pack(total[a], np.where(total[a] > 0, number[a], 0).astype(np.int32)) for a in asked)],
+        "block": [b"", *(chunks.pack(total[a], number[a].astype(np.int32)) for a in asked)],
         "types": [int((total > 0).sum())] + [0] * len(asked), "tokens": [int(total.sum())] + [0] * len(asked)})
 
 
-def _pairs(offsets: np.ndarray, shards: int, tokens: int, types: int, names: list[str]):
+def _pairs(word_shards: int, shards: int, tokens: int, types: int, names: list[str]):
     """Cogroup of a chunk's documents with its words' answers: base scores, and pairs per shard."""
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out: list[tuple] = []
@@ -118,7 +119,7 @@ def _pairs(offsets: np.ndarray, shards: int, tokens: int, types: int, names: lis
             for shard, answer in right.sort_values("shard")[["shard", "block"]].itertuples(index=False):
                 c, number = chunks.unpack(answer)
                 own = asked[at:at + len(c)]
-                count[own], ids[own] = c, number + offsets[shard]
+                count[own], ids[own] = c, number.astype(np.int64) * word_shards + shard
                 at += len(c)
             log1 = np.log10((count + 0.5) / z)
             ends = np.cumsum(lengths)
@@ -149,8 +150,8 @@ def _pairs(offsets: np.ndarray, shards: int, tokens: int, types: int, names: lis
                 p, q = a[order[x:y]], b[order[x:y]]
                 new = np.flatnonzero(np.diff(ids[p], prepend=-1))
                 out.append((-1 - int(home[order[x]]), chunk, int(home[order[x]]), chunks.pack(
-                    ids[p][new], count[p][new], np.diff(new, append=len(p)).astype(np.int32), ids[q].astype(np.uint32)
-                    if offsets[-1] < 2**32 else ids[q], count[q], n[order[x:y]])))
+                    ids[p][new], count[p][new], np.diff(new, append=len(p)).astype(np.int32),
+                    np.diff(ids[q], prepend=0), count[q], n[order[x:y]])))
             per_doc = np.add.reduceat((~direct).astype(np.int32), starts)
             out.append((chunk, chunk, -1, chunks.pack(
                 doc_ids, lengths, train, known.astype(np.int32), base, extra, per_doc, place[inverse])))
@@ -165,7 +166,7 @@ def _score_pairs(rows: pd.DataFrame, tokens: int, types: int) -> pd.DataFrame:
     asked = []
     for block in rows["block"]:
         h, ch, run, w, cw, n = chunks.unpack(block)
-        asked.append((np.repeat(h, run), np.repeat(ch, run), w.astype(np.int64), cw, n))
+        asked.append((np.repeat(h, run), np.repeat(ch, run), np.cumsum(w), cw, n))
     ends = np.cumsum([len(x[0]) for x in asked])
     h, ch, w, cw, n = map(np.concatenate, zip(*asked))
     del asked
@@ -185,13 +186,18 @@ def _score_pairs(rows: pd.DataFrame, tokens: int, types: int) -> pd.DataFrame:
         path = os.path.join(folder, "trie")
         Trie.build(np.stack([key[seen] // universe, key[seen] % universe], 1), value, universe).save(path)
         trie = Trie.open(path)
-        answer = trie.find(np.stack([h_local, w_local], 1))
+        codes, book = trie.find_codes(np.stack([h_local, w_local], 1)), np.array(trie.book)
         del trie
-    answer = np.where(np.isnan(answer), unseen, answer).astype(np.float32)
-    blocks = [chunks.pack(answer[a:b]) for a, b in zip([0, *ends], ends)]
+    blocks = [chunks.pack(codes[a:b], book, unseen[a:b][codes[a:b] == UNSEEN].astype(np.float32)) for a, b in zip([0, *ends], ends)]
     return pd.DataFrame({"chunk": rows["chunk"].tolist(), "shard": int(rows["shard"].iloc[0]), "block": blocks})
 
 
+def _values(codes: np.ndarray, book: np.ndarray, unseen: np.ndarray) -> np.ndarray:
+    out = book[np.minimum(codes, len(book) - 1)]
+    out[codes == UNSEEN] = unseen
+    return out
+
+
 def score(docs: DataFrame, learnable: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out (``learnable`` does not hold), n_tokens, n_known, train_tokens, base_score, score per row."""
     spark, kind = docs.sparkSession, docs.schema[id_col].dataType.simpleString()
@@ -204,23 +210,19 @@ def score(docs: DataFrame, learnable: Column, id_col: str = "doc_id", text_col:
      .write.option("compression", "none").parquet(path))
     words = spark.read.parquet(path)
     totals = words.where("chunk = -1").select("shard", "types", "tokens").collect()  # a row per shard
-    offsets = np.zeros(shards + 1, np.int64)
-    for r in totals:
-        offsets[r["shard"] + 1] = r["types"]
-    offsets = np.cumsum(offsets)
-    tokens, types = sum(r["tokens"] for r in totals), int(offsets[-1])
+    tokens, types = sum(r["tokens"] for r in totals), sum(r["types"] for r in totals)
 
     names = ["key", "chunk", "shard", "block"]
     answers = words.where("chunk >= 0").select("chunk", "shard", "block")
     pairs = (blocks.where("shard < 0").groupBy("chunk").cogroup(answers.groupBy("chunk"))
-             .applyInPandas(_pairs(offsets, PAIR_SHARDS * shards, tokens, types, names), chunks.BLOCK).repartition("key"))
+             .applyInPandas(_pairs(shards, PAIR_SHARDS * shards, tokens, types, names), chunks.BLOCK).repartition("key"))
     found = pairs.groupBy("key").applyInPandas(lambda x: _score_pairs(x, tokens, types), "chunk long, shard int, block binary")
 
     def join(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
         for block in left.loc[left["shard"] < 0, "block"]:
             doc_ids, lengths, train, known, base, extra, per_doc, place = chunks.unpack(block)
-            values = [chunks.unpack(b)[0] for b in right.sort_values("shard")["block"]]
+            values = [_values(*chunks.unpack(b)) for b in right.sort_values("shard")["block"]]
             sums = np.concatenate([[0.0], np.cumsum(np.concatenate(values).astype(float)[place])]) if values else np.zeros(1)
             ends = np.cumsum(per_doc)
             out.append(pd.DataFrame({
