@@ -29,14 +29,14 @@ SHARD_BYTES = 8 << 20
 BLOCK = "key long, chunk long, shard int, block binary"
 
 
-def pack(*arrays: np.ndarray) -> bytes:
+def pack(*arrays: np.ndarray, level: int = 1) -> bytes:
     """Arrays as one compressed block; bytes of equal rank lie together, so small numbers shrink."""
     parts = [len(arrays).to_bytes(2, "little")]
     for a in arrays:
         a = np.ascontiguousarray(a)
         parts += [a.dtype.str.encode().ljust(4), len(a).to_bytes(8, "little"),
                   a.view(np.uint8).reshape(len(a), a.itemsize).T.tobytes()]
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(parts))
+    return zstandard.ZstdCompressor(level=level).compress(b"".join(parts))
 
 
 def unpack(block: bytes) -> list[np.ndarray]:

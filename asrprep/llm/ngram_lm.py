@@ -41,7 +41,7 @@ from asrprep.session import scratch_path
 
 CONST, SHARE = 5.0, 1.0  # m(h) = CONST + SHARE * c(h)
 END = b""
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 9 << 20
 PAIR_SHARDS = 4  # pair shards per word shard: a text has many more distinct pairs than words
 
 
@@ -151,10 +151,10 @@ def _pairs(word_shards: int, shards: int, tokens: int, types: int, names: list[s
                 new = np.flatnonzero(np.diff(ids[p], prepend=-1))
                 out.append((-1 - int(home[order[x]]), chunk, int(home[order[x]]), chunks.pack(
                     ids[p][new], count[p][new], np.diff(new, append=len(p)).astype(np.int32),
-                    np.diff(ids[q], prepend=0), count[q], n[order[x:y]])))
+                    np.diff(ids[q], prepend=0), count[q], n[order[x:y]], level=5)))
             per_doc = np.add.reduceat((~direct).astype(np.int32), starts)
             out.append((chunk, chunk, -1, chunks.pack(
-                doc_ids, lengths, train, known.astype(np.int32), base, extra, per_doc, place[inverse])))
+                doc_ids, lengths, train, known.astype(np.int32), base, extra, per_doc, place[inverse], level=5)))
         return pd.DataFrame(dict(zip(names, zip(*out))), columns=names, dtype=None if out else object)
     return run
 
