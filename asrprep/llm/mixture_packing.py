@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from asrprep.llm.tokens import WordIds, tokenizer_path
+from asrprep.llm.tokens import WordEndIds, tokenizer_path
 from asrprep.session import scratch_path
 
 LENGTH = 4096
@@ -49,16 +49,16 @@ def token_table(docs: DataFrame, tokenizer: str, end_id: int, id_col: str, text_
     id_type = docs.schema[id_col].dataType
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, part, pos, end = WordIds.of(tokenizer), TaskContext.get().partitionId(), 0, np.array([end_id], "<u4").tobytes()
+        words, part, pos = WordEndIds.of(tokenizer), TaskContext.get().partitionId(), 0
         for big in batches:
             step = max(1, int(big.num_rows * _BATCH_CHARS / max(1, big.nbytes)))
             for at in range(0, big.num_rows, step):  # bounded memory whatever the batch size
                 b = big.slice(at, step)
-                ids = [x + end for x in words.encode(b.column(1).to_pylist())]
+                ids = [np.append(words.encode(t), np.uint32(end_id)) for t in b.column(1).to_pylist()]
                 n = len(ids)
                 yield pa.RecordBatch.from_arrays([
                     pa.array([part] * n, pa.int32()), pa.array(range(pos, pos + n), pa.int64()), b.column(2), b.column(0),
-                    pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array([_narrow(x) for x in ids], pa.binary())],
+                    pa.array([len(x) for x in ids], pa.int64()), pa.array([_narrow(x) for x in ids], pa.binary())],
                     names=["part", "pos", "source", "doc_id", "n_tokens", "ids"])
                 pos += n
 
@@ -67,10 +67,9 @@ def token_table(docs: DataFrame, tokenizer: str, end_id: int, id_col: str, text_
     return rows.mapInArrow(encode, _IDS.format(id=id_type.simpleString()))
 
 
-def _narrow(ids: bytes) -> bytes:
+def _narrow(ids: np.ndarray) -> bytes:
     """16-bit ids marked by a leading 0 byte, or 32-bit ids after a 1 byte."""
-    a = np.frombuffer(ids, "<u4")
-    return b"\0" + a.astype("<u2").tobytes() if len(a) == 0 or a.max() < 65536 else b"\1" + ids
+    return b"\0" + ids.astype("<u2").tobytes() if ids.max() < 65536 else b"\1" + ids.astype("<u4").tobytes()
 
 
 def _wide(ids: bytes) -> np.ndarray:
