@@ -101,45 +101,60 @@ def metrics(text: Column) -> Column:
     )
 
 
-COLUMNS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_stop_words",
-           "mean_word_chars", "symbol_ratio", "stop_word_ratio", "exclamation_ratio", "upper_ratio",
-           "dup_line_ratio", "repeat_ratio", "base_failed", "failed_rules", "kept"]
+def rates(m: Column) -> dict[str, Column]:
+    """Counts and ratios by name, from a ``metrics`` struct."""
+    def ratio(a: Column, b: Column) -> Column:
+        return a / F.greatest(b, F.lit(1))
+
+    n, lines, chars = m["w"]["n"], m["l"]["n"], m["word_chars"]
+    return {
+        "n_words": n, "word_chars": chars, "n_symbols": m["n_symbols"], "n_dup_lines": m["l"]["dup"],
+        "n_repeat_words": m["w"]["rep"], "n_lines": lines, "n_stop_words": m["n_stop"],
+        "mean_word_chars": ratio(chars, n), "symbol_ratio": ratio(m["n_symbols"], n),
+        "stop_word_ratio": ratio(m["n_stop"], n), "exclamation_ratio": ratio(m["n_exclamations"], n),
+        "upper_ratio": ratio(m["n_upper"], chars), "dup_line_ratio": ratio(m["l"]["dup"], lines),
+        "repeat_ratio": ratio(m["w"]["rep"], n),
+    }
+
+
+def base_failed(v: dict[str, Column]) -> Column:
+    return (v["n_words"] < MIN_WORDS) | (100 * v["n_repeat_words"] > MAX_REPEAT_PCT * v["n_words"])
+
+
+def broken(r: Rule, v: dict[str, Column]) -> Column:
+    bad = F.lit(False)
+    if r.low is not None:
+        bad = bad | (v[r.metric] < r.low)
+    if r.high is not None:
+        bad = bad | (v[r.metric] > r.high)
+    return bad
 
 
 def judge(docs: DataFrame, text_col: str = "text", rules: list[Rule] = RULES) -> DataFrame:
-    """``docs`` with the counts, ratios, failed rules and ``kept`` of every row."""
-    def ratio(a: str, b: str) -> Column:
-        return F.col(a) / F.greatest(F.col(b), F.lit(1))
-
-    own = [c for c in docs.columns if c not in COLUMNS and c != "_m"]
-    m = docs.select(*own, metrics(text_or_empty(text_col)).alias("_m"))
-    counted = m.select(
-        *own, F.col("_m.w.n").alias("n_words"), F.col("_m.word_chars").alias("word_chars"),
-        F.col("_m.n_symbols").alias("n_symbols"), F.col("_m.l.dup").alias("n_dup_lines"),
-        F.col("_m.w.rep").alias("n_repeat_words"), F.col("_m.l.n").alias("n_lines"),
-        F.col("_m.n_stop").alias("n_stop_words"), F.col("_m.n_exclamations").alias("_excl"),
-        F.col("_m.n_upper").alias("_upper"))
-    rated = counted.select(
-        "*", ratio("word_chars", "n_words").alias("mean_word_chars"), ratio("n_symbols", "n_words").alias("symbol_ratio"),
-        ratio("n_stop_words", "n_words").alias("stop_word_ratio"), ratio("_excl", "n_words").alias("exclamation_ratio"),
-        ratio("_upper", "word_chars").alias("upper_ratio"), ratio("n_dup_lines", "n_lines").alias("dup_line_ratio"),
-        ratio("n_repeat_words", "n_words").alias("repeat_ratio")).drop("_excl", "_upper")
-
-    def broken(r: Rule) -> Column:
-        v, bad = F.col(r.metric), F.lit(False)
-        if r.low is not None:
-            bad = bad | (v < r.low)
-        if r.high is not None:
-            bad = bad | (v > r.high)
-        return F.when(bad, F.lit(r.name))
-
-    base = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PCT * F.col("n_words"))
-    return (rated.withColumn("base_failed", base)
-            .withColumn("failed_rules", F.array_compact(F.array(*[broken(r) for r in rules])))
+    """``docs`` with the counts, ratios, ``base_failed``, ``failed_rules`` and ``kept`` of every row."""
+    v = rates(F.col("_m"))
+    names = [*v, "base_failed", "failed_rules", "kept"]
+    own = [c for c in docs.columns if c not in names and c != "_m"]
+    rated = docs.select(*own, metrics(text_or_empty(text_col)).alias("_m")).select(*own, *[c.alias(k) for k, c in v.items()])
+    v = {k: F.col(k) for k in v}
+    return (rated.withColumn("base_failed", base_failed(v))
+            .withColumn("failed_rules", F.array_compact(F.array(*[F.when(broken(r, v), F.lit(r.name)) for r in rules])))
             .withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0)))
 
 
+def verdict(text: Column, rules: list[Rule] = RULES) -> Column:
+    """Whether a text passes, as one expression that computes the counts once, so that a filter on
+    it, wherever the optimizer puts it, costs one pass over the text."""
+    def passes(m):
+        v = rates(m)
+        bad = base_failed(v)
+        for r in rules:
+            bad = bad | broken(r, v)
+        return ~bad
+
+    return let(metrics(text), passes)
+
+
 def keep_good(docs: DataFrame, text_col: str = "text", rules: list[Rule] = RULES) -> DataFrame:
-    """The rows of ``docs`` that pass, with their own columns only."""
-    return judge(docs.withColumn("_row", F.struct(*[F.col(c) for c in docs.columns])), text_col, rules) \
-        .where("kept").select("_row.*")
+    """The rows of ``docs`` that pass, with their own columns."""
+    return docs.where(verdict(text_or_empty(text_col), rules))
