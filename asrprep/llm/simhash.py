@@ -75,7 +75,9 @@ def _flips(seg: Column, raising: bool = False) -> Column:
 
 
 def _ball(seg: Column, radius: int) -> Column:
-    out = F.concat(F.array(seg), _flips(seg))
+    out = F.array(seg)
+    if radius >= 1:
+        out = F.concat(out, _flips(seg))
     if radius == 2:
         masks = [(1 << a) | (1 << b) for a in range(32) for b in range(a)]
         two = F.transform(F.sequence(F.lit(0), F.lit(len(masks) - 1)), lambda i: seg.bitwiseXOR(
