@@ -16,7 +16,6 @@ from __future__ import annotations
 import argparse
 import importlib
 import json
-import os
 
 from pyspark.sql import functions as F
 
@@ -28,17 +27,16 @@ from asrprep.sources import io as aio
 from asrprep.streaming import prepare as prep
 
 
-def _read_table(spark, path, schema=None):
-    if path.endswith(".csv") or os.path.isdir(path) and any(f.endswith(".csv") for f in os.listdir(path)):
-        if schema is None:
-            return spark.read.option("header", "true").option("multiLine", "true").option("escape", '"').csv(path)
-        return aio.read_csv(spark, path, schema)
+def _read_table(spark, path, fmt=None):
+    """A Parquet or CSV table on any file system, by ``fmt`` or by the path's ending."""
+    if (fmt or ("csv" if path.rstrip("/").endswith(".csv") else "parquet")) == "csv":
+        return aio.read_csv(spark, path)
     return spark.read.parquet(path)
 
 
 def run_curate(args) -> None:
     spark = get_spark()
-    raw = spark.read.option("header", "true").option("multiLine", "true").option("escape", '"').csv(args.input)
+    raw = aio.read_csv(spark, args.input)
     cols = raw.columns
     df = raw.withColumn("order", F.col("order").cast("double")) if "order" in cols else raw
     # the input has no row key: assign one and pin it, so every later pass sees the same ids
@@ -55,8 +53,7 @@ def run_curate(args) -> None:
 def run_prepare(args) -> None:
     spark = get_spark()
     manifest = aio.read_csv(spark, args.input_csv, "id long, new_audio_url string, transcription string")
-    if args.ledger_json and os.path.exists(args.ledger_json):
-        # carry ids recorded by an earlier run into the output ledger
+    if args.ledger_json:  # ids recorded by an earlier run are skipped; a named ledger must exist
         done = aio.read_ledger_json(spark, args.ledger_json)
         manifest = manifest.join(done, "id", "left_anti")
     _, counters = prep.prepare_batch(spark, manifest, args.out, sample_size=args.sample_size,
@@ -73,14 +70,16 @@ def _load_signer(spec: str | None):
 
 def run_refresh_urls(args) -> None:
     spark = get_spark()
-    data = aio.read_csv(spark, args.input, "audio_url string").withColumn("_row_id", F.monotonically_increasing_id())
+    data = aio.read_csv(spark, args.input, "audio_url string").drop("new_audio_url", "path")
+    data = data.withColumn("_row_id", F.monotonically_increasing_id())
     data = pin(data.withColumn("path", object_path("audio_url")).withColumn("prefix_missing", prefix_missing("audio_url")))
     signed = enrich(data.select("_row_id", "path"), "_row_id", "path", _load_signer(args.signer),
                     out_col="new_audio_url", batch_size=args.batch_size)
     out = pin(data.join(signed.select("_row_id", "new_audio_url", "attempts", "error"), "_row_id", "left"))
-    aio.write_csv(out.select("audio_url", "new_audio_url"), args.output)
+    columns = [c for c in data.columns if c not in ("_row_id", "path", "prefix_missing", "new_audio_url")]
+    aio.write_csv(out.select(*columns, "new_audio_url"), args.output)
     if args.failed:
-        aio.write_csv(out.where(F.col("error").isNotNull()).select("audio_url", "path", "error"), args.failed)
+        aio.write_csv(out.where(F.col("error").isNotNull()).select(*columns, "path", "error"), args.failed)
 
 
 def run_split_urls(args) -> None:
@@ -94,7 +93,7 @@ def run_split_urls(args) -> None:
 
 def run_wer(args) -> None:
     spark = get_spark()
-    pairs = _read_table(spark, args.pairs)
+    pairs = _read_table(spark, args.pairs, args.format)
     scored = scoring.score_pairs(pairs, args.ref, args.hyp, normalize=args.normalize)
     print(json.dumps(scoring.corpus_wer(scored).collect()[0].asDict()))
 
@@ -142,6 +141,7 @@ def main(argv=None) -> None:
     w = sub.add_parser("wer", help="corpus word error rate of (ref, hyp) pairs")
     w.add_argument("pairs")
     w.add_argument("--normalize", action="store_true")
+    w.add_argument("--format", choices=["csv", "parquet"], help="default: by the path's ending")
     w.add_argument("--ref", default="ref")
     w.add_argument("--hyp", default="hyp")
     w.set_defaults(fn=run_wer)

@@ -9,11 +9,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
-from asrprep.functions.text import WORD_CLASS_BODY
+from asrprep.functions.text import WORD_CLASS_BODY, strip
 
 CORRECTION = StructType([StructField("wrong", StringType()), StructField("correct", StringType())])
 CORRECTIONS = ArrayType(CORRECTION)
-_JSON_OPTS = {"allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacter": "true"}
+_JSON_OPTS = {"allowSingleQuotes": "true"}
+# one record of the usual form: both keys in order, string values without backslashes or line ends
+_STRING = r"""(?:'[^'\\\n\r]*+'|"[^"\\\n\r]*+")"""
+_RECORD = rf"""\{{\s*+['"]wrong['"]\s*+:\s*+{_STRING}\s*+,\s*+['"]correct['"]\s*+:\s*+{_STRING}\s*+\}}"""
+_MARK = "\x01"
 
 
 def _c(c) -> Column:
@@ -58,17 +62,28 @@ def _valid(arr: Column) -> Column:
     return F.forall(arr, lambda x: x.isNotNull() & x["wrong"].isNotNull() & x["correct"].isNotNull())
 
 
+def _usual_form(raw: Column) -> Column:
+    """The whole text is one list of records of the usual form: with each record replaced by a mark
+    and blanks removed, only marks and commas remain between the brackets."""
+    rest = F.translate(F.regexp_replace(raw, _RECORD, _MARK), " \t\n\r", "")
+    return F.get(F.transform(F.array(rest), lambda r: (
+        F.startswith(r, F.lit("[")) & F.endswith(r, F.lit("]")) & (F.length(r) >= 2)
+        & ((r == "[]") | (F.replace(F.concat(r.substr(F.lit(2), F.length(r) - 2), F.lit(",")), F.lit(_MARK + ","), F.lit("")) == "")))),
+        F.lit(0)) & ~raw.contains(_MARK)
+
+
 def parse_corrections(raw) -> Column:
     """Parse ``"[{'wrong': 'a', 'correct': 'b'}, ...]"`` into ``array<struct<wrong, correct>>``.
 
-    Null, empty and blank strings give an empty list. The JVM JSON reader (single quotes allowed)
-    handles the usual form; only rows it cannot read go through a strict Python literal parser.
+    Null, empty and blank strings (Unicode white space) give an empty list. The JVM JSON reader
+    (single quotes allowed) reads texts that are wholly of the usual form, without backslashes;
+    every other text goes through a strict Python literal parser, so escapes mean what they mean there.
     Result is null when the text is malformed (not a list of records with string ``wrong`` and
     ``correct``); callers turn that into a ``malformed_corrections`` reject.
     """
     raw = _c(raw)
-    blank = raw.isNull() | (F.length(F.trim(raw)) == 0)
-    js = F.from_json(raw, CORRECTIONS, _JSON_OPTS)
+    blank = raw.isNull() | (F.length(strip(raw)) == 0)
+    js = F.when(_usual_form(raw), F.from_json(raw, CORRECTIONS, _JSON_OPTS))
     js_ok = js.isNotNull() & _valid(js)
     fallback = _strict_parse(F.when(~blank & ~js_ok, raw))
     return (F.when(blank, F.array().cast(CORRECTIONS))

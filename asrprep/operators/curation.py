@@ -31,7 +31,7 @@ from asrprep.functions.text import WORD, words
 from asrprep.operators.joins import broadcast_if_small, checked_broadcast, pin_measured
 from asrprep.session import pin as pin_df
 
-PURE_WORD = f"^{WORD}$"
+PURE_WORD = rf"^{WORD}\z"  # not $, which also matches before a final line end
 
 
 def word_frequency(df: DataFrame, text_col: str = "transcription") -> DataFrame:

@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
 
 # Defaults for a local run; on a cluster the submitted configuration wins because
@@ -37,8 +38,13 @@ def get_spark(master: str | None = None, app: str = "asrprep", shuffle_partition
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
+    running = SparkSession.getActiveSession()
+    SparkContext._ensure_initialized()  # so that SparkConf sees what spark-submit passed
+    submitted = running.sparkContext.getConf() if running else SparkConf()  # also what spark-submit --conf set
     for k, v in conf.items():
-        builder = builder.config(k, v)
+        set_by_user = submitted.contains(k) or (running is not None and running.conf.get(k, None) is not None)
+        if not set_by_user or k in (extra or {}):
+            builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return prepare_session(spark)
@@ -86,6 +92,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="asrprep-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

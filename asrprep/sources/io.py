@@ -9,17 +9,41 @@ from pyspark.sql.types import StructType
 from asrprep import schemas
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType | str, na_tokens: list[str] | None = None) -> DataFrame:
-    """CSV with a header, quoted multi-line fields and an explicit schema. Only the empty field is
-    null unless ``na_tokens`` lists more strings to treat as missing."""
-    df = (spark.read.schema(schema).option("header", "true").option("multiLine", "true")
+def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None, na_tokens: list[str] | None = None,
+             multi_line: bool = True) -> DataFrame:
+    """CSV with a header. Columns are found by their header names, every column of the file is
+    kept as a string in the file's order, and those named in ``schema`` are cast to its types; a
+    name that the header lacks is an error. Only the empty field is null unless ``na_tokens`` lists more strings to treat as missing. ``multi_line=False``
+    lets Spark split files whose fields hold no line ends."""
+    df = (spark.read.option("header", "true").option("multiLine", str(multi_line).lower())
           .option("escape", '"').option("mode", "PERMISSIVE")
           .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(path))
+    wanted = _struct(schema).fields if schema is not None else []
+    missing = [f.name for f in wanted if f.name not in df.columns]
+    if missing:
+        raise ValueError(f"{path}: no column {', '.join(missing)} in header {df.columns}")
+    types = {f.name: f.dataType for f in wanted}
+    return df.select(*[_field(c, types.get(c), na_tokens) for c in df.columns])
+
+
+def _struct(schema: StructType | str) -> StructType:
+    return StructType.fromDDL(schema) if isinstance(schema, str) else schema
+
+
+def _field(name: str, kind, na_tokens: list[str] | None):
+    col = F.col(f"`{name}`")
     if na_tokens:
-        for f in df.schema.fields:
-            if f.dataType.simpleString() == "string":
-                df = df.withColumn(f.name, F.when(F.col(f.name).isin(*na_tokens), None).otherwise(F.col(f.name)))
-    return df
+        col = F.when(~col.isin(*na_tokens), col)
+    if kind is not None and kind.simpleString() != "string":
+        col = col.try_cast(kind)
+    return col.alias(name)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists in the Hadoop file system it names (local, HDFS, object store)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -50,10 +74,12 @@ def read_ledger_json(spark: SparkSession, path: str, multi_line: bool = False) -
     return raw.select(F.explode("processed_ids").alias("id")).distinct()
 
 
-def write_ledger_json(df: DataFrame, path: str, id_col: str = "id") -> None:
-    """Export an id table in the ``{"processed_ids": [...]}`` form (one object per output file)."""
-    (df.select(id_col).groupBy(F.spark_partition_id().alias("_p"))
-     .agg(F.collect_list(id_col).alias("processed_ids")).select("processed_ids")
+def write_ledger_json(df: DataFrame, path: str, id_col: str = "id", ids_per_object: int = 1 << 16) -> None:
+    """Export an id table in the ``{"processed_ids": [...]}`` form: one object per ``ids_per_object``
+    ids of a partition, so no object grows with the table."""
+    row = F.monotonically_increasing_id()  # partition index << 33 | record number in the partition
+    (df.select(id_col).withColumn("_g", F.floor(row / F.lit(ids_per_object)))
+     .groupBy("_g").agg(F.collect_list(id_col).alias("processed_ids")).select("processed_ids")
      .write.mode("overwrite").json(path))
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from asrprep.operators.manifest import prepare_text
 from asrprep.session import pin
+from asrprep.sources.io import path_exists
 
 
 def prepare_stream(spark: SparkSession, source_dir: str, out_dir: str, checkpoint: str, id_col: str = "id",
@@ -88,9 +89,9 @@ def prepare_batch(spark: SparkSession, manifest: DataFrame, out_dir: str, id_col
     from asrprep.operators.manifest import select_backlog
 
     good_dir = os.path.join(out_dir, "good")
-    try:
+    if path_exists(spark, good_dir):  # an output that cannot be read fails the job: its rows are not prepared again
         done = spark.read.parquet(good_dir).select(id_col)
-    except Exception:  # noqa: BLE001 - first run: no output yet
+    else:
         done = spark.createDataFrame([], manifest.select(id_col).schema)
     todo = select_backlog(manifest, done, id_col, text_col, sample_size)
     prepared = prepare_text(todo, text_col, lower_case, remove_punct).withColumn("run", run_label())
