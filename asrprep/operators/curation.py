@@ -12,8 +12,8 @@ Shape of the job (every step a DataFrame operation, no driver loops):
   transcript per row. For a correct word made only of word characters, every occurrence in the
   space-joined transcript lies inside one word of one chunk, so it is a whole-token equi-join, or,
   for the rest, an equi-join against the substrings (of the needed lengths only) of the recording's
-  distinct words. Only correct words containing other characters fall back to the concatenated
-  transcript, and only for the recordings that have such a word.
+  distinct words. Corrections containing other characters are equi-joined with the places where
+  runs of word characters and of other characters meet in the transcripts of those recordings.
 * verdict: flags regrouped per row (a group is one row's own correction list)
 * rewrite: a left join of the verdict to the rows, then a fold over the approved corrections.
 """
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from asrprep.functions import corrections as corr
 from asrprep.functions.similarity import similarity as similarity_expr
-from asrprep.functions.text import WORD, words
+from asrprep.functions.text import NOT_WORD, WORD, words
 from asrprep.operators.joins import broadcast_if_small, checked_broadcast, pin_measured
 from asrprep.session import pin as pin_df
 
@@ -154,18 +154,70 @@ def appears_in_transcript(chunks: DataFrame, occurrences: DataFrame, audio_col:
     else:
         hit_sub = rest.join(subs, [audio_col, "correct"], "left_semi")
 
-    # words with non-word characters: containment in the joined transcript of those recordings only
-    needing = other.select(audio_col).distinct()
-    full = full_transcripts(chunks.join(needing, audio_col, "left_semi"), audio_col, order_col, text_col, tie_cols)
-    hit_other = (other.join(full, audio_col, "left")
-                 .where(F.coalesce(F.lower("full_transcription"), F.lit("")).contains(F.col("correct")))
-                 .select(audio_col, "correct"))
+    # corrections with non-word characters: looked up at the places where a word meets other text
+    hit_other = _nonword_hits(chunks, other, audio_col, text_col, order_col, tie_cols, pin)
 
     hits = hit_whole.unionByName(hit_sub).unionByName(hit_other).withColumn("appears", F.lit(True))
     return (cw.join(hits, [audio_col, "correct"], "left")
             .withColumn("appears", F.coalesce(F.col("appears"), F.lit(False))))
 
 
+MAX_RUNS = 16  # longer corrections (in runs) are searched in the whole transcript
+
+
+def _runs(text: Column) -> Column:
+    """A text as its runs of word characters and of other characters, in order."""
+    return F.regexp_extract_all(text, F.lit(f"{WORD}|{NOT_WORD}+"), F.lit(0))
+
+
+def _nonword_hits(chunks: DataFrame, other: DataFrame, audio_col: str, text_col: str, order_col: str,
+                  tie_cols: list[str], pin: bool) -> DataFrame:
+    """``(audio_id, correct)`` of the corrections in ``other`` that occur in their recording's transcript.
+
+    A correction of two runs or more can only occur where the transcript has two neighbouring runs of
+    which the left ends with its x and the right begins with its y, for any two neighbouring runs x, y
+    of the correction; the longest such two are taken. So neighbouring runs of the transcript are joined
+    with the corrections on (recording, ending of that length, beginning of that length), for the
+    lengths that the recording's corrections ask for, and a match is confirmed in the few runs
+    around it: linear in the transcript, whatever the number of corrections. A correction of one
+    run holds no word character and is looked for in the recording's distinct runs of such.
+    """
+    asked = other.withColumn("_r", _runs(F.col("correct")))
+    sized = F.transform(F.sequence(F.lit(0), F.size("_r") - 2), lambda i: F.struct(
+        (F.length(F.get("_r", i)) + F.length(F.get("_r", i + 1))).alias("n"), (-i).alias("i")))
+    several = (asked.where((F.size("_r") >= 2) & (F.size("_r") <= MAX_RUNS)).withColumn("_at", -F.array_max(sized)["i"])
+               .select(audio_col, "correct", F.get("_r", F.col("_at")).alias("_x"), F.get("_r", F.col("_at") + 1).alias("_y"),
+                       F.size("_r").alias("_n")))
+    if pin:
+        several = pin_df(several)
+    reach = (several.agg(F.max("_n")).collect()[0][0] or 2) - 1 if pin else MAX_RUNS - 1
+
+    full = full_transcripts(chunks.join(other.select(audio_col).distinct(), audio_col, "left_semi"),
+                            audio_col, order_col, text_col, tie_cols)
+    full = full.select(audio_col, F.lower("full_transcription").alias("_t"))
+    if pin:
+        full = pin_df(full)
+    # (left run, right run, the runs around them) of every two neighbouring runs
+    around = F.get(F.transform(F.array(_runs(F.col("_t"))), lambda r: F.transform(
+        F.sequence(F.lit(0), F.greatest(F.size(r) - 2, F.lit(0))), lambda i: F.struct(
+            F.get(r, i).alias("_l"), F.get(r, i + 1).alias("_g"),
+            F.concat_ws("", *[F.when(i + k >= 0, F.get(r, i + k)) for k in range(-reach + 1, reach + 1)]).alias("_near")))), F.lit(0))
+    meets = full.select(audio_col, F.explode(around).alias("_m")).select(audio_col, "_m.*").where(F.col("_g").isNotNull())
+    lens = several.select(audio_col, F.length("_x").alias("_lx"), F.length("_y").alias("_ly")).distinct()
+    keyed = (meets.join(checked_broadcast(lens) if pin else lens, audio_col)
+             .where((F.length("_l") >= F.col("_lx")) & (F.length("_g") >= F.col("_ly")))
+             .select(audio_col, F.expr("right(_l, _lx)").alias("_x"), F.expr("left(_g, _ly)").alias("_y"), "_near"))
+    found = (keyed.join(several, [audio_col, "_x", "_y"]).where(F.contains("_near", "correct"))
+             .select(audio_col, "correct").distinct())
+
+    gaps = full.select(audio_col, F.explode(F.array_distinct(F.regexp_extract_all("_t", F.lit(f"{NOT_WORD}+"), F.lit(0)))).alias("_gap"))
+    single = (asked.where(F.size("_r") == 1).select(audio_col, "correct").join(gaps, audio_col)
+              .where(F.contains("_gap", "correct")).select(audio_col, "correct").distinct())
+    long = (asked.where(F.size("_r") > MAX_RUNS).select(audio_col, "correct").join(full, audio_col)
+            .where(F.contains("_t", "correct")).select(audio_col, "correct"))
+    return found.unionByName(single).unionByName(long)
+
+
 def flag_rule(pair_frequency: Column, similarity: Column, known: Column, appears: Column,
               min_pair_freq: int = 2, similarity_threshold: float = 0.7) -> Column:
     """A correction is flagged when it is rare, dissimilar, not to a known word and not seen in the
