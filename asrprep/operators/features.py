@@ -16,7 +16,6 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from asrprep.operators.partitioning import ensure_parallelism
 
 # Fixed values of the log-Mel front end: 16 kHz, 25 ms window (400), 10 ms hop (160), 30 s frame.
 SAMPLE_RATE = 16000
@@ -212,7 +211,7 @@ def log_mel_features(df: DataFrame, id_col: str, audio_col: str, n_mels: int = 8
                     reasons.append(why)
                 yield _emit(ids, feats, lens, reasons, summary)
 
-    src = ensure_parallelism(df.select(F.col(id_col), F.col(audio_col)))
+    src = df.select(F.col(id_col), F.col(audio_col))
     out = src.mapInPandas(run, _features_schema(id_type, summary))
     return out.withColumnRenamed("id", id_col)
 
@@ -241,7 +240,7 @@ def log_mel_from_samples(df: DataFrame, id_col: str, samples_col: str, sample_ra
                     reasons.append(None)
                 yield _emit(ids, feats, lens, reasons, summary)
 
-    src = ensure_parallelism(df.select(F.col(id_col), F.col(samples_col)))
+    src = df.select(F.col(id_col), F.col(samples_col))
     out = src.mapInPandas(run, _features_schema(id_type, summary))
     return out.withColumnRenamed("id", id_col)
 

@@ -42,8 +42,8 @@ def encode(df: DataFrame, vocab: DataFrame, key_cols: list[str], text_col: str =
     toks = df.select(*key_cols, F.posexplode_outer(words_expr(F.col(text_col), lower=lower_case)).alias("p", "word"))
     # hot words ("the") would skew a shuffle join on the word: broadcast the vocabulary when its
     # counted size allows, else the shuffle join with AQE skew splitting
-    joined = toks.join(checked_broadcast(vocab.select("word", "id")), "word", "left")
-    item = F.when(F.col("word").isNotNull(), F.struct("p", F.coalesce("id", F.lit(UNK_ID)).alias("id")))
+    joined = toks.join(checked_broadcast(vocab.select("word", F.col("id").alias("_vid"))), "word", "left")
+    item = F.when(F.col("word").isNotNull(), F.struct("p", F.coalesce("_vid", F.lit(UNK_ID)).alias("id")))
     per_row = joined.groupBy(*key_cols).agg(F.array_sort(F.collect_list(item)).alias("_ids"))
     ids = F.transform("_ids", lambda s: s["id"])
     if add_bos:
@@ -57,9 +57,9 @@ def decode(df: DataFrame, vocab: DataFrame, key_cols: list[str], labels_col: str
            out_col: str = "text") -> DataFrame:
     """Ids back to text: ``-100`` first mapped to pad, special ids skipped, words joined by one space."""
     ids = F.transform(labels_col, lambda x: F.when(x == IGNORE_INDEX, F.lit(PAD_ID)).otherwise(x))
-    toks = df.select(*key_cols, F.posexplode_outer(F.filter(ids, lambda x: x >= N_SPECIAL)).alias("p", "id"))
-    joined = toks.join(checked_broadcast(vocab.select("word", "id")), "id", "left")
-    item = F.when(F.col("id").isNotNull(), F.struct("p", F.coalesce("word", F.lit(UNK)).alias("w")))
+    toks = df.select(*key_cols, F.posexplode_outer(F.filter(ids, lambda x: x >= N_SPECIAL)).alias("p", "_vid"))
+    joined = toks.join(checked_broadcast(vocab.select("word", F.col("id").alias("_vid"))), "_vid", "left")
+    item = F.when(F.col("_vid").isNotNull(), F.struct("p", F.coalesce("word", F.lit(UNK)).alias("w")))
     per_row = joined.groupBy(*key_cols).agg(F.array_sort(F.collect_list(item)).alias("_w"))
     return per_row.select(*key_cols, F.array_join(F.transform("_w", lambda s: s["w"]), " ").alias(out_col))
 

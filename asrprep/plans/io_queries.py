@@ -29,14 +29,14 @@ def ledger_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def audio_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each page stored as one object (the text writer, one folder per page), ingested with the
-    binary-file reader: name, size and status per object."""
+    """Each page stored as one object (the text writer, a file per record, many to a folder; the page's
+    number is the first line), ingested with the binary-file reader: size and status per object."""
     pages = table(spark, sf_dir, "pages").select("page_id", "html")
     path = scratch_path(spark, "objects")
-    pages.repartition("page_id").write.partitionBy("page_id").text(path)
+    pages.select(F.concat_ws("\n", "page_id", "html")).write.option("maxRecordsPerFile", "1").text(path)
     files = aio.read_audio_files(spark, path, glob="*.txt")
-    return files.select(F.regexp_extract("path", r"page_id=(\d+)", 1).cast("long").alias("page_id"),
-                        F.col("length").alias("length"), "status")
+    number = F.split(F.decode(F.substring("content", 1, 24), "ISO-8859-1"), "\n")[0]
+    return files.select(number.cast("long").alias("page_id"), (F.col("length") - F.length(number) - 1).alias("length"), "status")
 
 
 def train_test_split(spark: SparkSession, sf_dir: str) -> DataFrame:

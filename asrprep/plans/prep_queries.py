@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from asrprep.functions import text as T
 from asrprep.functions.urls import SIGNED_PATH_PREFIX, URL_PATH_RE, file_name, object_path, prefix_missing
-from asrprep.operators import features, labels, manifest, sampling, scoring
+from asrprep.operators import features, labels, manifest, preparation, sampling, scoring
 from asrprep.operators.enrich import HashSigner, enrich
 from asrprep.plans.stand_ins import table
 from asrprep.session import scratch_path
@@ -291,6 +291,53 @@ def wav_features(spark: SparkSession, sf_dir: str) -> DataFrame:
         "vec_id", "input_length", "n_mels", "n_frames", "reject_reason")
 
 
+MANIFEST_SHAPES = 9
+
+
+def _manifest(spark, sf_dir):
+    """embeddings as audio (a data URL of WAV bytes) with the text of the document of the same number;
+    by number modulo 9: an unreachable location (1), no bytes (2), bytes that are no WAV (3), text
+    without a word (4), blank text (5), no text (6)."""
+    e, d = table(spark, sf_dir, "embeddings"), table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
+    k = F.col("vec_id") % MANIFEST_SHAPES
+    audio = F.base64(features.wav_bytes("embedding", rate=16000))
+    rows = e.select(F.col("vec_id").alias("id"), k.alias("k"), F.when(k == 1, F.lit("gone")).when(k == 2, F.lit("data:"))
+                    .when(k == 3, F.lit("data:QUJD")).otherwise(F.concat(F.lit("data:"), audio)).alias("new_audio_url"))
+    text = F.when(F.col("k") == 4, F.lit("?!")).when(F.col("k") == 5, F.lit(" \t")).when(F.col("k") != 6, F.col("text"))
+    return rows.join(d, "id").select("id", "new_audio_url", text.alias("transcription"))
+
+
+def data_url_loader(location: str) -> bytes:
+    import base64
+    if not location.startswith("data:"):
+        raise OSError(f"no such object: {location}")
+    return base64.b64decode(location[5:])
+
+
+def frame_levels(data: bytes):
+    """A small feature function: mean level of each frame of 160 samples, in one row."""
+    try:
+        samples, rate, channels = features.read_wav(data)
+    except Exception as e:  # noqa: BLE001
+        raise preparation.Reject("audio_undecodable") from e
+    if channels > 1:
+        raise preparation.Reject("multi_channel")
+    mono = samples[:, 0]
+    return [[float(abs(mono[i:i + 160]).mean()) for i in range(0, len(mono), 160)]], len(mono) / rate
+
+
+def prepare_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The preparation job from manifest to feature table, run twice: the first takes the ids below
+    the middle, the second resumes with the rest. All rows of the table come back."""
+    out, manifest = scratch_path(spark, "features"), _manifest(spark, sf_dir)
+    half = manifest.where("id % 2 = 0")
+    for run, rows in (("first", half), ("second", manifest)):
+        preparation.prepare_features_batch(spark, rows, out, run, data_url_loader, frame_levels, _vocab(spark, sf_dir), delay=0)
+    return spark.read.parquet(out).select(
+        "id", F.round("input_length", 6).alias("input_length"), F.size(F.get("input_features", F.lit(0))).alias("n_frames"),
+        _ids_string("labels").alias("labels"), "reject_reason", "run")
+
+
 # ---- streaming -------------------------------------------------------------------------------
 
 
@@ -357,6 +404,17 @@ ORACLES = {
         SELECT doc_id, batch_id, array_to_string(CASE WHEN cut THEN padded[2:] ELSE padded END, ',') AS labels,
                (wd - cut::INTEGER)::BIGINT AS width FROM p""",
     "audio_seconds": "SELECT vec_id, len(embedding)::DOUBLE / 16000 AS input_length FROM embeddings",
+    "prepare_features": f"""WITH {_VOCAB_SQL},
+        m AS (SELECT vec_id AS id, vec_id % {MANIFEST_SHAPES} AS k, len(embedding) AS n, text
+              FROM embeddings JOIN documents ON doc_id = vec_id WHERE vec_id % {MANIFEST_SHAPES} <> 6 AND text IS NOT NULL),
+        r AS (SELECT m.*, ids, CASE WHEN k = 1 THEN 'load_failed' WHEN k = 2 THEN 'audio_missing' WHEN k = 3 THEN 'audio_undecodable'
+                     WHEN k = 5 OR trim(text, ' ' || chr(9) || chr(10) || chr(13)) = '' THEN 'text_blank' WHEN k = 4 OR len(ids) <= 2 THEN 'tokenize_error' END AS reject_reason
+              FROM m JOIN enc ON enc.doc_id = m.id)
+        SELECT id, CASE WHEN reject_reason IS NULL THEN round(n / 16000.0, 6) END AS input_length,
+               CASE WHEN reject_reason IS NULL THEN ceil(n / 160.0)::INTEGER END AS n_frames,
+               CASE WHEN reject_reason IS NULL THEN array_to_string(ids, ',') END AS labels, reject_reason, run
+        FROM r JOIN (VALUES ('first'), ('second')) t(run)
+          ON CASE run WHEN 'first' THEN id % 2 = 0 ELSE id % 2 = 1 OR reject_reason IS NOT NULL END""",
     "wav_features": """SELECT vec_id, (2 * len(embedding))::DOUBLE / 16000 AS input_length, 80 AS n_mels,
                               3000 AS n_frames, NULL::VARCHAR AS reject_reason FROM embeddings""",
     "stream_prepare": f"""SELECT doc_id, {_sql_strip('text')} AS text, n_chars FROM documents
@@ -389,6 +447,7 @@ QUERIES = {
     "audio_seconds": audio_seconds,
     "log_mel": log_mel,
     "wav_features": wav_features,
+    "prepare_features": prepare_features,
     "stream_prepare": stream_prepare,
 }
 

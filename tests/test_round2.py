@@ -107,3 +107,66 @@ def test_nonword_containment_equals_plain_python(spark):
     got = {(r["audio_id"], r["correct"]): r["appears"] for r in curation.appears_in_transcript(
         chunks, occ, tie_cols=["row_id"]).collect()}
     assert got == {(a, c): c in full[a] for a in "AB" for c in NONWORD}
+
+
+def _loader(location):
+    if location == "fails":
+        raise OSError("gone")
+    return location.encode()
+
+
+def _featurise(data):
+    from asrprep.operators.preparation import Reject
+    if data == b"odd":
+        raise Reject("audio_undecodable")
+    return [[float(b) for b in data]], len(data) / 10
+
+
+def _manifest_rows(spark, ids):
+    where = ["abc", "fails", "", "odd", "abcd", "x", "abc"]
+    text = ["one two", "one", "one", "one", " ", "?", "two"]
+    return spark.createDataFrame([(i, where[i % 7], text[i % 7]) for i in ids], "id long, new_audio_url string, transcription string")
+
+
+OUTCOMES = {0: None, 1: "load_failed", 2: "audio_missing", 3: "audio_undecodable", 4: "text_blank", 5: "tokenize_error", 6: None}
+
+
+def test_preparation_job_resumes(spark, tmp_dir):
+    from asrprep.operators import labels, preparation
+    vocab = labels.build_vocab(spark.createDataFrame([("one two two",)], "transcription string"))
+    out = f"{tmp_dir}/features"
+    args = (_loader, _featurise, vocab)
+    preparation.prepare_features_batch(spark, _manifest_rows(spark, range(7)), out, "a", *args, delay=0)
+    got = {r["id"]: r for r in spark.read.parquet(out).collect()}
+    assert {i: r["reject_reason"] for i, r in got.items()} == OUTCOMES
+    assert got[0]["labels"] == [1, 5, 4, 2] and got[0]["input_features"] == [[97.0, 98.0, 99.0]] and got[0]["input_length"] == 0.3
+    assert got[1]["labels"] is None and got[1]["input_features"] is None
+    preparation.prepare_features_batch(spark, _manifest_rows(spark, range(14)), out, "b", *args, delay=0)
+    done = [r["id"] for r in preparation.prepared(spark, out).collect()]
+    assert sorted(done) == [0, 6, 7, 13]
+
+
+def test_preparation_stream_skips_ids_done_and_replays(spark, tmp_dir):
+    from asrprep.operators import labels, preparation
+    vocab = labels.build_vocab(spark.createDataFrame([("one two two",)], "transcription string"))
+    src, out = f"{tmp_dir}/src", f"{tmp_dir}/features"
+    rows = _manifest_rows(spark, range(7))
+    for checkpoint in ("c1", "c2"):  # a lost checkpoint replays every file: still one row per id
+        rows.coalesce(1).write.mode("append").parquet(src)
+        preparation.prepare_features_stream(spark, src, rows.schema, out, f"{tmp_dir}/{checkpoint}", _loader, _featurise, vocab, delay=0)
+        assert sorted(r["id"] for r in preparation.prepared(spark, out).collect()) == [0, 6]
+
+
+@pytest.mark.parametrize("form", [
+    lambda v: [f"u{x}" for x in v], lambda v: {x: f"u{x}" for x in v}, lambda v: {"signedURLs": [f"u{x}" for x in v]},
+    lambda v: [{"signedURL": f"u{x}", "path": x} for x in reversed(v)], lambda v: [{"signedURL": f"u{x}"} for x in v],
+    lambda v: {"signedURLs": [{"signedURL": f"u{x}", "path": x} for x in v]}])
+def test_signer_answer_forms(spark, form):
+    from asrprep.operators.enrich import enrich
+    rows = spark.range(0, 250, 1, 1).selectExpr("id", "cast(id as string) as path")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "30")
+    try:
+        got = enrich(rows, "id", "path", form, batch_size=100, backoff=None).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert all(r["result"] == f"u{r['id']}" and r["error"] is None for r in got) and len(got) == 250
