@@ -28,6 +28,13 @@ def ledger_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aio.read_ledger_json(spark, path)
 
 
+def csv_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file with more columns, in another order, than the reader names: all come back, by name."""
+    path = scratch_path(spark, "csv-by-name")
+    aio.write_csv(table(spark, sf_dir, "documents").select("source", "text", "n_chars", "doc_id", "lang"), path)
+    return aio.read_csv(spark, path, "doc_id long, n_chars long")
+
+
 def audio_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each page stored as one object (the text writer, a file per record, many to a folder; the page's
     number is the first line), ingested with the binary-file reader: size and status per object."""
@@ -45,6 +52,7 @@ def train_test_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES = {
+    "csv_by_name": "SELECT source, text, n_chars, doc_id, lang FROM documents",
     "csv_roundtrip": "SELECT doc_id, lang, text FROM documents",
     "ledger_roundtrip": "SELECT DISTINCT doc_id AS id FROM labels",
     "audio_ingest": "SELECT page_id, strlen(html) + 1 AS length, 'Success' AS status FROM pages",
@@ -53,6 +61,7 @@ ORACLES = {
 }
 
 QUERIES = {
+    "csv_by_name": csv_by_name,
     "csv_roundtrip": csv_roundtrip,
     "ledger_roundtrip": ledger_roundtrip,
     "audio_ingest": audio_ingest,

@@ -329,10 +329,10 @@ def frame_levels(data: bytes):
 def prepare_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The preparation job from manifest to feature table, run twice: the first takes the ids below
     the middle, the second resumes with the rest. All rows of the table come back."""
-    out, manifest = scratch_path(spark, "features"), _manifest(spark, sf_dir)
+    out, manifest, vocab = scratch_path(spark, "features"), _manifest(spark, sf_dir), _vocab(spark, sf_dir)
     half = manifest.where("id % 2 = 0")
     for run, rows in (("first", half), ("second", manifest)):
-        preparation.prepare_features_batch(spark, rows, out, run, data_url_loader, frame_levels, _vocab(spark, sf_dir), delay=0)
+        preparation.prepare_features_batch(spark, rows, out, run, data_url_loader, frame_levels, vocab, delay=0)
     return spark.read.parquet(out).select(
         "id", F.round("input_length", 6).alias("input_length"), F.size(F.get("input_features", F.lit(0))).alias("n_frames"),
         _ids_string("labels").alias("labels"), "reject_reason", "run")
