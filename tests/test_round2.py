@@ -170,3 +170,10 @@ def test_signer_answer_forms(spark, form):
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert all(r["result"] == f"u{r['id']}" and r["error"] is None for r in got) and len(got) == 250
+
+
+def test_jsonl_sink(spark, tmp_dir):
+    rows = spark.createDataFrame([(1, ["a", "b"], None), (2, [], "x\ny")], "id long, urls array<string>, note string")
+    aio.write_jsonl(rows, f"{tmp_dir}/side")
+    back = spark.read.schema(rows.schema).json(f"{tmp_dir}/side")
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, rows.collect()))
