@@ -2,7 +2,8 @@
 
 Markup is stripped to lines: a block element begins a line, inline elements do not. Each line gets
 a weight: its text length, or nothing where markup says it is no content (menus, headers, footers,
-side bars, notices, adverts, forms, comments; lines that are mostly links). Weights are summed over sliding
+side bars, notices, adverts, forms, comments; lines that are mostly links). Names that also name layouts or
+subjects only lower the weight: such lines count if they are denser than the rest. Weights are summed over sliding
 windows of ``WINDOW`` lines. Text starts where that sum surges, ends where it dives to nothing, and the lines
 of weight between are kept. A page with an ``article`` or ``main`` element has weight only there.
 
@@ -16,6 +17,7 @@ alike; an empty table gives an empty table; other columns are carried through un
 
 from __future__ import annotations
 
+import functools
 import html
 import re
 from collections.abc import Iterator
@@ -39,41 +41,74 @@ NOISE = set("ad ads advert adverts advertisement advertising adsense sponsor spo
             "notice notices notification alert popup modal overlay newsletter subscribe subscription signup share sharing social "
             "related recommended recommendations widget login search copyright skip pagination pager tags toolbar contentinfo "
             "complementary dialog".split())
+# names that leave little doubt; the other words of NOISE also name layouts and subjects, so density can override them
+FIRM = set("ad ads advert adverts advertisement advertising adsense sponsor sponsored navigation breadcrumb breadcrumbs footer comment "
+           "comments disqus reply replies respond cookie cookies consent gdpr newsletter subscribe subscription signup copyright "
+           "pagination pager contentinfo complementary dialog login header masthead topbar".split())
 HEAD_NOISE = {"header", "masthead", "topbar", "side", "banner"}
+STATE = set("has have with without no not is show hide enable enabled disable disabled tag category type format status".split())
+CONTENT = set("entry post article story content body text".split())
+GENERIC = set("wrapper wrap container inner outer list area section box block item items link links bar panel posts articles button "
+              "buttons icon icons text content body group unit slot row col column title form info top bottom left right main this "
+              "holder area zone frame thread x px".split())
+WEIGHTS = (1.0, 0.5, 0.25, 0.0)  # no name, a name in passing, a loose name, a firm name
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(" + "|".join(RAW) + r")\b[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*>"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S | re.I)
-_ATTR = re.compile(r"""\b(class|id|role|style|hidden|aria-hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
-_WORD = re.compile(r"[a-z]+")
+_ATTR = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
+_PART = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
 _CAMEL = re.compile(r"([a-z])([A-Z])")
 
 
-def _noise(name: str, attrs: str, inside: bool) -> bool:
+@functools.lru_cache(1 << 14)
+def _named(token: str, inside: bool) -> int:
+    """0 to 3, the index in WEIGHTS: how much a class, id or role says that an element is no content.
+
+    The whole token or its last part (before words for boxes) counts; a noise word elsewhere (has-sidebar,
+    related-work) only lowers the weight.
+    """
+    parts = _PART.findall(_CAMEL.sub(r"\1 \2", token).lower())
+    words = NOISE if inside else NOISE | HEAD_NOISE
+    if not words.intersection(parts):
+        return 0
+    if STATE.intersection(parts[:-1]):
+        return 1
+    head = list(parts)
+    while len(head) > 1 and head[-1] in GENERIC:
+        head.pop()
+    if head[-1] in words:
+        if head[-1] in HEAD_NOISE and CONTENT.intersection(head):
+            return 1
+        return 3 if head[-1] in FIRM else 2
+    return 2 if parts[0] in FIRM else 1
+
+
+def _noise(name: str, attrs: str, inside: bool) -> int:
     if name in DROPPED or (name == "header" and not inside):
-        return True
+        return 3
     if not attrs or name in ("article", "main", "body", "html"):
-        return False  # a page's or an article's own classes name its features, not its content
+        return 0  # a page's or an article's own classes name its features, not its content
+    level = 0
     for key, value in _ATTR.findall(attrs):
         key, value = key.lower(), value.strip("\"'")
         if key == "hidden" or (key == "aria-hidden" and value == "true"):
-            return True
+            return 3
         if key == "style":
             if "display:none" in value.replace(" ", "").lower():
-                return True
+                return 3
         elif key in ("class", "id", "role"):
-            words = set(_WORD.findall(_CAMEL.sub(r"\1 \2", value).lower()))
-            if words & NOISE or (not inside and words & HEAD_NOISE):
-                return True
-    return False
+            level = max([level, *[_named(t, inside) for t in value.split()]])
+    return level
 
 
-def lines_of(page: str) -> tuple[list[tuple[str, int, bool, bool]], bool]:
-    """[(text, characters in links, is noise, is in the article)], and whether there is an article."""
-    lines: list[tuple[str, int, bool, bool]] = []
+def lines_of(page: str) -> tuple[list[tuple[str, int, int, bool]], bool]:
+    """[(text, characters in links, index in WEIGHTS, is in the article)], and whether there is an article."""
+    lines: list[tuple[str, int, int, bool]] = []
     buffer: list[str] = []
-    stack: list[tuple[str, bool]] = []
-    linked = noise = inside = 0
+    stack: list[tuple[str, int]] = []
+    named = [0, 0, 0, 0]  # open elements of each index in WEIGHTS
+    linked = inside = 0
     in_link, marked = 0, False
 
     def end_line():
@@ -81,14 +116,14 @@ def lines_of(page: str) -> tuple[list[tuple[str, int, bool, bool]], bool]:
         if buffer:
             text = _SPACE.sub(" ", "".join(buffer)).strip()
             if text:
-                lines.append((text, linked, noise > 0, inside > 0))
+                lines.append((text, linked, 3 if named[3] else 2 if named[2] else 1 if named[1] else 0, inside > 0))
             buffer.clear()
         linked = 0
 
     def pop():
-        nonlocal noise, inside, in_link
+        nonlocal inside, in_link
         name, bad = stack.pop()
-        noise -= bad
+        named[bad] -= 1
         inside -= name in ("article", "main")
         in_link -= name == "a"
 
@@ -131,7 +166,7 @@ def lines_of(page: str) -> tuple[list[tuple[str, int, bool, bool]], bool]:
                 pop()
             if name in ("article", "main"):
                 marked = True
-                while stack and noise and stack[-1][0] not in ("article", "main", "body"):
+                while stack and (named[2] or named[3]) and stack[-1][0] not in ("article", "main", "body"):
                     pop()  # an unclosed menu or advert doesn't hold the article
             elif name == "body":
                 while stack:
@@ -140,7 +175,7 @@ def lines_of(page: str) -> tuple[list[tuple[str, int, bool, bool]], bool]:
             continue
         bad = _noise(name, attrs, inside > 0)
         stack.append((name, bad))
-        noise += bad
+        named[bad] += 1
         inside += name in ("article", "main")
         in_link += name == "a"
     text(page[at:])
@@ -150,20 +185,24 @@ def lines_of(page: str) -> tuple[list[tuple[str, int, bool, bool]], bool]:
 
 def main_text(page: str | None) -> str:
     lines, marked = lines_of(page or "")
-    weight = [0 if noise or (marked and not inside) or (not marked and linked > MAX_LINK_SHARE * len(text)) else len(text)
-              for text, linked, noise, inside in lines]
-    sums = [sum(weight[i:i + WINDOW]) for i in range(len(weight))]
+    weight = [0 if (marked and not inside) or (not marked and linked > MAX_LINK_SHARE * len(text)) else WEIGHTS[name] * len(text)
+              for text, linked, name, inside in lines]
+    prime = [name < 2 for _, _, name, _ in lines]
+    sums = [sum(w for w, q in zip(weight[i:i + WINDOW], prime[i:i + WINDOW]) if q == p) for i, p in enumerate(prime)]
     runs, start = [], None
-    for i, s in enumerate([*sums, 0]):  # surge to dive
-        if s and start is None:
-            start = i
-        elif not s and start is not None:
+    for i in range(len(lines) + 1):  # surge to dive; a loose name is a run of its own
+        if start is not None and (i == len(lines) or not sums[i] or prime[i] != prime[start]):
             runs.append((start, i))
             start = None
+        if start is None and i < len(lines) and sums[i]:
+            start = i
+    top = max((sums[a] for r in runs if prime[r[0]] for a in range(*r)), default=0)
+    named = [r for r in runs if not prime[r[0]] and max(sums[r[0]:r[1]]) >= max(SURGE, top / 2)]  # density overrides a loose name
+    runs = [r for r in runs if prime[r[0]]]
     if not marked and runs:
         dense = [r for r in runs if max(sums[r[0]:r[1]]) >= SURGE]
-        runs = dense or [max(runs, key=lambda r: sum(weight[r[0]:r[1]]))]
-    return "\n".join(lines[i][0] for a, b in runs for i in range(a, b) if weight[i])
+        runs = dense or ([] if named else [max(runs, key=lambda r: sum(weight[r[0]:r[1]]))])
+    return "\n".join(lines[i][0] for a, b in sorted(runs + named) for i in range(a, b) if weight[i])
 
 
 def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:

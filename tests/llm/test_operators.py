@@ -293,6 +293,24 @@ def test_main_text(page, text):
     assert html_text.main_text(page) == text
 
 
+BODY = "body text without links " * 20
+
+
+@pytest.mark.parametrize("attrs", ["class=has-sidebar", "id='content-with-comments'", 'class="post-body tags-news"', "id=related-work",
+                                   "class=widget", "title='hidden costs'", "data-id=ad"])
+def test_names_do_not_drop_the_text(attrs):
+    div = f"<div {attrs}><p>{BODY}</p><p>Short end.</p></div>"
+    for page in (f"<body><ul><li><a href=a>menu</a></ul>{div}</body>", f"<article>{div}</article>"):
+        assert html_text.main_text(page) == BODY.strip() + "\nShort end."
+
+
+@pytest.mark.parametrize("name", ["comments", "comment-list", "post-comments", "ad", "cookieBanner", "widget", "sidebar-inner"])
+def test_names_drop_what_is_no_denser(name):
+    side = f"<div class={name}><p>{BODY[:-100]}</p></div>"
+    assert html_text.main_text(f"<body><div><p>{BODY}</p></div>{side}</body>") == BODY.strip()
+    assert html_text.main_text(f"<article><p>{BODY}</p>{side}</article>") == BODY.strip()
+
+
 def test_extract_columns(spark):
     pages = spark.createDataFrame([(1, "u", "<p>x</p>", "old"), (1, "u", "<p>x</p>", "old"), (None, None, None, None)],
                                   "page_id long, url string, html string, text string")
