@@ -53,8 +53,9 @@ GENERIC = set("wrapper wrap container inner outer list area section box block it
               "holder area zone frame thread x px".split())
 WEIGHTS = (1.0, 0.5, 0.25, 0.0)  # no name, a name in passing, a loose name, a firm name
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(" + "|".join(RAW) + r")\b[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*>"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S | re.I)
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
+    r"|<(" + "|".join(RAW) + r")(?=[\s/>])([^>]*)>", re.S | re.I)  # the last for an odd number of quotes
+_RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I) for name in RAW}
 _ATTR = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _PART = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
@@ -135,26 +136,36 @@ def lines_of(page: str) -> tuple[list[tuple[str, int, int, bool]], bool]:
             if in_link:
                 linked += len(t.strip())
 
-    at = 0
-    for m in _TOKEN.finditer(page):
+    at, endless = 0, set()
+    while m := _TOKEN.search(page, at):
         text(page[at:m.start()])
         at = m.end()
-        name = m.group(3)
+        name = m.group(2) or m.group(4)
         if not name:
             continue
         name = name.lower()
+        if name in _RAW_END:
+            if not m.group(1) and not (name in ("svg", "math") and (m.group(3) or "").endswith("/")):
+                end = None if name in endless else _RAW_END[name].search(page, at)
+                if end:
+                    at = end.end()
+                elif name in ("script", "style"):
+                    at = len(page)
+                else:  # never closed: only the tag goes
+                    endless.add(name)
+            continue
         block = name not in INLINE
         if block:
             end_line()
         elif name == "br":
             buffer.append(" ")
-        if m.group(2):  # end tag: closes what it encloses
+        if m.group(1):  # end tag: closes what it encloses
             if any(n == name for n, _ in stack):
                 while stack[-1][0] != name:
                     pop()
                 pop()
             continue
-        attrs = m.group(4)
+        attrs = m.group(3)
         if name in VOID:
             continue
         if block:

@@ -311,6 +311,16 @@ def test_names_drop_what_is_no_denser(name):
     assert html_text.main_text(f"<article><p>{BODY}</p>{side}</article>") == BODY.strip()
 
 
+@pytest.mark.parametrize("page,text", [
+    ("<p>one</p><svg class=i /><p>two</p>", "one\ntwo"), ("<p>one <svg/>more <math/>text</p><svg><text>x</text></svg>", "one more text"),
+    ("<svg-icon></svg-icon><p>two</p>", "two"), ("<title-bar><p>one</p></title-bar><template-x>two</template-x>", "one\ntwo"),
+    ("<p>one</p><iframe src=x><p>two</p>", "one\ntwo"), ("<p>one</p><svg a='x>y'><title>t</title></svg ><p>two</p>", "one\ntwo"),
+    ("<p>one</p><script>var a='<p>x</p>'", "one"), ("<p>one</p><!-- two <p>x</p>", "one"),
+    ("<p>one</p><script src='a>var a</script><p>two</p>", "one\ntwo"), ("<SCRIPT>a</scripty>b</Script\n><p>two</p></svg>", "two")])
+def test_raw_elements_end_where_they_end(page, text):
+    assert html_text.main_text(f"<main>{page}") == text
+
+
 def test_extract_columns(spark):
     pages = spark.createDataFrame([(1, "u", "<p>x</p>", "old"), (1, "u", "<p>x</p>", "old"), (None, None, None, None)],
                                   "page_id long, url string, html string, text string")
