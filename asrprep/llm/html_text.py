@@ -3,12 +3,14 @@
 Markup is stripped to lines: a block element begins a line, inline elements do not. Each line gets
 a weight: its text length, or nothing where markup says it is no content (menus, headers, footers,
 side bars, notices, adverts, forms, comments; lines that are mostly links). Names that also name layouts or
-subjects only lower the weight: such lines count if they are denser than the rest. Weights are summed over sliding
-windows of ``WINDOW`` lines. Text starts where that sum surges, ends where it dives to nothing, and the lines
-of weight between are kept. A page with an ``article`` or ``main`` element has weight only there.
+subjects only lower the weight, and so does a place outside the ``article`` or ``main`` element of a page that has
+one. Weights are summed over sliding windows of ``WINDOW`` lines. Text starts where that sum surges, ends where it
+dives to nothing or where the kind of line (plain, outside the article, loosely named) changes.
 
-Where markup marks the article, the surge is any weight at all, so short articles stay whole; else a run
-of windows must reach ``SURGE`` characters, and if no run does, the heaviest is the text.
+A run of windows is text if it reaches ``SURGE`` characters; runs of lowered weight must also reach half of the
+densest plain window. Shorter runs are text too if they lie in the same container as a dense one (so after an
+advert the closing sentence stays) or in the page's article, which is one container: there all plain lines
+are text. If no run is text, the heaviest is.
 
 Defined cases: null html counts as empty and gives an empty text; pages without text give an empty
 text; unclosed and misplaced tags are closed by what encloses them; repeated rows are extracted
@@ -21,6 +23,7 @@ import functools
 import html
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -52,6 +55,10 @@ GENERIC = set("wrapper wrap container inner outer list area section box block it
               "buttons icon icons text content body group unit slot row col column title form info top bottom left right main this "
               "holder area zone frame thread x px".split())
 WEIGHTS = (1.0, 0.5, 0.25, 0.0)  # no name, a name in passing, a loose name, a firm name
+OUTSIDE = 0.125  # outside the article
+# elements that group or hold lines of the container they lie in
+PASSING = INLINE | set("p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th blockquote figure figcaption pre "
+                       "center picture".split())
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
     r"|<(" + "|".join(RAW) + r")(?=[\s/>])([^>]*)>", re.S | re.I)  # the last for an odd number of quotes
@@ -103,11 +110,20 @@ def _noise(name: str, attrs: str, inside: bool) -> int:
     return level
 
 
-def lines_of(page: str) -> tuple[list[tuple[str, int, int, bool]], bool]:
-    """[(text, characters in links, index in WEIGHTS, is in the article)], and whether there is an article."""
-    lines: list[tuple[str, int, int, bool]] = []
+class Line(NamedTuple):
+    text: str
+    linked: int  # characters in links
+    name: int  # index in WEIGHTS
+    inside: bool  # in the article
+    homes: tuple[int, int]  # its container; the container around that if it is a div used as a paragraph
+
+
+def lines_of(page: str) -> tuple[list[Line], bool]:
+    """The lines, and whether there is an article."""
+    lines: list[Line] = []
     buffer: list[str] = []
-    stack: list[tuple[str, int]] = []
+    stack: list[tuple[str, int, int]] = []  # name, index in WEIGHTS, container
+    around = [0]  # the container around each
     named = [0, 0, 0, 0]  # open elements of each index in WEIGHTS
     linked = inside = 0
     in_link, marked = 0, False
@@ -117,13 +133,15 @@ def lines_of(page: str) -> tuple[list[tuple[str, int, int, bool]], bool]:
         if buffer:
             text = _SPACE.sub(" ", "".join(buffer)).strip()
             if text:
-                lines.append((text, linked, 3 if named[3] else 2 if named[2] else 1 if named[1] else 0, inside > 0))
+                home, at_block = (stack[-1][2] if stack else 0), next((n for n, _, _ in reversed(stack) if n not in INLINE), "")
+                lines.append(Line(text, linked, 3 if named[3] else 2 if named[2] else 1 if named[1] else 0, inside > 0,
+                                  (home, around[home] if at_block == "div" else home)))
             buffer.clear()
         linked = 0
 
     def pop():
         nonlocal inside, in_link
-        name, bad = stack.pop()
+        name, bad, _ = stack.pop()
         named[bad] -= 1
         inside -= name in ("article", "main")
         in_link -= name == "a"
@@ -160,7 +178,7 @@ def lines_of(page: str) -> tuple[list[tuple[str, int, int, bool]], bool]:
         elif name == "br":
             buffer.append(" ")
         if m.group(1):  # end tag: closes what it encloses
-            if any(n == name for n, _ in stack):
+            if any(n == name for n, _, _ in stack):
                 while stack[-1][0] != name:
                     pop()
                 pop()
@@ -185,7 +203,11 @@ def lines_of(page: str) -> tuple[list[tuple[str, int, int, bool]], bool]:
         if attrs.endswith("/") and name in ("p", "div", "span", "a"):
             continue
         bad = _noise(name, attrs, inside > 0)
-        stack.append((name, bad))
+        home = stack[-1][2] if stack else 0
+        if name not in PASSING:
+            around.append(home)
+            home = len(around) - 1
+        stack.append((name, bad, home))
         named[bad] += 1
         inside += name in ("article", "main")
         in_link += name == "a"
@@ -196,24 +218,25 @@ def lines_of(page: str) -> tuple[list[tuple[str, int, int, bool]], bool]:
 
 def main_text(page: str | None) -> str:
     lines, marked = lines_of(page or "")
-    weight = [0 if (marked and not inside) or (not marked and linked > MAX_LINK_SHARE * len(text)) else WEIGHTS[name] * len(text)
-              for text, linked, name, inside in lines]
-    prime = [name < 2 for _, _, name, _ in lines]
-    sums = [sum(w for w, q in zip(weight[i:i + WINDOW], prime[i:i + WINDOW]) if q == p) for i, p in enumerate(prime)]
+    kind = [2 if x.name == 2 else int(marked and not x.inside) for x in lines]
+    weight = [0 if not x.inside and x.linked > MAX_LINK_SHARE * len(x.text)
+              else WEIGHTS[x.name] * len(x.text) * (OUTSIDE if marked and not x.inside else 1) for x in lines]
+    sums = [sum(w for w, q in zip(weight[i:i + WINDOW], kind[i:i + WINDOW]) if q == k) for i, k in enumerate(kind)]
     runs, start = [], None
-    for i in range(len(lines) + 1):  # surge to dive; a loose name is a run of its own
-        if start is not None and (i == len(lines) or not sums[i] or prime[i] != prime[start]):
-            runs.append((start, i))
+    for i in range(len(lines) + 1):  # surge to dive
+        if start is not None and (i == len(lines) or not sums[i] or kind[i] != kind[start]):
+            runs.append((kind[start], max(sums[start:i]), [j for j in range(start, i) if weight[j]]))
             start = None
         if start is None and i < len(lines) and sums[i]:
             start = i
-    top = max((sums[a] for r in runs if prime[r[0]] for a in range(*r)), default=0)
-    named = [r for r in runs if not prime[r[0]] and max(sums[r[0]:r[1]]) >= max(SURGE, top / 2)]  # density overrides a loose name
-    runs = [r for r in runs if prime[r[0]]]
-    if not marked and runs:
-        dense = [r for r in runs if max(sums[r[0]:r[1]]) >= SURGE]
-        runs = dense or ([] if named else [max(runs, key=lambda r: sum(weight[r[0]:r[1]]))])
-    return "\n".join(lines[i][0] for a, b in sorted(runs + named) for i in range(a, b) if weight[i])
+    top = max((peak for k, peak, _ in runs if k == 0), default=0)
+    dense = [peak >= (max(SURGE, top / 2) if k else SURGE) for k, peak, _ in runs]
+    homes = {(k, h) for (k, _, run), d in zip(runs, dense) if d for j in run for h in lines[j].homes}
+    kept = [run for (k, _, run), d in zip(runs, dense)
+            if d or (marked and k == 0) or any((k, h) in homes for j in run for h in lines[j].homes)]
+    if not any(kept):
+        kept = [max((run for k, _, run in runs if k < 2), key=lambda run: sum(weight[j] for j in run), default=[])]
+    return "\n".join(lines[j].text for run in kept for j in run)
 
 
 def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:

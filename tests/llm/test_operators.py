@@ -321,6 +321,22 @@ def test_raw_elements_end_where_they_end(page, text):
     assert html_text.main_text(f"<main>{page}") == text
 
 
+ADVERTS = "<div class=ad><p>buy</p><p>this</p><p>now</p></div>"
+
+
+@pytest.mark.parametrize("page,text", [
+    (f"<body><div><p>{BODY}</p>{ADVERTS}<p>Closing.</p></div>{ADVERTS}<section><p>Imprint.</p></section></body>", f"{BODY}\nClosing."),
+    (f"<body><p>Opening.</p>{ADVERTS}<p>{BODY}</p>{ADVERTS}<ul><li>One</li></ul>{ADVERTS}<p>Closing.</p></body>",
+     f"Opening.\n{BODY}\nOne\nClosing."),
+    (f"<body><div><div>{BODY}</div>{ADVERTS}<div>Closing.</div></div></body>", f"{BODY}\nClosing."),
+    (f"<main><h1>Title</h1></main><div><p>{BODY * 2}</p>{ADVERTS}<p>Closing.</p></div>{ADVERTS}<section><p>Imprint.</p></section>",
+     f"Title\n{BODY * 2}\nClosing."),
+    (f"<main><h1>Title</h1>{ADVERTS}<section><p>Short.</p></section></main><div><p>{BODY}</p></div>", "Title\nShort."),
+    (f"<main></main><div><p>{BODY}</p></div>", BODY)])
+def test_windows_choose_the_text(page, text):
+    assert html_text.main_text(page) == text.replace(" \n", "\n").strip()
+
+
 def test_extract_columns(spark):
     pages = spark.createDataFrame([(1, "u", "<p>x</p>", "old"), (1, "u", "<p>x</p>", "old"), (None, None, None, None)],
                                   "page_id long, url string, html string, text string")
