@@ -19,8 +19,10 @@ alike; an empty table gives an empty table; other columns are carried through un
 
 from __future__ import annotations
 
+import bisect
 import functools
 import html
+import itertools
 import re
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -92,11 +94,11 @@ def _named(token: str, inside: bool) -> int:
     return 2 if parts[0] in FIRM else 1
 
 
-def _noise(name: str, attrs: str, inside: bool) -> int:
+def _noise(name: str, attrs: str, inside: bool, first: bool) -> int:
     if name in DROPPED or (name == "header" and not inside):
         return 3
-    if not attrs or name in ("article", "main", "body", "html"):
-        return 0  # a page's or an article's own classes name its features, not its content
+    if not attrs or name in ("main", "body", "html") or (name == "article" and first):
+        return 0  # a page's or its article's own classes name its features, not its content
     level = 0
     for key, value in _ATTR.findall(attrs):
         key, value = key.lower(), value.strip("\"'")
@@ -118,6 +120,21 @@ class Line(NamedTuple):
     homes: tuple[int, int]  # its container; the container around that if it is a div used as a paragraph
 
 
+class _Closings:
+    """How many more closing than opening tags of a name follow a place of the page; one pass per name."""
+
+    def __init__(self, page: str):
+        self.page, self.of = page, {}
+
+    def after(self, name: str, at: int) -> int:
+        if name not in self.of:
+            tags = list(re.finditer(rf"<(/?){re.escape(name)}(?=[\s/>])", self.page, re.I))
+            sums = itertools.accumulate((1 if m.group(1) else -1 for m in reversed(tags)), initial=0)
+            self.of[name] = [m.start() for m in tags], list(sums)[::-1]
+        starts, more = self.of[name]
+        return more[bisect.bisect_left(starts, at)]
+
+
 def lines_of(page: str) -> tuple[list[Line], bool]:
     """The lines, and whether there is an article."""
     lines: list[Line] = []
@@ -126,7 +143,7 @@ def lines_of(page: str) -> tuple[list[Line], bool]:
     around = [0]  # the container around each
     named = [0, 0, 0, 0]  # open elements of each index in WEIGHTS
     linked = inside = 0
-    in_link, marked = 0, False
+    in_link, marked, first = 0, False, True  # first: no article that is content so far
 
     def end_line():
         nonlocal linked
@@ -154,7 +171,7 @@ def lines_of(page: str) -> tuple[list[Line], bool]:
             if in_link:
                 linked += len(t.strip())
 
-    at, endless = 0, set()
+    at, endless, closings = 0, set(), _Closings(page)
     while m := _TOKEN.search(page, at):
         text(page[at:m.start()])
         at = m.end()
@@ -193,16 +210,20 @@ def lines_of(page: str) -> tuple[list[Line], bool]:
                 pop()
             if name in ("li", "dt", "dd", "tr", "td", "th", "option") and stack and stack[-1][0] == name:
                 pop()
-            if name in ("article", "main"):
-                marked = True
-                while stack and (named[2] or named[3]) and stack[-1][0] not in ("article", "main", "body"):
-                    pop()  # an unclosed menu or advert doesn't hold the article
+            if name in ("article", "main") and first and (named[2] or named[3]):
+                # an unclosed menu or advert doesn't hold the article, nor does a form around the page
+                names = [n for n, _, _ in stack]
+                if all(n == "form" or closings.after(n, at) < names.count(n) for n in {n for n, bad, _ in stack if bad > 1}):
+                    while stack and (named[2] or named[3]) and stack[-1][0] not in ("article", "main", "body"):
+                        pop()
             elif name == "body":
                 while stack:
                     pop()
         if attrs.endswith("/") and name in ("p", "div", "span", "a"):
             continue
-        bad = _noise(name, attrs, inside > 0)
+        bad = _noise(name, attrs, inside > 0, first)
+        if name in ("article", "main") and not bad and not named[2] and not named[3]:
+            marked, first = True, first and name == "main"
         home = stack[-1][2] if stack else 0
         if name not in PASSING:
             around.append(home)
@@ -235,7 +256,8 @@ def main_text(page: str | None) -> str:
     kept = [run for (k, _, run), d in zip(runs, dense)
             if d or (marked and k == 0) or any((k, h) in homes for j in run for h in lines[j].homes)]
     if not any(kept):
-        kept = [max((run for k, _, run in runs if k < 2), key=lambda run: sum(weight[j] for j in run), default=[])]
+        last = [run for k, _, run in runs if k < 2] or [run for _, _, run in runs if any(lines[j].inside for j in run)]
+        kept = [max(last, key=lambda run: sum(weight[j] for j in run), default=[])]
     return "\n".join(lines[j].text for run in kept for j in run)
 
 

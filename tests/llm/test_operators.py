@@ -337,6 +337,24 @@ def test_windows_choose_the_text(page, text):
     assert html_text.main_text(page) == text.replace(" \n", "\n").strip()
 
 
+COMMENT = "<article class=comment><p>reader comment</p></article>"
+
+
+@pytest.mark.parametrize("page,text", [
+    (f"<body><article><p>Main.</p><div class=comments>{COMMENT}</div></article></body>", "Main."),
+    (f"<body><article><p>Main.</p></article><div class=comments>{COMMENT}{COMMENT}</div></body>", "Main."),
+    (f"<body><article><p>Main.</p>{COMMENT}</article>{COMMENT}<article id=related-posts><p>More</p></article></body>", "Main."),
+    ("<body><aside><article><p>Teaser</p></article></aside><article class='post related'><p>Main.</p></article></body>", "Main."),
+    (f"<body><div><p>{BODY}</p></div><div id=comments>{COMMENT}</div></body>", BODY.strip()),
+    ("<body><div id=page><div class=ad>buy<article><p>Main.</p></article></div></body>", "Main."),
+    ("<body><form id=aspnet><article><p>Main.</p></article></form></body>", "Main."),
+    ("<body><main><article class=comment-policy><p>Main.</p></article><article class=post><p>Second.</p></article></main></body>",
+     "Main.\nSecond."),
+    ("<body><div class='page sidebar'><article><p>Main.</p></article></div></body>", "Main.")])
+def test_articles_in_noise(page, text):
+    assert html_text.main_text(page) == text
+
+
 def test_extract_columns(spark):
     pages = spark.createDataFrame([(1, "u", "<p>x</p>", "old"), (1, "u", "<p>x</p>", "old"), (None, None, None, None)],
                                   "page_id long, url string, html string, text string")
