@@ -4,17 +4,21 @@ Every window (a sequence of up to ``length`` tokens) should hold each source's t
 tokens. Sources are queues of documents; in each window every source earns its share as credit and,
 in turn, hands over as many tokens as its credit, its queue and the window allow. Room left over is
 shared among the queues that still hold tokens. What a source got too little or too much stays in its deficit,
-which is carried to the next window, and from one partition to the next.
+which is carried to the next window, and from one group of documents to the next.
 
 1. Texts are tokenised once, where they are read; ids go to a table in the shared folder under the
    number of the input partition. Tokens are counted per (partition, source).
-2. The deficits with which a partition starts follow from the counts of the partitions before it (a
-   running sum per source over a small table), so partitions are packed independently.
-3. Each partition's windows are full, but for the last: the rest is cut into windows whose sizes are
+2. A source's queue runs over all input partitions. A document's place in it (the tokens of its source before it:
+   those of earlier partitions plus those earlier in its own) says when its turn comes at the target shares, and so
+   its group: each group holds every source in its target share, however the table is sorted. Documents aren't
+   split over groups, so a group's shares are off by up to a document of each source.
+3. The deficits with which a group starts follow from the counts of the groups before it (a
+   running sum per source over a small table), so groups are packed independently.
+4. Each group's windows are full, but for the last: the rest is cut into windows whose sizes are
    powers of two. So there is no padding at all.
 
 By default the targets are the sources' shares of all tokens, which uses up all queues together.
-Other targets steer every window while the queues last.
+Other targets steer every window while the queues last; sources without a target come last.
 
 Defined cases: a null text counts as empty and still has its end id; a null source is a queue of its
 own; repeated rows are packed each; very long documents are cut at window borders; an empty table
@@ -23,6 +27,10 @@ gives an empty table; columns other than id, text and source are not read.
 
 from __future__ import annotations
 
+import collections
+import functools
+import math
+import operator
 import zlib
 from collections.abc import Iterator
 
@@ -34,32 +42,39 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from asrprep.llm.tokens import WordEndIds, tokenizer_path
-from asrprep.session import scratch_path
+from asrprep.operators.joins import checked_broadcast
+from asrprep.session import pin, scratch_path
 
 LENGTH = 4096
 END_ID = 2
-_IDS = "part int, pos long, source string, doc_id {id}, n_tokens long, ids binary"
+GROUP_TOKENS = 8 << 20  # more groups than input partitions if groups would exceed this
+_IDS = "part int, pos long, source string, doc_id {id}, before long, n_tokens long, ids binary"
 _OUT = ("doc_id {id}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
         "offset long, source string")
 _BATCH_CHARS = 4 << 20
 
 
 def token_table(docs: DataFrame, tokenizer: str, end_id: int, id_col: str, text_col: str, source_col: str) -> DataFrame:
-    """(part, pos, source, doc_id, n_tokens, ids as unsigned 16- or 32-bit) of every document."""
+    """(part, pos, source, doc_id, tokens of the source before it in the partition, n_tokens, ids as unsigned 16- or
+    32-bit) of every document."""
     id_type = docs.schema[id_col].dataType
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, part, pos = WordEndIds.of(tokenizer), TaskContext.get().partitionId(), 0
+        words, part, pos, queued = WordEndIds.of(tokenizer), TaskContext.get().partitionId(), 0, collections.Counter()
         for big in batches:
             step = max(1, int(big.num_rows * _BATCH_CHARS / max(1, big.nbytes)))
             for at in range(0, big.num_rows, step):  # bounded memory whatever the batch size
                 b = big.slice(at, step)
                 ids = [np.append(words.encode(t), np.uint32(end_id)) for t in b.column(1).to_pylist()]
-                n = len(ids)
+                n, before = len(ids), []
+                for source, x in zip(b.column(2).to_pylist(), ids):
+                    before.append(queued[source])
+                    queued[source] += len(x)
                 yield pa.RecordBatch.from_arrays([
                     pa.array([part] * n, pa.int32()), pa.array(range(pos, pos + n), pa.int64()), b.column(2), b.column(0),
-                    pa.array([len(x) for x in ids], pa.int64()), pa.array([_narrow(x) for x in ids], pa.binary())],
-                    names=["part", "pos", "source", "doc_id", "n_tokens", "ids"])
+                    pa.array(before, pa.int64()), pa.array([len(x) for x in ids], pa.int64()),
+                    pa.array([_narrow(x) for x in ids], pa.binary())],
+                    names=["part", "pos", "source", "doc_id", "before", "n_tokens", "ids"])
                 pos += n
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
@@ -117,10 +132,10 @@ def round_robin(left: np.ndarray, share: np.ndarray, deficit: np.ndarray, sizes:
     return takes, deficit
 
 
-def pack_partition(rows: pd.DataFrame, carry: pd.DataFrame, length: int) -> pd.DataFrame:
-    """Pieces of one partition's documents. ``carry``: source, share, deficit."""
-    rows = rows.sort_values("pos")
-    part = int(rows["part"].iloc[0])
+def pack_group(rows: pd.DataFrame, carry: pd.DataFrame, length: int) -> pd.DataFrame:
+    """Pieces of one group's documents. ``carry``: source, share, deficit."""
+    rows = rows.sort_values(["part", "pos"])
+    group = int(rows["grp"].iloc[0])
     names = carry["source"].fillna("\0null").tolist()
     index = {s: i for i, s in enumerate(names)}
     queue_of = rows["source"].fillna("\0null").map(index).to_numpy()
@@ -143,11 +158,38 @@ def pack_partition(rows: pd.DataFrame, carry: pd.DataFrame, length: int) -> pd.D
         out.append(pd.DataFrame({
             "doc_id": doc_ids[docs[d]], "start": a - starts[d], "length": b - a,
             "ids_crc32": [zlib.crc32(raw[4 * x:4 * y]) for x, y in zip(a.tolist(), b.tolist())],
-            "doc_tokens": n_tokens[docs[d]], "sequence_id": (part << 32) + w[mine[k]],
+            "doc_tokens": n_tokens[docs[d]], "sequence_id": (group << 32) + w[mine[k]],
             "offset": off[mine[k]] + a - begins[k], "source": [rows["source"].iloc[docs[0]]] * len(a)}))
     return pd.concat(out, ignore_index=True)
 
 
+def with_group(ids: DataFrame, counts: DataFrame, total: int, groups: int, targets: dict[str, float] | None) -> DataFrame:
+    """``ids`` with ``grp``, 0 to ``groups`` - 1: how many of all tokens are due before the document, by the targets.
+
+    With a target t, a document's turn comes at its source's tokens before it / t, and of every source as
+    many tokens are due by then as its own t allows, at most all. ``counts``: part, source, n.
+    """
+    of_source = Window.partitionBy("source")
+    queues = counts.select(
+        F.col("part").alias("_part"), F.col("source").alias("_source"), F.sum("n").over(of_source).alias("_all"),
+        F.coalesce(F.sum("n").over(of_source.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_earlier"))
+    place = F.col("_earlier") + F.col("before")
+    due = place / F.col("_all") * F.lit(float(total))
+    weights = {k: float(v) for k, v in (targets or {}).items() if v > 0}
+    if weights:
+        sizes = {r["source"]: float(r["n"]) for r in counts.where(F.col("source").isin(*weights)).groupBy("source")
+                 .agg(F.sum("n").alias("n")).collect()}  # a row per target
+        aimed = sum(sizes.values())
+        due = F.lit(aimed) + place / F.col("_all") * F.lit(total - aimed)  # without a target: after all others
+        if sizes:
+            turn = place / F.element_at(F.create_map(*[x for k in sizes for x in (F.lit(k), F.lit(weights[k]))]), F.col("source"))
+            by_then = [F.least(F.lit(n), F.lit(weights[k]) * turn) for k, n in sizes.items()]
+            due = F.when(F.col("source").isin(*sizes), functools.reduce(operator.add, by_then)).otherwise(due)
+    grp = F.least(F.floor(due / F.lit(float(max(1, total))) * F.lit(groups)), F.lit(groups - 1)).cast("long")
+    return (ids.join(checked_broadcast(queues), (F.col("part") == F.col("_part")) & F.col("source").eqNullSafe(F.col("_source")))
+            .withColumn("grp", grp).drop("_part", "_source", "_all", "_earlier", "before"))
+
+
 def pack(docs: DataFrame, tokenizer: str | None = None, length: int = LENGTH, end_id: int = END_ID,
          targets: dict[str, float] | None = None, id_col: str = "doc_id", text_col: str = "text",
          source_col: str = "source") -> DataFrame:
@@ -156,23 +198,26 @@ def pack(docs: DataFrame, tokenizer: str | None = None, length: int = LENGTH, en
     path = scratch_path(spark, "packing-ids")
     (token_table(docs, tokenizer or tokenizer_path("word_bpe_49k.json"), end_id, id_col, text_col, source_col)
      .write.option("compression", "zstd").parquet(path))
-    ids, sizes = spark.read.parquet(path), spark.read.parquet(path)
-    counts = sizes.groupBy("part", "source").agg(F.sum("n_tokens").alias("n"))
-    shares = sizes.groupBy("source").agg(F.sum("n_tokens").alias("all"))
+    counts = pin(spark.read.parquet(path).groupBy("part", "source").agg(F.sum("n_tokens").alias("n")))
+    total, parts = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_distinct("part")).collect()[0]
+    groups = max(1, parts, math.ceil(total / GROUP_TOKENS))
+    ids, sizes = (with_group(spark.read.parquet(path), counts, total, groups, targets) for _ in range(2))
+    shares = counts.groupBy("source").agg(F.sum("n").alias("all"))
     if targets:
         weight = F.create_map(*[x for k, v in targets.items() for x in (F.lit(k), F.lit(float(v)))])
         shares = shares.withColumn("all", F.coalesce(F.element_at(weight, F.col("source")), F.lit(0.0)))
-    # what each partition starts with: a source's due from all partitions before, less what it gave there.
-    # Both running sums are over tables with a row per input partition (and source), not over documents.
-    totals = counts.groupBy("part").agg(F.sum("n").alias("total"))
-    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.select("part", F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("all_before"))
-    gave = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    mine = counts.select("part", "source", F.coalesce(F.sum("n").over(gave), F.lit(0)).alias("before"))
+    # what each group starts with: a source's due from all groups before, less what it gave there.
+    # Both running sums are over tables with a row per group (and source), not over documents.
+    held = sizes.groupBy("grp", "source").agg(F.sum("n_tokens").alias("n"))
+    totals = held.groupBy("grp").agg(F.sum("n").alias("total"))
+    earlier = Window.orderBy("grp").rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.select("grp", F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("all_before"))
+    gave = Window.partitionBy("source").orderBy("grp").rowsBetween(Window.unboundedPreceding, -1)
+    mine = held.select("grp", "source", F.coalesce(F.sum("n").over(gave), F.lit(0)).alias("gave"))
     grand = shares.agg(F.sum("all")).collect()[0][0] or 1
     shares = shares.select(F.col("source").alias("_source"), (F.col("all") / F.lit(float(grand))).alias("share"))
-    carry = (mine.join(shares, F.col("source").eqNullSafe(F.col("_source"))).join(totals, "part")
-             .select("part", "source", "share", (F.col("share") * F.col("all_before") - F.col("before")).alias("deficit")))
+    carry = (mine.join(shares, F.col("source").eqNullSafe(F.col("_source"))).join(totals, "grp")
+             .select("grp", "source", "share", (F.col("share") * F.col("all_before") - F.col("gave")).alias("deficit")))
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def each(rows: pd.DataFrame, start: pd.DataFrame) -> pd.DataFrame:
@@ -181,8 +226,8 @@ def pack(docs: DataFrame, tokenizer: str | None = None, length: int = LENGTH, en
         here = start.sort_values("source")
         if here["share"].sum() <= 0:
             here = here.assign(share=1.0)
-        return pack_partition(rows, here, length)
+        return pack_group(rows, here, length)
 
     schema = _OUT.format(id=id_type)
     names = [x.split()[0] for x in schema.split(", ")]
-    return ids.groupBy("part").cogroup(carry.groupBy("part")).applyInPandas(each, schema)
+    return ids.groupBy("grp").cogroup(carry.groupBy("grp")).applyInPandas(each, schema)

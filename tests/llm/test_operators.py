@@ -249,6 +249,22 @@ def test_mixture_packing(awkward, empty):
     assert mixture_packing.pack(empty).collect() == []
 
 
+@pytest.mark.parametrize("targets", [None, {"a": 0.6, "b": 0.2, "c": 0.2}])
+def test_mixture_of_a_table_sorted_by_source(spark, targets):
+    n = {"a": 600, "b": 300, "c": 300}
+    docs = spark.createDataFrame([row(f"{s}{i}", "a b c d e", s) for s in n for i in range(n[s])],
+                                 SCHEMA.replace("doc_id long", "doc_id string")).repartitionByRange(3, "source")
+    assert all(len(p) == 1 for p in docs.select("source").rdd.glom().map(set).collect() if p)
+    share = targets or {s: n[s] / sum(n.values()) for s in n}
+    windows = collections.defaultdict(collections.Counter)
+    for p in mixture_packing.pack(docs, length=120, targets=targets).collect():
+        windows[p["sequence_id"]][p["source"]] += p["length"]
+    assert sum(sum(w.values()) for w in windows.values()) == 6 * sum(n.values())
+    first = max(i for i in windows) + 1 if targets is None else 40  # other targets: while the queues last
+    full = [w for i, w in sorted(windows.items())[:first] if sum(w.values()) == 120]
+    assert len(full) > 20 and all(abs(w[s] / 120 - share[s]) <= 0.1 for w in full for s in n)
+
+
 def test_round_robin_keeps_shares():
     left, share = np.array([50_000, 30_000, 20_000]), np.array([0.5, 0.3, 0.2])
     takes, deficit = mixture_packing.round_robin(left, share, np.zeros(3), [100] * 1000)
