@@ -22,13 +22,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from asrprep.functions import corrections as corr
 from asrprep.functions.similarity import similarity as similarity_expr
 from asrprep.functions.text import NOT_WORD, WORD, words
 from asrprep.operators.joins import broadcast_if_small, checked_broadcast, pin_measured
+from asrprep.operators.ordering import with_group_index
 from asrprep.session import pin as pin_df
 
 PURE_WORD = rf"^{WORD}\z"  # not $, which also matches before a final line end
@@ -162,7 +163,8 @@ def appears_in_transcript(chunks: DataFrame, occurrences: DataFrame, audio_col:
             .withColumn("appears", F.coalesce(F.col("appears"), F.lit(False))))
 
 
-MAX_RUNS = 16  # longer corrections (in runs) are searched in the whole transcript
+MAX_RUNS = 16  # longer corrections (in runs) are searched in the stretches that hold their longest two runs
+STRETCH = 256  # chunks of a stretch
 
 
 def _runs(text: Column) -> Column:
@@ -170,6 +172,42 @@ def _runs(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(f"{WORD}|{NOT_WORD}+"), F.lit(0))
 
 
+def _stretches(chunks: DataFrame, other: DataFrame, audio_col: str, text_col: str, order_col: str,
+               tie_cols: list[str], pin: bool) -> DataFrame:
+    """``(audio_id, _b, _t)``: the lower-cased transcripts as stretches of ``STRETCH`` chunks, each with the
+    beginning of what follows, as long as the recording's longest correction less one character.
+
+    So every occurrence of a correction lies whole in the stretch in which it starts, and no row holds more than
+    that of a recording. Chunks are numbered by range partitions, so a hot recording is not one task's.
+    """
+    need = other.groupBy(audio_col).agg(F.max(F.length("correct")).alias("_need"))
+    texts = (chunks.where(F.col(text_col).isNotNull())
+             .join(checked_broadcast(need) if pin else need, audio_col)
+             .select(audio_col, "_need", F.col(text_col).cast("string").alias("_t"), F.col(order_col).alias("_o"),
+                     *[F.col(c).alias(f"_t{i}") for i, c in enumerate(tie_cols)]))
+    order = [F.col("_o").asc_nulls_last(), *[F.col(f"_t{i}").asc() for i in range(len(tie_cols))], F.col("_t").asc()]
+    if pin:
+        placed = with_group_index(texts, [audio_col], order, "_i")
+    else:
+        placed = texts.withColumn("_i", F.row_number().over(Window.partitionBy(audio_col).orderBy(*order)) - 1)
+    pieces = (placed.groupBy(audio_col, F.floor(F.col("_i") / STRETCH).alias("_b"))
+              .agg(F.max("_need").alias("_need"), F.array_sort(F.collect_list(F.struct("_i", "_t"))).alias("_parts"))
+              .select(audio_col, "_b", "_need", F.lower(F.concat_ws(" ", F.transform("_parts", lambda p: p["_t"]))).alias("_t")))
+    if pin:
+        pieces = pin_df(pieces)
+    # a full stretch and the space after it are STRETCH characters at least, so this many of the next are enough
+    ahead = F.greatest(F.lit(1), F.ceil((F.col("_need") - 1) / STRETCH)).cast("int")
+    tails = (pieces.select(audio_col, "_b", "_need", "_t", F.explode(F.sequence(F.lit(1), ahead)).alias("_k"))
+             .where(F.col("_b") >= F.col("_k"))
+             .select(audio_col, (F.col("_b") - F.col("_k")).alias("_b"), F.struct("_k", F.left(
+                 "_t", F.greatest(F.lit(0), F.col("_need") - 1 - (F.col("_k") - 1) * STRETCH).cast("int")).alias("_h")).alias("_h"),
+                 "_need")
+             .groupBy(audio_col, "_b").agg(F.array_sort(F.collect_list("_h")).alias("_h"))
+             .select(audio_col, "_b", F.concat_ws(" ", F.transform("_h", lambda h: h["_h"])).alias("_tail")))
+    return (pieces.join(tails, [audio_col, "_b"], "left")
+            .select(audio_col, "_b", F.concat_ws(" ", "_t", "_tail").alias("_t")))
+
+
 def _nonword_hits(chunks: DataFrame, other: DataFrame, audio_col: str, text_col: str, order_col: str,
                   tie_cols: list[str], pin: bool) -> DataFrame:
     """``(audio_id, correct)`` of the corrections in ``other`` that occur in their recording's transcript.
@@ -180,41 +218,41 @@ def _nonword_hits(chunks: DataFrame, other: DataFrame, audio_col: str, text_col:
     with the corrections on (recording, ending of that length, beginning of that length), for the
     lengths that the recording's corrections ask for, and a match is confirmed in the few runs
     around it: linear in the transcript, whatever the number of corrections. A correction of one
-    run holds no word character and is looked for in the recording's distinct runs of such.
+    run holds no word character and is looked for in the recording's distinct runs of such. One of more than
+    ``MAX_RUNS`` is looked for in the stretches where its two neighbouring runs were found.
+    Transcripts are handled in stretches (see ``_stretches``), never as one row.
     """
     asked = other.withColumn("_r", _runs(F.col("correct")))
     sized = F.transform(F.sequence(F.lit(0), F.size("_r") - 2), lambda i: F.struct(
         (F.length(F.get("_r", i)) + F.length(F.get("_r", i + 1))).alias("n"), (-i).alias("i")))
-    several = (asked.where((F.size("_r") >= 2) & (F.size("_r") <= MAX_RUNS)).withColumn("_at", -F.array_max(sized)["i"])
+    several = (asked.where(F.size("_r") >= 2).withColumn("_at", -F.array_max(sized)["i"])
                .select(audio_col, "correct", F.get("_r", F.col("_at")).alias("_x"), F.get("_r", F.col("_at") + 1).alias("_y"),
                        F.size("_r").alias("_n")))
     if pin:
         several = pin_df(several)
-    reach = (several.agg(F.max("_n")).collect()[0][0] or 2) - 1 if pin else MAX_RUNS - 1
+    reach = min(several.agg(F.max("_n")).collect()[0][0] or 2, MAX_RUNS) - 1 if pin else MAX_RUNS - 1
 
-    full = full_transcripts(chunks.join(other.select(audio_col).distinct(), audio_col, "left_semi"),
-                            audio_col, order_col, text_col, tie_cols)
-    full = full.select(audio_col, F.lower("full_transcription").alias("_t"))
+    texts = _stretches(chunks, other, audio_col, text_col, order_col, tie_cols, pin)
     if pin:
-        full = pin_df(full)
+        texts = pin_df(texts)
     # (left run, right run, the runs around them) of every two neighbouring runs
     around = F.get(F.transform(F.array(_runs(F.col("_t"))), lambda r: F.transform(
         F.sequence(F.lit(0), F.greatest(F.size(r) - 2, F.lit(0))), lambda i: F.struct(
             F.get(r, i).alias("_l"), F.get(r, i + 1).alias("_g"),
             F.concat_ws("", *[F.when(i + k >= 0, F.get(r, i + k)) for k in range(-reach + 1, reach + 1)]).alias("_near")))), F.lit(0))
-    meets = full.select(audio_col, F.explode(around).alias("_m")).select(audio_col, "_m.*").where(F.col("_g").isNotNull())
+    meets = texts.select(audio_col, "_b", F.explode(around).alias("_m")).select(audio_col, "_b", "_m.*").where(F.col("_g").isNotNull())
     lens = several.select(audio_col, F.length("_x").alias("_lx"), F.length("_y").alias("_ly")).distinct()
     keyed = (meets.join(checked_broadcast(lens) if pin else lens, audio_col)
              .where((F.length("_l") >= F.col("_lx")) & (F.length("_g") >= F.col("_ly")))
-             .select(audio_col, F.expr("right(_l, _lx)").alias("_x"), F.expr("left(_g, _ly)").alias("_y"), "_near"))
-    found = (keyed.join(several, [audio_col, "_x", "_y"]).where(F.contains("_near", "correct"))
+             .select(audio_col, "_b", F.expr("right(_l, _lx)").alias("_x"), F.expr("left(_g, _ly)").alias("_y"), "_near"))
+    found = (keyed.join(several.where(F.col("_n") <= MAX_RUNS), [audio_col, "_x", "_y"]).where(F.contains("_near", "correct"))
              .select(audio_col, "correct").distinct())
 
-    gaps = full.select(audio_col, F.explode(F.array_distinct(F.regexp_extract_all("_t", F.lit(f"{NOT_WORD}+"), F.lit(0)))).alias("_gap"))
+    gaps = texts.select(audio_col, F.explode(F.array_distinct(F.regexp_extract_all("_t", F.lit(f"{NOT_WORD}+"), F.lit(0)))).alias("_gap")).distinct()
     single = (asked.where(F.size("_r") == 1).select(audio_col, "correct").join(gaps, audio_col)
               .where(F.contains("_gap", "correct")).select(audio_col, "correct").distinct())
-    long = (asked.where(F.size("_r") > MAX_RUNS).select(audio_col, "correct").join(full, audio_col)
-            .where(F.contains("_t", "correct")).select(audio_col, "correct"))
+    long = (keyed.join(several.where(F.col("_n") > MAX_RUNS), [audio_col, "_x", "_y"]).select(audio_col, "_b", "correct").distinct()
+            .join(texts, [audio_col, "_b"]).where(F.contains("_t", "correct")).select(audio_col, "correct").distinct())
     return found.unionByName(single).unionByName(long)
 
 

@@ -109,6 +109,22 @@ def test_nonword_containment_equals_plain_python(spark):
     assert got == {(a, c): c in full[a] for a in "AB" for c in NONWORD}
 
 
+def test_nonword_containment_in_stretches(spark, monkeypatch):
+    monkeypatch.setattr(curation, "STRETCH", 3)
+    texts = ["Ab c", "", "", "d-e", None, "'", "", "f g.", "x", "", "", "", "", "h i", "j ΟΔΟΣ", "k", "l,m"]
+    chunks = spark.createDataFrame([(i, "A", None if i > 14 else float(i), t) for i, t in enumerate(texts)],
+                                   "row_id long, audio_id string, order double, transcription string").repartition(3)
+    full = " ".join(t for t in texts if t is not None).lower()
+    parts = {full[i:j] for i in range(len(full)) for j in range(i + 1, len(full) + 1)}
+    asked = sorted(p for p in parts | {p + "!" for p in parts} | {" " + p for p in parts} if not p.isalnum())
+    occ = spark.createDataFrame([("A", c) for c in asked], "audio_id string, correct string")
+    got = {r["correct"]: r["appears"] for r in curation.appears_in_transcript(chunks, occ, tie_cols=["row_id"]).collect()}
+    assert got == {c: c in full for c in asked}
+    other = spark.createDataFrame([("A", "b c")], "audio_id string, correct string")
+    rows = curation._stretches(chunks, other, "audio_id", "transcription", "order", ["row_id"], True).collect()
+    assert len(rows) == 6 and max(len(r["_t"]) for r in rows) < len(full) / 2  # no row holds the recording
+
+
 def _loader(location):
     if location == "fails":
         raise OSError("gone")
