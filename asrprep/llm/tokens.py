@@ -24,7 +24,7 @@ class WordEndIds:
     Texts of Latin letters take a faster way with the same ids: they are cut into the file's words
     here and a zero byte is put at each word's end; ``tiktoken`` then merges by the file's own merges, with
     "letter and word end" as the first merges of all. Other texts, and texts that hold a zero byte, go to the
-    ``tokenizers`` library. Special tokens in a text are ordinary text.
+    ``tokenizers`` library. So do texts that hold an added token such as ``<|endoftext|>``, which there is one id.
     """
 
     _made: dict = {}
@@ -35,7 +35,8 @@ class WordEndIds:
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
-        self.model.encode_special_tokens = True
+        added = [t.content for t in self.model.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(re.escape(t.lower()) for t in added) or r"(?!)").search  # in lower case
         with open(path, encoding="utf-8") as f:
             bpe = json.load(f)["model"]
         byte_of = _byte_alphabet()
@@ -70,7 +71,7 @@ class WordEndIds:
         if not text:
             return np.zeros(0, "<u4")
         lower = text.lower()
-        if self.other(text) or self.other(lower):
+        if self.other(text) or self.other(lower) or self.added(lower):
             return np.array(self.model.encode(text, add_special_tokens=False).ids, "<u4")
         words = self.words(lower)
         return self.ids[np.array(self.fast.encode_ordinary("\0".join(words) + "\0"), np.int64)] if words else np.zeros(0, "<u4")

@@ -249,6 +249,16 @@ def test_mixture_packing(awkward, empty):
     assert mixture_packing.pack(empty).collect() == []
 
 
+def test_added_tokens_as_the_library_has_them():
+    from tokenizers import Tokenizer
+
+    path = tokenizer_path("word_bpe_49k.json")
+    plain, words = Tokenizer.from_file(path), WordEndIds.of(path)
+    assert words.encode("a <|endoftext|> b").tolist() == [320, 49407, 321]
+    for t in ("a <|endoftext|> b", "<|startoftext|>A b<|ENDOFTEXT|>", "x<|endoftext|><|endoftext|>é", "a <| b |>", "<|endoftext|"):
+        assert words.encode(t).tolist() == plain.encode(t, add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize("targets", [None, {"a": 0.6, "b": 0.2, "c": 0.2}])
 def test_mixture_of_a_table_sorted_by_source(spark, targets):
     n = {"a": 600, "b": 300, "c": 300}
