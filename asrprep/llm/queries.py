@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from asrprep.llm import bfd_packing, bpe, exact_dedup, html_text, mixture_packing, ngram_lm, quality, rules, simhash, toxicity
-from asrprep.llm.exprs import crc_mod, table
+from asrprep.llm import (bfd_packing, bpe, exact_dedup, html_text, licenses, merkle, mixture_packing, ngram_lm, periodic_runs,
+                         quality, rules, simhash, toxicity)
+from asrprep.llm.exprs import crc_mod, let, table, words
 
 # DuckDB: the texts with ASCII white space deleted
 _NORM = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')"
@@ -105,5 +106,39 @@ def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
-QUERIES = {"op6_elias_fano_lm": op6_elias_fano_lm, "op2_byte_bpe": op2_byte_bpe, "op4_quality_pu": op4_quality_pu, "op5_toxicity_cnn": op5_toxicity_cnn, "op9_html_extraction": op9_html_extraction, "op1_best_fit_packing": op1_best_fit_packing, "op3_simhash": op3_simhash, "op10_mixture_packing": op10_mixture_packing, "op7_exact_dedup": op7_exact_dedup, "op8_quality_rules": op8_quality_rules}
-ORACLES = {"op7_exact_dedup": OP7_SQL, "op8_quality_rules": _op8_sql()}
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents")).drop("blocks")
+
+
+def planted_repeats(docs: DataFrame) -> DataFrame:
+    """The contract's texts of op12: where h = crc32(doc_id) is divisible by 10, the words from a on repeat with period p."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+
+    def repeated(w):
+        n, g = F.size(w), F.floor(h / 10)
+        a = (g % n).cast("int")
+        p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+        return let(F.struct(a.alias("a"), p.alias("p")), lambda at: F.array_join(F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get(
+            w, F.when(i < at["a"], i).otherwise(at["a"] + (i - at["a"]) % at["p"]))), " "))
+
+    text = F.when(h % 10 == 0, let(words(F.col("text")), lambda w: F.when(F.size(w) > 0, repeated(w)).otherwise(F.lit(""))))
+    return docs.select("doc_id", F.when(h % 10 == 0, text).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(planted_repeats(table(spark, sf_dir, "documents")))
+    longest = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("neg"), r["start"].alias("start"), r["period"].alias("period"))))
+    listed = F.concat_ws("", F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))))
+    return found.withColumn("r", longest).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("r.start").alias("start"), (-F.col("r.neg")).alias("length"),
+        F.col("r.period").alias("period"), F.floor(-F.col("r.neg") * 1000 / F.col("r.period")).cast("long").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.proofs(table(spark, sf_dir, "documents")).select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(merkle.siblings(F.col("path")), 256).alias("proof_sha256"), "folded_root", "verified")
+
+
+QUERIES = {"op11_license_scan": op11_license_scan, "op12_periodic_runs": op12_periodic_runs, "op13_merkle_manifest": op13_merkle_manifest, "op6_elias_fano_lm": op6_elias_fano_lm, "op2_byte_bpe": op2_byte_bpe, "op4_quality_pu": op4_quality_pu, "op5_toxicity_cnn": op5_toxicity_cnn, "op9_html_extraction": op9_html_extraction, "op1_best_fit_packing": op1_best_fit_packing, "op3_simhash": op3_simhash, "op10_mixture_packing": op10_mixture_packing, "op7_exact_dedup": op7_exact_dedup, "op8_quality_rules": op8_quality_rules}
+ORACLES = {"op11_license_scan": licenses.oracle_sql(), "op13_merkle_manifest": merkle.oracle_sql(), "op7_exact_dedup": OP7_SQL, "op8_quality_rules": _op8_sql()}
