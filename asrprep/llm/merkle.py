@@ -12,7 +12,7 @@ an ancestor of ``b`` when b's interval lies in a's, without any pointers.
   data. Every level is written once to the shared folder and has an eighth of the rows of the one below.
 - Ancestors: level by level from the top, nodes are joined with those of the next level on that bucket and on
   ``parent.lo <= lo and hi <= parent.hi``; a parent brings along the path from it to the root, so a leaf
-  takes part in one join, not in one per level.
+  takes part in one join, not in one per level. Each level's paths are written to the shared folder as well.
 - Siblings: the nodes that cover the difference of the parent's interval and the node's own, which is what
   lies before (``[parent.lo, lo)``) and behind (``[hi, parent.hi)``).
 
@@ -37,6 +37,7 @@ from asrprep.session import scratch_path
 FANOUT = 8
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 PATH = "array<struct<left: string, right: string>>"
+KIDS = "array<struct<lo: bigint, hi: bigint, digest: string>>"
 
 
 def digest(*parts: Column) -> Column:
@@ -54,19 +55,23 @@ def leaf_of(*values: Column) -> Column:
     return digest(*[field(v) for v in values])
 
 
+def _saved(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _levels(leaves: DataFrame, most: int, name: str) -> list[DataFrame]:
     """The levels over ``leaves`` (tree, n, lo, hi, digest): tables of (tree, n, lo, hi, digest, kids), from the lowest up. ``n``
     is the number of the tree's leaves, ``most`` the largest of these."""
-    spark, below, out, span = leaves.sparkSession, leaves, [], 1
+    below, out, span = leaves, [], 1
     while span < most:
-        path = scratch_path(spark, f"{name}-{len(out) + 1}")
-        (below.where(F.col("n") > span)
-         .groupBy("tree", F.floor(F.col("lo") / (span * FANOUT)).alias("bucket"))
-         .agg(F.max("n").alias("n"), F.array_sort(F.collect_list(F.struct("lo", "hi", "digest"))).alias("kids"))
-         .select("tree", "n", F.col("kids")[0]["lo"].alias("lo"), F.element_at("kids", -1)["hi"].alias("hi"),
-                 F.sha2(F.concat_ws("", F.transform("kids", lambda k: k["digest"])), 256).alias("digest"), "kids")
-         .write.parquet(path))
-        below = spark.read.parquet(path)
+        below = _saved(below.where(F.col("n") > span)
+                       .groupBy("tree", F.floor(F.col("lo") / (span * FANOUT)).alias("bucket"))
+                       .agg(F.max("n").alias("n"), F.array_sort(F.collect_list(F.struct("lo", "hi", "digest"))).alias("kids"))
+                       .select("tree", "n", F.col("kids")[0]["lo"].alias("lo"), F.element_at("kids", -1)["hi"].alias("hi"),
+                               F.sha2(F.concat_ws("", F.transform("kids", lambda k: k["digest"])), 256).alias("digest"), "kids"),
+                       f"{name}-{len(out) + 1}")
         out.append(below)
         span *= FANOUT
     return out
@@ -88,16 +93,17 @@ def _attach(nodes: DataFrame, parents: DataFrame, span: int) -> DataFrame:
             .withColumn("path", F.concat(F.array(step), "path")).drop("bucket", "p_lo", "p_hi", "p_kids"))
 
 
-def _with_paths(leaves: DataFrame, levels: list[DataFrame], tops: DataFrame) -> DataFrame:
-    """``leaves`` with the path of each to the root; ``tops`` has (tree, path, ...) for the top node of every tree."""
-    above, found = None, None
-    for k in range(len(levels), -1, -1):
-        nodes, span = levels[k - 1] if k else leaves, FANOUT ** k
-        # the node that covers all leaves of its tree, at the lowest level that has one
-        at_top = nodes.where((F.col("n") <= span) & (F.col("n") > (span // FANOUT if k else 0))).join(tops, "tree")
-        found = at_top if above is None else at_top.unionByName(_attach(nodes.where(F.col("n") > span), above, span * FANOUT))
-        above = found
-    return found
+def _with_paths(leaves: DataFrame, levels: list[DataFrame], tops: DataFrame, name: str) -> DataFrame:
+    """``leaves`` with the path of each to the root. ``tops`` holds the top node of every tree, its ``level`` (0: a lone leaf),
+    path and what the tree's leaves are to get besides. Each level's paths are written before the next one's."""
+    above, shared = None, [c for c in tops.columns if c not in ("n", "lo", "hi", "digest", "kids", "level")]
+    for k in range(len(levels), 0, -1):
+        here, span = tops.where(F.col("level") == k).drop("level"), FANOUT ** k
+        if above is not None:
+            here = here.unionByName(_attach(levels[k - 1].where(F.col("n") > span), above, span * FANOUT))
+        above = _saved(here, f"{name}-paths-{k}")
+    lone = leaves.where("n = 1").join(tops.where("level = 0").select(*shared), "tree")
+    return lone if above is None else lone.unionByName(_attach(leaves.where("n > 1"), above, FANOUT))
 
 
 def fold(leaf: Column, path: Column) -> Column:
@@ -117,25 +123,23 @@ def manifest(leaves: DataFrame) -> DataFrame:
     ranked = with_global_index(leaves.withColumn("_key", key), ["_key", "doc_id", "leaf"], "_at")
     groups = with_global_index(ranked.groupBy("_key").agg(F.min("_at").alias("_from"), F.count(F.lit(1)).alias("n")), ["_key"], "tree")
     size = groups.agg(F.max("n"), F.count(F.lit(1))).collect()[0]
-    rows = (ranked.join(checked_broadcast(groups), "_key")
-            .withColumn("lo", F.col("_at") - F.col("_from")).withColumn("hi", F.col("lo") + 1)
-            .withColumn("digest", F.col("leaf")).drop("_key", "_at", "_from", "grp"))
+    rows = _saved(ranked.join(checked_broadcast(groups), "_key")
+                  .withColumn("lo", F.col("_at") - F.col("_from")).withColumn("hi", F.col("lo") + 1)
+                  .withColumn("digest", F.col("leaf")).drop("_key", "_at", "_from", "grp"), "merkle-leaves")
     levels = _levels(rows.select("tree", "n", "lo", "hi", "digest"), size[0] or 0, "merkle")
 
-    # the tree over the groups' top nodes
-    tops = [rows.where("n = 1").select("tree", "digest")]
-    tops += [nodes.where(f"n <= {FANOUT ** k} and n > {FANOUT ** (k - 1)}").select("tree", "digest")
-             for k, nodes in enumerate(levels, 1)]
-    subroots = tops[0]
-    for more in tops[1:]:
-        subroots = subroots.unionByName(more)
-    subroots = subroots.select(F.lit(0).cast("long").alias("tree"), F.lit(size[1]).cast("long").alias("n"), F.col("tree").alias("lo"),
-                               (F.col("tree") + 1).alias("hi"), "digest")
-    upper = _levels(subroots, size[1], "merkle-top")
-    root = (upper[-1] if upper else subroots).select("tree", F.col("digest").alias("root"), F.array().cast(PATH).alias("path"))
-    over = (_with_paths(subroots, upper, root)
-            .select(F.col("lo").alias("tree"), F.col("digest").alias("subroot"), "root", "path"))
-    return _with_paths(rows, levels, over).drop("tree", "n", "lo", "hi", "digest")
+    # the tree over the groups' top nodes; ``node`` is such a node in its own tree
+    tops = rows.where("n = 1").select("tree", "n", "lo", "hi", "digest", F.lit(None).cast(KIDS).alias("kids"), F.lit(0).alias("level"))
+    for k, nodes in enumerate(levels, 1):
+        tops = tops.unionByName(nodes.where(f"n <= {FANOUT ** k} and n > {FANOUT ** (k - 1)}").withColumn("level", F.lit(k)))
+    subroots = _saved(tops.select(F.lit(0).cast("long").alias("tree"), F.lit(size[1]).cast("long").alias("n"), F.col("tree").alias("lo"),
+                                  (F.col("tree") + 1).alias("hi"), "digest", F.struct(*tops.columns).alias("node")), "merkle-subroots")
+    upper = _levels(subroots.drop("node"), size[1], "merkle-top")
+    root = (upper[-1] if upper else subroots.drop("node").withColumn("kids", F.lit(None).cast(KIDS))).select(
+        "*", F.lit(len(upper)).alias("level"), F.col("digest").alias("root"), F.array().cast(PATH).alias("path"))
+    over = _saved(_with_paths(subroots, upper, root, "merkle-top").select("node.*", F.col("digest").alias("subroot"), "root", "path"),
+                  "merkle-tops")
+    return _with_paths(rows, levels, over, "merkle").drop("tree", "n", "lo", "hi", "digest")
 
 
 def document_leaves(docs: DataFrame) -> DataFrame:
