@@ -12,8 +12,8 @@ Shape of the job (every step a DataFrame operation, no driver loops):
   transcript per row. For a correct word made only of word characters, every occurrence in the
   space-joined transcript lies inside one word of one chunk, so it is a whole-token equi-join, or,
   for the rest, an equi-join against the substrings (of the needed lengths only) of the recording's
-  distinct words. Corrections containing other characters are equi-joined with the places where
-  runs of word characters and of other characters meet in the transcripts of those recordings.
+  distinct words. Corrections containing other characters are looked up in one pass over the
+  transcripts of those recordings, which a filter of the corrections goes along with (``containment``).
 * verdict: flags regrouped per row (a group is one row's own correction list)
 * rewrite: a left join of the verdict to the rows, then a fold over the approved corrections.
 """
@@ -27,7 +27,8 @@ from pyspark.sql import functions as F
 
 from asrprep.functions import corrections as corr
 from asrprep.functions.similarity import similarity as similarity_expr
-from asrprep.functions.text import NOT_WORD, WORD, words
+from asrprep.functions.text import WORD, words
+from asrprep.operators.containment import candidates
 from asrprep.operators.joins import broadcast_if_small, checked_broadcast, pin_measured
 from asrprep.operators.ordering import with_group_index
 from asrprep.session import pin as pin_df
@@ -130,14 +131,14 @@ def appears_in_transcript(chunks: DataFrame, occurrences: DataFrame, audio_col:
         if pin:  # read by two joins; computed once
             tokens = pin_df(tokens)
     # one left join marks the words that occur as a whole word of the recording
-    marked = pure.join(tokens.select(audio_col, F.col("tok").alias("correct"), F.lit(True).alias("_whole")),
-                       [audio_col, "correct"], "left")
-    hit_whole = marked.where(F.col("_whole")).select(audio_col, "correct")
-    rest = marked.where(F.col("_whole").isNull()).select(audio_col, "correct")
+    marked = (pure.join(tokens.select(audio_col, F.col("tok").alias("correct"), F.lit(True).alias("_whole")),
+                        [audio_col, "correct"], "left")
+              .select(audio_col, "correct", F.coalesce("_whole", F.lit(False)).alias("_whole")))
+    if pin:
+        marked = pin_df(marked)
+    rest = marked.where(~F.col("_whole")).select(audio_col, "correct")
     # substrings of the recording's words, only of the lengths still asked for in that recording
     # (linear in the text: at most one substring per character and asked-for length)
-    if pin:  # pinned and measured in one job
-        rest, rest_rows, rest_bytes = pin_measured(rest)
     lens = rest.select(audio_col, F.length("correct").alias("L")).distinct()
     if pin:  # the partitioned word table drives the generation; the small length table is the build side
         lens = checked_broadcast(lens)
@@ -149,29 +150,26 @@ def appears_in_transcript(chunks: DataFrame, occurrences: DataFrame, audio_col:
     # probe the substrings against the remaining words: the words are the build side (broadcast when
     # a count shows they are small), so the substrings are not shuffled in that case; a semi join
     # needs no distinct on the probe side
-    if pin:
-        hit_sub = subs.join(broadcast_if_small(rest, rest_rows, rest_bytes), [audio_col, "correct"],
-                            "left_semi").distinct()
-    else:
-        hit_sub = rest.join(subs, [audio_col, "correct"], "left_semi")
-
-    # corrections with non-word characters: looked up at the places where a word meets other text
-    hit_other = _nonword_hits(chunks, other, audio_col, text_col, order_col, tie_cols, pin)
-
-    hits = hit_whole.unionByName(hit_sub).unionByName(hit_other).withColumn("appears", F.lit(True))
-    return (cw.join(hits, [audio_col, "correct"], "left")
-            .withColumn("appears", F.coalesce(F.col("appears"), F.lit(False))))
+    hit_sub = subs.join(checked_broadcast(rest) if pin else rest, [audio_col, "correct"], "left_semi").distinct()
+
+    def found(asked: DataFrame, hits: DataFrame) -> DataFrame:
+        return (asked.join(hits.withColumn("appears", F.lit(True)), [audio_col, "correct"], "left")
+                .withColumn("appears", F.coalesce("appears", F.lit(False))))
+
+    out = (marked.where("_whole").select(audio_col, "correct", F.lit(True).alias("appears"))
+           .unionByName(found(rest, hit_sub)))
+    # corrections with non-word characters, if there are any
+    other, other_rows, _ = pin_measured(other)
+    if not other_rows:
+        return out
+    texts = _stretches(chunks, other, audio_col, text_col, order_col, tie_cols, pin)
+    hit_other = candidates(pin_df(texts) if pin else texts, other, other_rows, audio_col).distinct()
+    return out.unionByName(found(other, hit_other))
 
 
-MAX_RUNS = 16  # longer corrections (in runs) are searched in the stretches that hold their longest two runs
 STRETCH = 256  # chunks of a stretch
 
 
-def _runs(text: Column) -> Column:
-    """A text as its runs of word characters and of other characters, in order."""
-    return F.regexp_extract_all(text, F.lit(f"{WORD}|{NOT_WORD}+"), F.lit(0))
-
-
 def _stretches(chunks: DataFrame, other: DataFrame, audio_col: str, text_col: str, order_col: str,
                tie_cols: list[str], pin: bool) -> DataFrame:
     """``(audio_id, _b, _t)``: the lower-cased transcripts as stretches of ``STRETCH`` chunks, each with the
@@ -208,54 +206,6 @@ def _stretches(chunks: DataFrame, other: DataFrame, audio_col: str, text_col: st
             .select(audio_col, "_b", F.concat_ws(" ", "_t", "_tail").alias("_t")))
 
 
-def _nonword_hits(chunks: DataFrame, other: DataFrame, audio_col: str, text_col: str, order_col: str,
-                  tie_cols: list[str], pin: bool) -> DataFrame:
-    """``(audio_id, correct)`` of the corrections in ``other`` that occur in their recording's transcript.
-
-    A correction of two runs or more can only occur where the transcript has two neighbouring runs of
-    which the left ends with its x and the right begins with its y, for any two neighbouring runs x, y
-    of the correction; the longest such two are taken. So neighbouring runs of the transcript are joined
-    with the corrections on (recording, ending of that length, beginning of that length), for the
-    lengths that the recording's corrections ask for, and a match is confirmed in the few runs
-    around it: linear in the transcript, whatever the number of corrections. A correction of one
-    run holds no word character and is looked for in the recording's distinct runs of such. One of more than
-    ``MAX_RUNS`` is looked for in the stretches where its two neighbouring runs were found.
-    Transcripts are handled in stretches (see ``_stretches``), never as one row.
-    """
-    asked = other.withColumn("_r", _runs(F.col("correct")))
-    sized = F.transform(F.sequence(F.lit(0), F.size("_r") - 2), lambda i: F.struct(
-        (F.length(F.get("_r", i)) + F.length(F.get("_r", i + 1))).alias("n"), (-i).alias("i")))
-    several = (asked.where(F.size("_r") >= 2).withColumn("_at", -F.array_max(sized)["i"])
-               .select(audio_col, "correct", F.get("_r", F.col("_at")).alias("_x"), F.get("_r", F.col("_at") + 1).alias("_y"),
-                       F.size("_r").alias("_n")))
-    if pin:
-        several = pin_df(several)
-    reach = min(several.agg(F.max("_n")).collect()[0][0] or 2, MAX_RUNS) - 1 if pin else MAX_RUNS - 1
-
-    texts = _stretches(chunks, other, audio_col, text_col, order_col, tie_cols, pin)
-    if pin:
-        texts = pin_df(texts)
-    # (left run, right run, the runs around them) of every two neighbouring runs
-    around = F.get(F.transform(F.array(_runs(F.col("_t"))), lambda r: F.transform(
-        F.sequence(F.lit(0), F.greatest(F.size(r) - 2, F.lit(0))), lambda i: F.struct(
-            F.get(r, i).alias("_l"), F.get(r, i + 1).alias("_g"),
-            F.concat_ws("", *[F.when(i + k >= 0, F.get(r, i + k)) for k in range(-reach + 1, reach + 1)]).alias("_near")))), F.lit(0))
-    meets = texts.select(audio_col, "_b", F.explode(around).alias("_m")).select(audio_col, "_b", "_m.*").where(F.col("_g").isNotNull())
-    lens = several.select(audio_col, F.length("_x").alias("_lx"), F.length("_y").alias("_ly")).distinct()
-    keyed = (meets.join(checked_broadcast(lens) if pin else lens, audio_col)
-             .where((F.length("_l") >= F.col("_lx")) & (F.length("_g") >= F.col("_ly")))
-             .select(audio_col, "_b", F.expr("right(_l, _lx)").alias("_x"), F.expr("left(_g, _ly)").alias("_y"), "_near"))
-    found = (keyed.join(several.where(F.col("_n") <= MAX_RUNS), [audio_col, "_x", "_y"]).where(F.contains("_near", "correct"))
-             .select(audio_col, "correct").distinct())
-
-    gaps = texts.select(audio_col, F.explode(F.array_distinct(F.regexp_extract_all("_t", F.lit(f"{NOT_WORD}+"), F.lit(0)))).alias("_gap")).distinct()
-    single = (asked.where(F.size("_r") == 1).select(audio_col, "correct").join(gaps, audio_col)
-              .where(F.contains("_gap", "correct")).select(audio_col, "correct").distinct())
-    long = (keyed.join(several.where(F.col("_n") > MAX_RUNS), [audio_col, "_x", "_y"]).select(audio_col, "_b", "correct").distinct()
-            .join(texts, [audio_col, "_b"]).where(F.contains("_t", "correct")).select(audio_col, "correct").distinct())
-    return found.unionByName(single).unionByName(long)
-
-
 def flag_rule(pair_frequency: Column, similarity: Column, known: Column, appears: Column,
               min_pair_freq: int = 2, similarity_threshold: float = 0.7) -> Column:
     """A correction is flagged when it is rare, dissimilar, not to a known word and not seen in the
