@@ -7,6 +7,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from asrprep.functions.text import clean_transcription, strip
+from asrprep.operators.ledger import Ledger
+from asrprep.operators.selection import any_rows, first_rows
+from asrprep.session import pin
 
 # The reject reason vocabulary, in the order the checks run.
 AUDIO_MISSING = "audio_missing"
@@ -60,16 +63,28 @@ def run_counters(tagged: DataFrame, reason_col: str = "reject_reason") -> DataFr
             .agg(F.count(F.lit(1)).alias("n")))
 
 
-def select_backlog(manifest: DataFrame, ledger: DataFrame, id_col: str = "id", text_col: str = "transcription",
+def select_backlog(manifest: DataFrame, ledger: DataFrame | Ledger, id_col: str = "id", text_col: str = "transcription",
                    sample_size="Full") -> DataFrame:
-    """Rows still to prepare: drop rows with null text, remove ids already in the ledger, then take
-    the first ``sample_size`` rows by id (``'Full'`` = all). The limit counts only the rows left
-    after the first two steps."""
-    todo = (manifest.where(F.col(text_col).isNotNull())
-            .join(ledger.select(id_col), id_col, "left_anti"))
+    """Rows still to prepare: drop rows with null text, remove ids already in the ledger (a table of ids or a
+    ``Ledger``), then take the first ``sample_size`` rows by id (``'Full'`` = all). The limit counts only the rows left
+    after the first two steps; only their ids are held and counted to find where it falls."""
+    rows = manifest.where(F.col(text_col).isNotNull())
+    todo = ledger.unseen(rows, id_col) if isinstance(ledger, Ledger) else rows.join(ledger.select(id_col), id_col, "left_anti")
     if sample_size in (None, "Full", "full"):
         return todo
-    return todo.orderBy(id_col).limit(int(sample_size))
+    size = int(sample_size)
+    ids = pin(todo.select(id_col))
+    cut = first_rows(ids, [F.col(id_col)], size).agg(F.max(id_col), F.count(F.lit(1))).collect()[0]
+    if cut[1] < size:
+        return todo
+    if cut[0] is None:
+        return any_rows(todo.where(F.col(id_col).isNull()), size)
+    last = F.lit(cut[0])
+    before, ties = ids.agg(F.count_if(F.col(id_col).isNull() | (F.col(id_col) < last)), F.count_if(F.col(id_col) == last)).collect()[0]
+    if before + ties == size:
+        return todo.where(F.col(id_col).isNull() | (F.col(id_col) <= last))
+    return todo.where(F.col(id_col).isNull() | (F.col(id_col) < last)).unionByName(
+        any_rows(todo.where(F.col(id_col) == last), size - before))
 
 
 def prepare_text(df: DataFrame, text_col: str = "transcription", lower_case: bool = False,

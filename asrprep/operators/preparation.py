@@ -10,13 +10,16 @@ Outcome of a row: the first of ``load_failed`` (the loader failed every try), ``
 ``audio_undecodable`` / ``multi_channel`` / ``feature_error`` (from the feature function),
 ``text_missing``, ``text_blank``, ``tokenize_error`` (no label besides the special ids); else good.
 
-The sink is one Parquet table partitioned by run (or micro-batch) and status, written once; the
-ledger of processed ids is its good part, so the two cannot disagree.
+The sink is one Parquet table partitioned by run (or micro-batch) and status. The ids of a run's good rows go to the
+ledger beside it (``_ledger``), and the run counts, for readers of the table and of the ledger alike, when its one commit
+record is written there: good and rejected rows become visible together or not at all, and a run that is
+repeated replaces its own rows. Ids already done are found through the ledger's filters (``operators.ledger``).
 """
 
 from __future__ import annotations
 
 import time
+import zlib
 
 import numpy as np
 import pandas as pd
@@ -24,9 +27,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from asrprep.operators import labels as lab
-from asrprep.operators.manifest import FEATURE_ERROR, TEXT_BLANK, TEXT_MISSING, AUDIO_MISSING, TOKENIZE_ERROR, select_backlog
 from asrprep.functions.text import clean_transcription
-from asrprep.sources.io import path_exists, write_features
+from asrprep.operators.ledger import Ledger
+from asrprep.operators.manifest import AUDIO_MISSING, FEATURE_ERROR, TEXT_BLANK, TEXT_MISSING, TOKENIZE_ERROR, select_backlog
 
 LOAD_FAILED = "load_failed"
 
@@ -92,46 +95,52 @@ def prepare_rows(todo: DataFrame, loader, featurise, vocab: DataFrame, id_col: s
                                  "labels array<int>, reject_reason string")
 
 
-def _sink(prepared: DataFrame, out_dir: str, run: str, overwrite: bool, rows_per_file: int) -> None:
+def _sink(prepared: DataFrame, out_dir: str, run: str, done: Ledger, rows_per_file: int, id_col: str) -> None:
+    """Writes the rows of a run, its ids, then its commit record; whatever an earlier try of the run left is replaced."""
     tagged = prepared.select("*", F.lit(run).alias("run"),
                              F.when(F.col("reject_reason").isNull(), F.lit("good")).otherwise(F.lit("rejected")).alias("status"))
-    if overwrite:  # a replayed micro-batch replaces its own partition
-        (tagged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "snappy")
-         .option("maxRecordsPerFile", str(rows_per_file)).partitionBy("run", "status").parquet(out_dir))
-    else:
-        write_features(tagged, out_dir, rows_per_file, partition_cols=["run", "status"])
+    (tagged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "snappy")
+     .option("maxRecordsPerFile", str(rows_per_file)).partitionBy("run", "status").parquet(out_dir))
+    spark = prepared.sparkSession
+    written = spark.read.schema(tagged.schema).parquet(out_dir).where((F.col("run") == run) & (F.col("status") == "good"))
+    done.add(written.select(id_col), run, id_col)
+    done.commit(run)
 
 
-def prepared(spark: SparkSession, out_dir: str, status: str = "good") -> DataFrame:
-    return spark.read.parquet(out_dir).where(F.col("status") == status)
+def ledger(spark: SparkSession, out_dir: str, id_type, **sizes) -> Ledger:
+    """The ledger beside a prepared table."""
+    return Ledger(spark, f"{out_dir.rstrip('/')}/_ledger", id_type, **sizes)
 
 
-def ledger(spark: SparkSession, out_dir: str, schema, id_col: str = "id", other_than: str | None = None) -> DataFrame:
-    """Ids that are done (of runs other than ``other_than``); nothing before the first run."""
-    if not path_exists(spark, out_dir):
-        return spark.createDataFrame([], schema)
-    done = prepared(spark, out_dir)
-    return (done.where(F.col("run") != other_than) if other_than else done).select(id_col).distinct()
+def prepared(spark: SparkSession, out_dir: str, status: str | None = "good") -> DataFrame:
+    """The rows of committed runs: those with a status, or all (None)."""
+    rows = spark.read.parquet(out_dir)
+    runs = ledger(spark, out_dir, rows.schema[0].dataType).runs()
+    rows = rows.where(F.col("run").isin(runs))
+    return rows if status is None else rows.where(F.col("status") == status)
 
 
 def prepare_features_batch(spark: SparkSession, manifest: DataFrame, out_dir: str, run: str, loader, featurise, vocab: DataFrame,
                            sample_size="Full", rows_per_file: int = 1000, id_col: str = "id", **options) -> None:
-    """Prepares what the ledger lacks and appends it as ``run``. A crashed run leaves nothing visible and is simply repeated."""
-    done = ledger(spark, out_dir, manifest.select(id_col).schema, id_col)
+    """Prepares what the ledger lacks as ``run``. A crashed run leaves nothing visible and is simply repeated; one that is
+    already committed is not run again."""
+    done = ledger(spark, out_dir, manifest.schema[id_col].dataType)
+    if run in done.runs():
+        return
     todo = select_backlog(manifest, done, id_col, options.get("text_col", "transcription"), sample_size)
-    _sink(prepare_rows(todo, loader, featurise, vocab, id_col, **options), out_dir, run, False, rows_per_file)
+    _sink(prepare_rows(todo, loader, featurise, vocab, id_col, **options), out_dir, run, done, rows_per_file, id_col)
 
 
 def prepare_features_stream(spark: SparkSession, source_dir: str, schema, out_dir: str, checkpoint: str, loader, featurise,
                             vocab: DataFrame, rows_per_file: int = 1000, max_files_per_trigger: int = 1,
                             id_col: str = "id", **options) -> None:
-    """The same over files as they arrive: each micro-batch skips ids that other batches have done,
-    keeps one row per id, and owns one ``run`` partition, so a replay writes it again."""
+    """The same over files as they arrive: each micro-batch is a run of the stream that ``checkpoint`` names, skips ids that others
+    have done and keeps one row per id."""
+    stream = f"{zlib.crc32(checkpoint.encode()):08x}"
+
     def each(batch: DataFrame, number: int) -> None:
-        run = f"batch-{number:09d}"
-        done = ledger(spark, out_dir, batch.select(id_col).schema, id_col, other_than=run)
-        todo = select_backlog(batch.dropDuplicates([id_col]), done, id_col, options.get("text_col", "transcription"), "Full")
-        _sink(prepare_rows(todo, loader, featurise, vocab, id_col, **options), out_dir, run, True, rows_per_file)
+        prepare_features_batch(spark, batch.dropDuplicates([id_col]), out_dir, f"batch-{stream}-{number:09d}", loader, featurise,
+                               vocab, "Full", rows_per_file, id_col, **options)
 
     (spark.readStream.schema(schema).option("maxFilesPerTrigger", str(max_files_per_trigger)).parquet(source_dir)
      .writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination())

@@ -14,17 +14,14 @@ from pyspark.sql import functions as F
 
 from asrprep.functions.hashing import seeded_hash32, seeded_md5, seeded_unit
 from asrprep.operators.ordering import with_global_index, with_group_index
+from asrprep.operators.selection import first_rows
 
 
-def exact_fraction_sample(df: DataFrame, key_col: str, frac: float, seed: int = 42, tie_col: str | None = None,
-                          num_partitions: int | None = None) -> DataFrame:
-    """Exactly ``round_half_even(frac * n)`` rows: those with the smallest ``md5(seed:key)``
-    (ties by ``tie_col``). One count, one range-partitioned sort."""
-    n = df.count()
-    k = int(round(frac * n))  # Python round = half-even
-    order = [seeded_md5(seed, key_col)] + ([F.col(tie_col)] if tie_col else [F.col(key_col)])
-    ranked = with_global_index(df, order, "_rank", num_partitions)
-    return ranked.where(F.col("_rank") < F.lit(k)).drop("_rank")
+def exact_fraction_sample(df: DataFrame, key_col: str, frac: float, seed: int = 42, tie_col: str | None = None) -> DataFrame:
+    """Exactly ``round_half_even(frac * n)`` rows: those with the smallest ``md5(seed:key)`` (ties by ``tie_col``). The cut is
+    found by counting prefixes of the hashes; the rows stay where they are."""
+    k = int(round(frac * df.count()))  # Python round = half-even
+    return first_rows(df, [seeded_md5(seed, key_col), F.col(tie_col or key_col)], k, step=4)
 
 
 def threshold_sample(df: DataFrame, key_col: str, frac: float, seed: int = 42) -> DataFrame:
@@ -52,8 +49,8 @@ def train_test_split(df: DataFrame, key_col: str, test_size: float = 0.1, seed:
 
 
 def sample_k(df: DataFrame, key_col: str, k: int, seed: int = 42) -> DataFrame:
-    """``k`` rows without replacement: smallest ``md5(seed:key)`` (top-k per partition, then merged)."""
-    return df.orderBy(seeded_md5(seed, key_col), F.col(key_col)).limit(k)
+    """``k`` rows without replacement: smallest ``md5(seed:key)``, in no particular order."""
+    return first_rows(df, [seeded_md5(seed, key_col), F.col(key_col)], k, step=4)
 
 
 def shuffle_positions(df: DataFrame, key_col: str, epochs=(0,), seed: int = 42, num_shards: int = 128,
