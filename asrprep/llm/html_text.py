@@ -2,9 +2,9 @@
 
 Markup is stripped to lines: a block element begins a line, inline elements do not. Each line gets
 a weight: its text length, or nothing where markup says it is no content (menus, headers, footers,
-side bars, notices, adverts, forms, comments; lines that are mostly links). Names that also name layouts or
-subjects only lower the weight, and so does a place outside the ``article`` or ``main`` element of a page that has
-one. Weights are summed over sliding windows of ``WINDOW`` lines. Text starts where that sum surges, ends where it
+side bars, notices, adverts, forms, comments; lines that are mostly links). A noise word in passing (``has-sidebar``,
+``related-work``) only lowers the weight, and on pages without an ``article`` or ``main`` element so do names that also name layouts or
+subjects (``sidebar``, ``related``), which inside such an element are no content; so does a place outside of the element. Weights are summed over sliding windows of ``WINDOW`` lines. Text starts where that sum surges, ends where it
 dives to nothing or where the kind of line (plain, outside the article, loosely named) changes.
 
 A run of windows is text if it reaches ``SURGE`` characters; runs of lowered weight must also reach half of the
@@ -12,14 +12,17 @@ densest plain window. Shorter runs are text too if they lie in the same containe
 advert the closing sentence stays) or in the page's article, which is one container: there all plain lines
 are text. If no run is text, the heaviest is.
 
+Time is linear in the page, also for unclosed tags and quotes.
+
 Defined cases: null html counts as empty and gives an empty text; pages without text give an empty
 text; unclosed and misplaced tags are closed by what encloses them; repeated rows are extracted
-alike; an empty table gives an empty table; other columns are carried through unless their names clash with ``text`` and ``n_chars``.
+alike; pages of any length are read whole, each by one task; an empty table gives an empty table; other columns are carried through unless their names clash with ``text`` and ``n_chars``.
 """
 
 from __future__ import annotations
 
 import bisect
+import collections
 import functools
 import html
 import itertools
@@ -61,10 +64,8 @@ OUTSIDE = 0.125  # outside the article
 # elements that group or hold lines of the container they lie in
 PASSING = INLINE | set("p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th blockquote figure figcaption pre "
                        "center picture".split())
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
-    r"|<(" + "|".join(RAW) + r")(?=[\s/>])([^>]*)>", re.S | re.I)  # the last for an odd number of quotes
-_RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I) for name in RAW}
+_RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])", re.I) for name in RAW}
+_NAME_END, _QUOTE_OR_END = re.compile(r"[\s/>]"), re.compile(r"[>\"']")
 _ATTR = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _PART = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
@@ -90,7 +91,7 @@ def _named(token: str, inside: bool) -> int:
     if head[-1] in words:
         if head[-1] in HEAD_NOISE and CONTENT.intersection(head):
             return 1
-        return 3 if head[-1] in FIRM else 2
+        return 3 if FIRM.intersection(head) else 2
     return 2 if parts[0] in FIRM else 1
 
 
@@ -120,18 +121,88 @@ class Line(NamedTuple):
     homes: tuple[int, int]  # its container; the container around that if it is a div used as a paragraph
 
 
+class _Tags:
+    """The tags of a page in order, found in time linear in the page whatever its quotes and brackets: what a failed look
+    ahead has seen is remembered."""
+
+    def __init__(self, page: str):
+        self.page, self.size = page, len(page)
+        self.seen = {kind: (0, -1) for kind in (_NAME_END, _QUOTE_OR_END, ">")}  # searched from, found at
+        self.dead: set[int] = set()  # places of quotes that, opened there, leave the tag without an end
+        self.unclosed = {'"': self.size, "'": self.size}  # from here on no quote of the kind is closed
+
+    def _find(self, kind, at: int) -> int:
+        """``kind`` at or after ``at``, else the page's size; for places that mostly ascend."""
+        since, found = self.seen[kind]
+        if not since <= at <= found:
+            if kind == ">":
+                found = self.page.find(kind, at)
+            else:
+                m = kind.search(self.page, at)
+                found = m.start() if m else -1
+            found = self.size if found < 0 else found
+            self.seen[kind] = at, found
+        return found
+
+    def _end(self, at: int) -> int:
+        """Behind the first ``>`` outside of quotes, or -1."""
+        page, opened, p = self.page, [], self._find(_QUOTE_OR_END, at)
+        while p < self.size:
+            if page[p] == ">":
+                return p + 1
+            opened.append(p)
+            close = -1 if p in self.dead or p >= self.unclosed[page[p]] else page.find(page[p], p + 1)
+            if close < 0:
+                if p not in self.dead:
+                    self.unclosed[page[p]] = min(p, self.unclosed[page[p]])
+                break
+            m = _QUOTE_OR_END.search(page, close + 1)
+            p = m.start() if m else self.size
+        self.dead.update(opened)
+        return -1
+
+    def next(self, at: int) -> tuple[int, int, bool, str, str] | None:
+        """(begin, end, whether an end tag, name, attributes) from ``at`` on; no name for comments and declarations."""
+        page = self.page
+        while (s := page.find("<", at)) >= 0:
+            at = s + 1
+            if page.startswith("<!--", s):
+                end = page.find("-->", s + 4)
+                return s, end + 3 if end >= 0 else self.size, False, "", ""
+            if page[at:at + 1] in ("!", "?"):
+                end = self._find(">", at + 1)
+                if end < self.size:
+                    return s, end + 1, False, "", ""
+                continue
+            closing = page.startswith("/", at)
+            first = page[at + closing:at + closing + 1]
+            if not (first.isascii() and first.isalpha()):
+                continue
+            stop = self._find(_NAME_END, at + closing)
+            if stop == self.size:
+                continue
+            end = self._end(stop)
+            if end >= 0:
+                return s, end, closing, page[at + closing:stop].lower(), page[stop:end - 1]
+            if not closing and stop - at < 10 and page[at:stop].lower() in RAW and (end := self._find(">", stop)) < self.size:
+                return s, end + 1, False, page[at:stop].lower(), ""  # an odd number of quotes
+        return None
+
+
 class _Closings:
-    """How many more closing than opening tags of a name follow a place of the page; one pass per name."""
+    """How many more closing than opening tags of a name follow a place of the page; found in one pass."""
 
     def __init__(self, page: str):
-        self.page, self.of = page, {}
+        self.page, self.of = page, None
 
     def after(self, name: str, at: int) -> int:
-        if name not in self.of:
-            tags = list(re.finditer(rf"<(/?){re.escape(name)}(?=[\s/>])", self.page, re.I))
-            sums = itertools.accumulate((1 if m.group(1) else -1 for m in reversed(tags)), initial=0)
-            self.of[name] = [m.start() for m in tags], list(sums)[::-1]
-        starts, more = self.of[name]
+        if self.of is None:
+            tags: dict = {}
+            for m in re.finditer(r"<(/?)([a-zA-Z][^\s/>]*+)", self.page):
+                tags.setdefault(m.group(2).lower(), []).append((m.start(), 1 if m.group(1) else -1))
+            self.of = {n: ([i for i, _ in x], list(itertools.accumulate((v for _, v in reversed(x)), initial=0))[::-1])
+                       for n, x in tags.items()}
+        starts, more = self.of.get(name, ([], [0]))
         return more[bisect.bisect_left(starts, at)]
 
 
@@ -142,6 +213,8 @@ def lines_of(page: str) -> tuple[list[Line], bool]:
     stack: list[tuple[str, int, int]] = []  # name, index in WEIGHTS, container
     around = [0]  # the container around each
     named = [0, 0, 0, 0]  # open elements of each index in WEIGHTS
+    blocks: list[str] = []  # the open ones that are no inline elements
+    opened, noisy = collections.Counter(), collections.Counter()  # open elements by name; those with an index over 1
     linked = inside = 0
     in_link, marked, first = 0, False, True  # first: no article that is content so far
 
@@ -150,7 +223,7 @@ def lines_of(page: str) -> tuple[list[Line], bool]:
         if buffer:
             text = _SPACE.sub(" ", "".join(buffer)).strip()
             if text:
-                home, at_block = (stack[-1][2] if stack else 0), next((n for n, _, _ in reversed(stack) if n not in INLINE), "")
+                home, at_block = (stack[-1][2] if stack else 0), blocks[-1] if blocks else ""
                 lines.append(Line(text, linked, 3 if named[3] else 2 if named[2] else 1 if named[1] else 0, inside > 0,
                                   (home, around[home] if at_block == "div" else home)))
             buffer.clear()
@@ -160,6 +233,10 @@ def lines_of(page: str) -> tuple[list[Line], bool]:
         nonlocal inside, in_link
         name, bad, _ = stack.pop()
         named[bad] -= 1
+        opened[name] -= 1
+        noisy[name] -= bad > 1
+        if name not in INLINE:
+            blocks.pop()
         inside -= name in ("article", "main")
         in_link -= name == "a"
 
@@ -171,19 +248,20 @@ def lines_of(page: str) -> tuple[list[Line], bool]:
             if in_link:
                 linked += len(t.strip())
 
-    at, endless, closings = 0, set(), _Closings(page)
-    while m := _TOKEN.search(page, at):
-        text(page[at:m.start()])
-        at = m.end()
-        name = m.group(2) or m.group(4)
+    at, endless, closings, tags = 0, set(), _Closings(page), _Tags(page)
+    last_article = page.lower().rfind("<article")
+    while m := tags.next(at):
+        begin, end, closing, name, attrs = m
+        text(page[at:begin])
+        at = end
         if not name:
             continue
-        name = name.lower()
         if name in _RAW_END:
-            if not m.group(1) and not (name in ("svg", "math") and (m.group(3) or "").endswith("/")):
+            if not closing and not (name in ("svg", "math") and attrs.endswith("/")):
                 end = None if name in endless else _RAW_END[name].search(page, at)
-                if end:
-                    at = end.end()
+                close = page.find(">", end.end()) if end else -1
+                if close >= 0:
+                    at = close + 1
                 elif name in ("script", "style"):
                     at = len(page)
                 else:  # never closed: only the tag goes
@@ -194,13 +272,12 @@ def lines_of(page: str) -> tuple[list[Line], bool]:
             end_line()
         elif name == "br":
             buffer.append(" ")
-        if m.group(1):  # end tag: closes what it encloses
-            if any(n == name for n, _, _ in stack):
+        if closing:  # it closes what the element encloses
+            if opened[name] > 0:
                 while stack[-1][0] != name:
                     pop()
                 pop()
             continue
-        attrs = m.group(3)
         if name in VOID:
             continue
         if block:
@@ -212,8 +289,7 @@ def lines_of(page: str) -> tuple[list[Line], bool]:
                 pop()
             if name in ("article", "main") and first and (named[2] or named[3]):
                 # an unclosed menu or advert doesn't hold the article, nor does a form around the page
-                names = [n for n, _, _ in stack]
-                if all(n == "form" or closings.after(n, at) < names.count(n) for n in {n for n, bad, _ in stack if bad > 1}):
+                if all(n == "form" or closings.after(n, at) < opened[n] for n, k in noisy.items() if k > 0):
                     while stack and (named[2] or named[3]) and stack[-1][0] not in ("article", "main", "body"):
                         pop()
             elif name == "body":
@@ -222,6 +298,8 @@ def lines_of(page: str) -> tuple[list[Line], bool]:
         if attrs.endswith("/") and name in ("p", "div", "span", "a"):
             continue
         bad = _noise(name, attrs, inside > 0, first)
+        if bad == 2 and inside and (opened["article"] > 0 or at > last_article):
+            bad = 3  # the article is marked, so that density needn't tell it from what the name says
         if name in ("article", "main") and not bad and not named[2] and not named[3]:
             marked, first = True, first and name == "main"
         home = stack[-1][2] if stack else 0
@@ -230,6 +308,10 @@ def lines_of(page: str) -> tuple[list[Line], bool]:
             home = len(around) - 1
         stack.append((name, bad, home))
         named[bad] += 1
+        opened[name] += 1
+        noisy[name] += bad > 1
+        if name not in INLINE:
+            blocks.append(name)
         inside += name in ("article", "main")
         in_link += name == "a"
     text(page[at:])
