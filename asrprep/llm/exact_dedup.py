@@ -9,8 +9,8 @@ Texts are equal when identical after ``normalise`` (here: all ASCII white space
 Only hashes, ids and counts are shuffled in step 3 (AQE splits a hot hash; its group side is one row).
 
 Of a group the row with the longest original text (code points) stays, then the smallest id (null
-ids last). Defined cases: a null text counts as empty; all empty texts are one group; rows repeated
-with the same id share that id's fate in ``groups`` and are reduced to one by ``keep_one``; an empty
+ids last). Defined cases: a null text counts as empty; all empty texts are one group; of rows repeated
+with the same id those of the group's greatest length are all ``kept`` in ``groups``, and ``keep_one`` returns one of them; an empty
 table gives an empty table; other columns are not read by ``groups`` and returned whole by ``keep_one``.
 """
 
@@ -49,6 +49,10 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hash
 
     ``hash128`` maps the normalised text to its hash; tests pass a weak one to force collisions.
     """
+    return _judged(docs, id_col, text_col, hash128).drop("keep_chars")
+
+
+def _judged(docs: DataFrame, id_col: str, text_col: str, hash128=md5_bytes) -> DataFrame:
     classes, collisions = _classes(docs, id_col, text_col, hash128)
     text = text_or_empty(text_col)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.length(text).alias("n_cp"), without_ws(text).alias("norm"))
@@ -58,7 +62,7 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hash
         return joined.select(
             "doc_id", "keep_id", "group_size",
             (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("n_cp") == F.col("keep_chars"))).alias("kept"),
-            "text_sha256")
+            "text_sha256", "keep_chars")
 
     if collisions.isEmpty():
         return result(rows.drop("norm").join(classes, "h"))
@@ -72,17 +76,18 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hash
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, one per group, with all their columns."""
-    kept = (groups(docs, id_col, text_col).where("kept")
-            .groupBy(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
-            .agg(F.count(F.lit(1)).alias("_copies")))
-    norm = without_ws(text_or_empty(text_col))
-    joined = docs.join(kept, F.col(id_col).eqNullSafe(F.col("_id")) & (F.sha2(norm, 256) == F.col("_sha")))
-    once = joined.where("_copies = 1").select(*docs.columns)
-    repeated = joined.where("_copies > 1").withColumn("_n", F.length(text_or_empty(text_col)))
-    # one id twice and more with the same content: its longest text, once
-    longest = repeated.groupBy("_id", "_sha").agg(F.max("_n").alias("_n"))
-    again = (repeated.join(longest.withColumnsRenamed({"_id": "_i", "_sha": "_s", "_n": "_m"}),
-                           F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_sha") == F.col("_s")) & (F.col("_n") == F.col("_m")))
-             .dropDuplicates(["_id", "_sha"]).select(*docs.columns))
-    return once.unionByName(again)
+    """The rows of ``docs`` that stay, one per group, with all their columns (packed in a struct meanwhile, so that
+    they may have any names)."""
+    path = scratch_path(docs.sparkSession, "exact-kept")
+    (_judged(docs, id_col, text_col).where("kept").groupBy("doc_id", "text_sha256", "keep_chars")
+     .agg(F.count(F.lit(1)).alias("copies")).write.parquet(path))
+    kept = docs.sparkSession.read.parquet(path)
+    text = text_or_empty(text_col)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias("id"),
+                       F.sha2(without_ws(text), 256).alias("sha"), F.length(text).alias("n"))
+    joined = rows.join(kept, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("sha") == F.col("text_sha256")) & (F.col("n") == F.col("keep_chars")))
+    once = joined.where("copies = 1").select("row.*")
+    if kept.where("copies > 1").isEmpty():
+        return once
+    # one id twice and more with the same content and length: one of them
+    return once.unionByName(joined.where("copies > 1").dropDuplicates(["doc_id", "text_sha256"]).select("row.*"))

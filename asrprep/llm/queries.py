@@ -19,10 +19,10 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP7_SQL = f"""
 WITH d AS (SELECT doc_id, {_NORM} AS norm, length(coalesce(text, '')) AS n FROM documents),
-k AS (SELECT doc_id, norm,
-        first_value(doc_id) OVER (PARTITION BY norm ORDER BY n DESC, doc_id) AS keep_id,
+k AS (SELECT doc_id, norm, n, max(n) OVER (PARTITION BY norm) AS longest,
+        first_value(doc_id) OVER (PARTITION BY norm ORDER BY n DESC, doc_id NULLS LAST) AS keep_id,
         count(*) OVER (PARTITION BY norm) AS group_size FROM d)
-SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256 FROM k
+SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AND n = longest AS kept, sha256(norm) AS text_sha256 FROM k
 """
 
 
