@@ -132,14 +132,20 @@ class Ledger:
     def unseen(self, rows: DataFrame, id_col: str = "id") -> DataFrame:
         """The rows whose id is not in the ledger (a null id never is). The rows are moved only if the seen ids are too many to
         broadcast."""
+        if self._version() == 0:
+            return rows
         seen = pin(self.seen(rows, id_col)).withColumnRenamed("id", "__seen_id")
         return rows.join(checked_broadcast(seen), F.col(id_col).cast(self.id_type) == F.col("__seen_id"), "left_anti")
 
     def add(self, ids: DataFrame, run: str, id_col: str = "id") -> None:
         """Writes the ids of a run, and filters that know them; they count once ``commit`` is called."""
-        keyed = pin(self._keyed(ids, id_col).distinct())
-        (keyed.select("id", "bucket", F.lit(run).alias("run")).repartition("bucket")
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "run").parquet(self._at("ids")))
+        keyed = self._keyed(ids, id_col).distinct().withColumn("run", F.lit(run)).repartition("bucket")
+        (keyed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "run").parquet(self._at("ids")))
+        parts = [self._at("ids", f"bucket={k}", f"run={run}") for k in range(self.buckets)]
+        parts = [p for p in parts if path_exists(self.spark, p)]
+        if not parts:
+            return
+        keyed = (self.spark.read.schema(f"id {self.id_type}, h long, bucket int").option("basePath", self._at("ids")).parquet(*parts))
         bits, old = self.filter_bits, self._filters()
         if old is None:
             old = self.spark.createDataFrame([], "bucket int, bits binary")
@@ -163,6 +169,6 @@ class Ledger:
     def compact(self) -> None:
         """Puts the ids of all committed runs together, a file a bucket. Readers see the runs' files or the new ones, never both."""
         base = f"base-{len(self._log()):09d}"
-        (self.ids().select("id", "bucket").distinct().withColumn("run", F.lit(base)).repartition("bucket")
+        (self.ids().select("id", F.xxhash64("id", F.lit(1)).alias("h"), "bucket").distinct().withColumn("run", F.lit(base)).repartition("bucket")
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "run").parquet(self._at("ids")))
         self.commit(base, "base")

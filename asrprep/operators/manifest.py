@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from asrprep.functions.text import clean_transcription, strip
 from asrprep.operators.ledger import Ledger
-from asrprep.operators.selection import any_rows, first_rows
+from asrprep.operators.selection import MERGE, any_rows, first_rows
 from asrprep.session import pin
 
 # The reject reason vocabulary, in the order the checks run.
@@ -73,6 +73,8 @@ def select_backlog(manifest: DataFrame, ledger: DataFrame | Ledger, id_col: str
     if sample_size in (None, "Full", "full"):
         return todo
     size = int(sample_size)
+    if size * todo.rdd.getNumPartitions() <= MERGE:
+        return todo.orderBy(id_col).limit(size)
     ids = pin(todo.select(id_col))
     cut = first_rows(ids, [F.col(id_col)], size).agg(F.max(id_col), F.count(F.lit(1))).collect()[0]
     if cut[1] < size:

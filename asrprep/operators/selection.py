@@ -6,6 +6,8 @@ ranked itself. The result is then a filter on the input. Rows that tie with the
 column in the same way; rows that tie in all columns, which nothing tells apart, by their place in a pinned table.
 
 A pass is one aggregate with a bounded number of cells; at most ``SMALL`` values are ever ranked in one task. Nulls come first.
+Where all partitions' first k rows together are at most ``MERGE`` rows, Spark's own top-k (ranked by partition, merged in one
+task) gives the same rows in one job and is used instead.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from pyspark.sql.types import BinaryType, ByteType, IntegerType, LongType, Short
 from asrprep.session import pin
 
 SMALL = 10_000
+MERGE = 1 << 18
 CELLS = 1 << 12
 _WHOLE = (ByteType, ShortType, IntegerType, LongType)
 _PID_SHIFT = 33
@@ -101,6 +104,8 @@ def first_rows(df: DataFrame, order: list[Column], k: int, step: int = 2) -> Dat
         return df.limit(0)
     if not order:
         return any_rows(df, k)
+    if k * df.rdd.getNumPartitions() <= MERGE:
+        return df.orderBy(*order).limit(k)
     column, rest = order[0], order[1:]
     n, nulls = df.agg(F.count(F.lit(1)), F.count_if(column.isNull())).collect()[0]
     if n <= k:
