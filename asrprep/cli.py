@@ -6,6 +6,7 @@ from ``get_spark`` (the submitted master and configuration win).
     curate INPUT.csv OUTPUT [--min-pair-freq 2] [--similarity 0.7] [--min-word-freq 3]
            [--metric sequence|edit] [--audit-out DIR] [--rejects-out DIR]
     prepare --input-csv MANIFEST.csv --out DIR [--sample-size Full|N] [--ledger-json FILE]
+            [--audio [--loader module:callable] [--features module:callable] [--vocab DIR] [--run NAME]]
     refresh-urls INPUT.csv --output OUT [--failed FAILED] [--signer module:callable] [--batch-size 1000]
     split-urls INPUT.csv --out DIR [--frac 0.7] [--seed 42] [--column PresignedURL]
     wer PAIRS [--normalize] [--ref ref] [--hyp hyp]
@@ -19,11 +20,14 @@ import json
 
 from pyspark.sql import functions as F
 
+from asrprep.functions.text import clean_transcription
 from asrprep.functions.urls import file_name, object_path, prefix_missing
-from asrprep.operators import curation, sampling, scoring
+from asrprep.operators import curation, features, labels, preparation, sampling, scoring
 from asrprep.operators.enrich import HashSigner, enrich
+from asrprep.operators.manifest import run_counters
 from asrprep.session import get_spark, pin
 from asrprep.sources import io as aio
+from asrprep.sources.locations import open_location
 from asrprep.streaming import prepare as prep
 
 
@@ -56,11 +60,36 @@ def run_prepare(args) -> None:
     if args.ledger_json:  # ids recorded by an earlier run are skipped; a named ledger must exist
         done = aio.read_ledger_json(spark, args.ledger_json)
         manifest = manifest.join(done, "id", "left_anti")
+    if args.audio:
+        _prepare_audio(spark, manifest, args)
+        return
     _, counters = prep.prepare_batch(spark, manifest, args.out, sample_size=args.sample_size,
                                      lower_case=args.lower_case, remove_punct=args.remove_punctuation)
     print(json.dumps(counters))
 
 
+def _prepare_audio(spark, manifest, args) -> None:
+    """Features and label ids as well: loader and feature function by name, the vocabulary given or made of the manifest."""
+    texts = manifest.select(clean_transcription(F.col("transcription"), args.lower_case, args.remove_punctuation).alias("transcription"))
+    vocab = spark.read.parquet(args.vocab) if args.vocab else pin(labels.build_vocab(texts))
+    loader = _named(args.loader) if args.loader else open_location
+    featurise = _named(args.features) if args.features else features.WavFeatures()
+    run = args.run or spark.sql("SELECT date_format(current_timestamp(), 'yyyyMMdd_HHmmss')").collect()[0][0]
+    preparation.prepare_features_batch(spark, manifest, args.out, run, loader, featurise, vocab, args.sample_size,
+                                       lower_case=args.lower_case, remove_punct=args.remove_punctuation,
+                                       tries=args.tries, delay=args.delay)
+    done = preparation.prepared(spark, args.out, None).where(F.col("run") == run)
+    counters = {r["outcome"]: r["n"] for r in run_counters(done).collect()}
+    print(json.dumps({"run": run, **dict(sorted(counters.items()))}))
+
+
+def _named(spec: str):
+    """``module:name``; a class is called without arguments."""
+    module, _, name = spec.partition(":")
+    found = getattr(importlib.import_module(module), name)
+    return found() if isinstance(found, type) else found
+
+
 def _load_signer(spec: str | None):
     if not spec:
         return HashSigner()
@@ -120,6 +149,13 @@ def main(argv=None) -> None:
     r.add_argument("--ledger-json")
     r.add_argument("--lower-case", action="store_true")
     r.add_argument("--remove-punctuation", action="store_true")
+    r.add_argument("--audio", action="store_true", help="load new_audio_url and write features and label ids too")
+    r.add_argument("--loader", help="module:callable, location -> bytes (default: data: and file: locations)")
+    r.add_argument("--features", help="module:callable, bytes -> (array, seconds) (default: log-Mel of WAV)")
+    r.add_argument("--vocab", help="Parquet table (word, id); default: the manifest's words")
+    r.add_argument("--run", help="name of the run (default: the time); a run that was committed is not repeated")
+    r.add_argument("--tries", type=int, default=3)
+    r.add_argument("--delay", type=float, default=5.0)
     r.set_defaults(fn=run_prepare)
 
     u = sub.add_parser("refresh-urls", help="expired URL -> object path -> new signed URL, keyed")

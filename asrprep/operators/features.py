@@ -299,3 +299,21 @@ def wav_bytes(samples, rate: int = SAMPLE_RATE):
         return pd.Series(out, dtype="object")
 
     return _encode(F.col(samples) if isinstance(samples, str) else samples)
+
+
+class WavFeatures:
+    """The feature function of the preparation job: WAV bytes -> (log-Mel, seconds) of its 16 kHz mono signal."""
+
+    def __init__(self, n_mels: int = 80, downmix: bool = False, read=read_wav):
+        self.n_mels, self.downmix, self.read = n_mels, downmix, read
+
+    def __call__(self, data: bytes):
+        from asrprep.operators.preparation import Reject
+        try:
+            samples, rate, channels = self.read(data)
+        except Exception as e:  # noqa: BLE001 - not audio
+            raise Reject("audio_undecodable") from e
+        if channels > 1 and not self.downmix:
+            raise Reject("multi_channel")
+        mono = resample(samples.mean(axis=1), rate)
+        return log_mel(mono, self.n_mels), len(mono) / SAMPLE_RATE

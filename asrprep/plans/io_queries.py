@@ -10,6 +10,7 @@ from asrprep.operators import sampling
 from asrprep.plans.stand_ins import table
 from asrprep.session import scratch_path
 from asrprep.sources import io as aio
+from asrprep.sources.locations import read_locations
 
 SEED = 42
 
@@ -46,12 +47,45 @@ def audio_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.select(number.cast("long").alias("page_id"), (F.col("length") - F.length(number) - 1).alias("length"), "status")
 
 
+class PageClient:
+    """Pages behind URLs, with the body as the location's query: one in five is gone, empty, fails twice or always fails."""
+
+    def __init__(self):
+        self.calls: dict = {}
+
+    def __call__(self, location: str) -> bytes:
+        import base64
+        kind, body = location.split("?", 1)[1].split("=", 1)
+        self.calls[location] = self.calls.get(location, 0) + 1
+        if kind == "gone":
+            raise FileNotFoundError("404")
+        if kind == "broken" or (kind == "late" and self.calls[location] % 3):
+            raise OSError("try again")
+        return b"" if kind == "empty" else base64.b64decode(body)
+
+
+def ingest_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page fetched by its location, with its name, length, status and the number of tries."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    kinds = F.array(*[F.lit(k) for k in ("gone", "empty", "late", "broken", "fine")])
+    where = F.concat(F.substring_index("url", "?", 1), F.lit("?"), F.get(kinds, (F.col("page_id") % 5).cast("int")), F.lit("="),
+                     F.base64(F.encode("html", "UTF-8")))
+    rows = pages.select("page_id", F.when(F.col("page_id") % 11 != 0, where).alias("location"))
+    return read_locations(rows, "location", PageClient, ("page_id",), delay=0, with_content=False).select(
+        "page_id", "file_name", "length", "status", "attempts")
+
+
 def train_test_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents").select("doc_id")
     return sampling.train_test_split(d, "doc_id", test_size=0.1, seed=SEED)
 
 
 ORACLES = {
+    "ingest_locations": """
+SELECT page_id, CASE WHEN page_id % 11 != 0 THEN list_extract(string_split(string_split(url, '?')[1], '/'), -1) END AS file_name,
+  CASE WHEN page_id % 11 = 0 OR page_id % 5 IN (0, 3) THEN NULL WHEN page_id % 5 = 1 THEN 0 ELSE strlen(html) END AS length,
+  CASE WHEN page_id % 11 = 0 THEN 'missing' ELSE ['missing', 'empty', 'Success', 'failed', 'Success'][page_id % 5 + 1] END AS status,
+  CASE WHEN page_id % 11 = 0 THEN 0 ELSE [1, 1, 3, 3, 1][page_id % 5 + 1] END AS attempts FROM pages""",
     "csv_by_name": "SELECT source, text, n_chars, doc_id, lang FROM documents",
     "csv_roundtrip": "SELECT doc_id, lang, text FROM documents",
     "ledger_roundtrip": "SELECT DISTINCT doc_id AS id FROM labels",
@@ -61,6 +95,7 @@ ORACLES = {
 }
 
 QUERIES = {
+    "ingest_locations": ingest_locations,
     "csv_by_name": csv_by_name,
     "csv_roundtrip": csv_roundtrip,
     "ledger_roundtrip": ledger_roundtrip,
