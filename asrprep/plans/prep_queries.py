@@ -111,6 +111,10 @@ def normalize_for_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- manifest --------------------------------------------------------------------------------
 
+# beginnings of objects: none, empty, WAV, FLAC, Ogg, MP3 with and without a tag, none of these
+AUDIO_HEADS = (None, "", "524946460000000057415645", "664C614300", "4F67675300", "49443304", "FFFB9064", "3C68746D6C3E", "5249464600000000")
+
+
 def _reasons(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
     p = table(spark, sf_dir, "pages").select(F.col("page_id").alias("doc_id"), "html")
@@ -125,6 +129,17 @@ def reject_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _reasons(spark, sf_dir).select("doc_id", "reject_reason")
 
 
+def reject_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The validity check with its own look at the audio's container, all outcomes."""
+    heads = F.array(*[F.lit(h) for h in AUDIO_HEADS])
+    k, t = (F.col("doc_id") % len(AUDIO_HEADS)).cast("int"), F.col("doc_id") % 5
+    rows = table(spark, sf_dir, "documents").select(
+        "doc_id", F.unhex(F.get(heads, k)).alias("audio"),
+        F.when(t == 1, F.lit(" \t\n")).when(t != 0, F.col("text")).alias("text"))
+    return rows.select("doc_id", manifest.audio_format("audio").alias("format"),
+                       manifest.reject_reason(F.col("audio"), F.col("text")).alias("reject_reason"))
+
+
 def reject_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.run_counters(_reasons(spark, sf_dir))
 
@@ -166,6 +181,16 @@ def refresh_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select("page_id", object_path("url").alias("path"), prefix_missing("url").alias("prefix_missing"))
 
 
+def refresh_signed_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Signed URLs as the storage gives them out, with the prefix once, twice or not at all."""
+    rest = F.substring_index("url", "/", -1)
+    signed = F.concat(F.lit("https://h.example:8443"), F.lit(SIGNED_PATH_PREFIX), F.col("page_id"), F.lit("/"), rest, F.lit("?token=a/b;c#d"))
+    twice = F.concat(F.lit(SIGNED_PATH_PREFIX), F.lit("x"), F.lit(SIGNED_PATH_PREFIX), F.col("page_id"), F.lit(".mp3;v=1"))
+    k = F.col("page_id") % 4
+    p = table(spark, sf_dir, "pages").select("page_id", F.when(k < 2, signed).when(k == 2, twice).otherwise(F.col("url")).alias("url"))
+    return p.select("page_id", object_path("url").alias("path"), prefix_missing("url").alias("prefix_missing"))
+
+
 def enrich_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = refresh_paths(spark, sf_dir).select("page_id", "path")
     out = enrich(paths, "page_id", "path", HashSigner(), out_col="new_audio_url", batch_size=1000, backoff=None)
@@ -257,6 +282,14 @@ def collate_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select("doc_id", "batch_id", _ids_string("labels").alias("labels"), "width")
 
 
+def collate_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches of which some hold a row that doesn't begin with the start token: those keep their first column."""
+    e = _encoded(spark, sf_dir)
+    e = e.withColumn("labels", F.when(F.col("doc_id") % 20 == 0, F.slice("labels", 2, F.size("labels"))).otherwise(F.col("labels")))
+    c = labels.collate(sampling.assign_batches(e, "doc_id", COLLATE_BATCH, None), "batch_id", "labels", start_id=labels.BOS_ID)
+    return c.select("doc_id", "batch_id", _ids_string("labels").alias("labels"), "width")
+
+
 _VOCAB_SQL = f"""vc AS (SELECT word, count(*) AS freq FROM (SELECT unnest(regexp_extract_all(text, {_q(_WORD)})) AS word
                                                  FROM documents) GROUP BY word),
 vocab AS (SELECT word, (row_number() OVER (ORDER BY freq DESC, word) - 1 + 4)::INTEGER AS id, freq FROM vc),
@@ -351,6 +384,20 @@ def ledger_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return led.ids().select("id", F.when(F.col("run").startswith("base"), F.lit("base")).otherwise(F.col("run")).alias("run"))
 
 
+def _collate_sql(ids: str) -> str:
+    return f"""WITH {_VOCAB_SQL},
+        b AS (SELECT doc_id, {ids} AS ids, (row_number() OVER (ORDER BY doc_id) - 1) // {COLLATE_BATCH} AS batch_id FROM enc),
+        w AS (SELECT *, max(len(ids)) OVER (PARTITION BY batch_id) AS wd,
+                        bool_and(coalesce(ids[1] = 1, false)) OVER (PARTITION BY batch_id) AS cut FROM b),
+        p AS (SELECT *, ids || list_transform(range(wd - len(ids)), lambda x: -100) AS padded FROM w)
+        SELECT doc_id, batch_id, array_to_string(CASE WHEN cut THEN padded[2:] ELSE padded END, ',') AS labels,
+               (wd - cut::INTEGER)::BIGINT AS width FROM p"""
+
+
+_HEAD_LIST = "[" + ", ".join("NULL" if h is None else f"'{h}'" for h in AUDIO_HEADS) + "]"
+_SIGNED_URL = f"""CASE WHEN page_id % 4 < 2 THEN 'https://h.example:8443{SIGNED_PATH_PREFIX}' || page_id || '/' || string_split(url, '/')[-1] || '?token=a/b;c#d'
+        WHEN page_id % 4 = 2 THEN '{SIGNED_PATH_PREFIX}x{SIGNED_PATH_PREFIX}' || page_id || '.mp3;v=1' ELSE url END"""
+
 # ---- streaming -------------------------------------------------------------------------------
 
 
@@ -413,13 +460,17 @@ SELECT id, CASE WHEN min(k) <= 2 THEN 'base' ELSE 'batch-' || min(k) END AS run
         dec AS (SELECT ex.doc_id, string_agg(coalesce(v.word, '<unk>'), ' ' ORDER BY ex.p) AS text
                 FROM ex LEFT JOIN vocab v ON v.id = ex.id GROUP BY ex.doc_id)
         SELECT d.doc_id, coalesce(dec.text, '') AS text FROM documents d LEFT JOIN dec ON dec.doc_id = d.doc_id""",
-    "collate_batches": f"""WITH {_VOCAB_SQL},
-        b AS (SELECT doc_id, ids, (row_number() OVER (ORDER BY doc_id) - 1) // {COLLATE_BATCH} AS batch_id FROM enc),
-        w AS (SELECT *, max(len(ids)) OVER (PARTITION BY batch_id) AS wd,
-                        bool_and(coalesce(ids[1] = 1, false)) OVER (PARTITION BY batch_id) AS cut FROM b),
-        p AS (SELECT *, ids || list_transform(range(wd - len(ids)), lambda x: -100) AS padded FROM w)
-        SELECT doc_id, batch_id, array_to_string(CASE WHEN cut THEN padded[2:] ELSE padded END, ',') AS labels,
-               (wd - cut::INTEGER)::BIGINT AS width FROM p""",
+    "collate_batches": _collate_sql("ids"),
+    "collate_mixed": _collate_sql("CASE WHEN doc_id % 20 = 0 THEN ids[2:] ELSE ids END"),
+    "refresh_signed_paths": "WITH " + _REFRESH_SQL.replace("FROM pages", f"FROM (SELECT page_id, {_SIGNED_URL} AS url FROM pages)")
+                            + " SELECT page_id, path, prefix_missing FROM paths",
+    "reject_formats": f"""
+WITH h AS (SELECT doc_id, {_HEAD_LIST}[doc_id % {len(AUDIO_HEADS)} + 1] AS head,
+             CASE WHEN doc_id % 5 = 1 THEN ' ' || chr(9) || chr(10) WHEN doc_id % 5 <> 0 THEN text END AS text FROM documents),
+f AS (SELECT *, CASE WHEN head LIKE '52494646________57415645%' THEN 'wav' WHEN head LIKE '664C6143%' THEN 'flac'
+             WHEN head LIKE '4F676753%' THEN 'ogg' WHEN head LIKE '494433%' OR head LIKE 'FFFB%' THEN 'mp3' END AS format FROM h)
+SELECT doc_id, format, CASE WHEN head IS NULL OR head = '' THEN 'audio_missing' WHEN format IS NULL THEN 'audio_undecodable'
+  WHEN text IS NULL THEN 'text_missing' WHEN {_sql_strip('text')} = '' THEN 'text_blank' END AS reject_reason FROM f""",
     "audio_seconds": "SELECT vec_id, len(embedding)::DOUBLE / 16000 AS input_length FROM embeddings",
     "prepare_features": f"""WITH {_VOCAB_SQL},
         m AS (SELECT vec_id AS id, vec_id % {MANIFEST_SHAPES} AS k, len(embedding) AS n, text
@@ -439,6 +490,9 @@ SELECT id, CASE WHEN min(k) <= 2 THEN 'base' ELSE 'batch-' || min(k) END AS run
 }
 
 QUERIES = {
+    "collate_mixed": collate_mixed,
+    "refresh_signed_paths": refresh_signed_paths,
+    "reject_formats": reject_formats,
     "ledger_batches": ledger_batches,
     "word_edits": word_edits,
     "corpus_wer": corpus_wer,
