@@ -276,9 +276,14 @@ def decode_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return labels.decode(_encoded(spark, sf_dir, vocab), vocab, ["doc_id"], "labels", "text")
 
 
+def _in_batches(spark, sf_dir, encoded):
+    """Only the ids are sorted and numbered; the label arrays stay where the encoding left them, by id."""
+    ids = sampling.assign_batches(table(spark, sf_dir, "documents").select("doc_id"), "doc_id", COLLATE_BATCH, None)
+    return encoded.join(ids, "doc_id")
+
+
 def collate_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = sampling.assign_batches(_encoded(spark, sf_dir), "doc_id", COLLATE_BATCH, None)
-    c = labels.collate(b, "batch_id", "labels", start_id=labels.BOS_ID)
+    c = labels.collate(_in_batches(spark, sf_dir, _encoded(spark, sf_dir)), "batch_id", "labels", start_id=labels.BOS_ID)
     return c.select("doc_id", "batch_id", _ids_string("labels").alias("labels"), "width")
 
 
@@ -286,7 +291,7 @@ def collate_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batches of which some hold a row that doesn't begin with the start token: those keep their first column."""
     e = _encoded(spark, sf_dir)
     e = e.withColumn("labels", F.when(F.col("doc_id") % 20 == 0, F.slice("labels", 2, F.size("labels"))).otherwise(F.col("labels")))
-    c = labels.collate(sampling.assign_batches(e, "doc_id", COLLATE_BATCH, None), "batch_id", "labels", start_id=labels.BOS_ID)
+    c = labels.collate(_in_batches(spark, sf_dir, e), "batch_id", "labels", start_id=labels.BOS_ID)
     return c.select("doc_id", "batch_id", _ids_string("labels").alias("labels"), "width")
 
 
