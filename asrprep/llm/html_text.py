@@ -4,7 +4,7 @@ Markup is stripped to lines: a block element begins a line, inline elements do n
 a weight: its text length, or nothing where markup says it is no content (menus, headers, footers,
 side bars, notices, adverts, forms, comments; lines that are mostly links). A noise word in passing (``has-sidebar``,
 ``related-work``) only lowers the weight, and on pages without an ``article`` or ``main`` element so do names that also name layouts or
-subjects (``sidebar``, ``related``), which inside such an element are no content; so does a place outside of the element. Weights are summed over sliding windows of ``WINDOW`` lines. Text starts where that sum surges, ends where it
+subjects (``sidebar``, ``related``), which inside such an element are no content if it holds any other text; so does a place outside of the element. Weights are summed over sliding windows of ``WINDOW`` lines. Text starts where that sum surges, ends where it
 dives to nothing or where the kind of line (plain, outside the article, loosely named) changes.
 
 A run of windows is text if it reaches ``SURGE`` characters; runs of lowered weight must also reach half of the
@@ -60,6 +60,7 @@ GENERIC = set("wrapper wrap container inner outer list area section box block it
               "buttons icon icons text content body group unit slot row col column title form info top bottom left right main this "
               "holder area zone frame thread x px".split())
 WEIGHTS = (1.0, 0.5, 0.25, 0.0)  # no name, a name in passing, a loose name, a firm name
+IN_ARTICLE = 4  # a loose name inside the article: firm if the article holds other text, else loose
 OUTSIDE = 0.125  # outside the article
 # elements that group or hold lines of the container they lie in
 PASSING = INLINE | set("p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th blockquote figure figcaption pre "
@@ -212,7 +213,7 @@ def lines_of(page: str) -> tuple[list[Line], bool]:
     buffer: list[str] = []
     stack: list[tuple[str, int, int]] = []  # name, index in WEIGHTS, container
     around = [0]  # the container around each
-    named = [0, 0, 0, 0]  # open elements of each index in WEIGHTS
+    named = [0, 0, 0, 0, 0]  # open elements of each index in WEIGHTS, and loose ones inside the article
     blocks: list[str] = []  # the open ones that are no inline elements
     opened, noisy = collections.Counter(), collections.Counter()  # open elements by name; those with an index over 1
     linked = inside = 0
@@ -224,7 +225,7 @@ def lines_of(page: str) -> tuple[list[Line], bool]:
             text = _SPACE.sub(" ", "".join(buffer)).strip()
             if text:
                 home, at_block = (stack[-1][2] if stack else 0), blocks[-1] if blocks else ""
-                lines.append(Line(text, linked, 3 if named[3] else 2 if named[2] else 1 if named[1] else 0, inside > 0,
+                lines.append(Line(text, linked, next((k for k in (3, IN_ARTICLE, 2, 1) if named[k]), 0), inside > 0,
                                   (home, around[home] if at_block == "div" else home)))
             buffer.clear()
         linked = 0
@@ -287,10 +288,10 @@ def lines_of(page: str) -> tuple[list[Line], bool]:
                 pop()
             if name in ("li", "dt", "dd", "tr", "td", "th", "option") and stack and stack[-1][0] == name:
                 pop()
-            if name in ("article", "main") and first and (named[2] or named[3]):
+            if name in ("article", "main") and first and any(named[2:]):
                 # an unclosed menu or advert doesn't hold the article, nor does a form around the page
                 if all(n == "form" or closings.after(n, at) < opened[n] for n, k in noisy.items() if k > 0):
-                    while stack and (named[2] or named[3]) and stack[-1][0] not in ("article", "main", "body"):
+                    while stack and any(named[2:]) and stack[-1][0] not in ("article", "main", "body"):
                         pop()
             elif name == "body":
                 while stack:
@@ -299,8 +300,8 @@ def lines_of(page: str) -> tuple[list[Line], bool]:
             continue
         bad = _noise(name, attrs, inside > 0, first)
         if bad == 2 and inside and (opened["article"] > 0 or at > last_article):
-            bad = 3  # the article is marked, so that density needn't tell it from what the name says
-        if name in ("article", "main") and not bad and not named[2] and not named[3]:
+            bad = IN_ARTICLE
+        if name in ("article", "main") and not bad and not any(named[2:]):
             marked, first = True, first and name == "main"
         home = stack[-1][2] if stack else 0
         if name not in PASSING:
@@ -321,6 +322,8 @@ def lines_of(page: str) -> tuple[list[Line], bool]:
 
 def main_text(page: str | None) -> str:
     lines, marked = lines_of(page or "")
+    other = any(x.inside and x.name < 2 for x in lines)
+    lines = [x._replace(name=3 if other else 2) if x.name == IN_ARTICLE else x for x in lines]
     kind = [2 if x.name == 2 else int(marked and not x.inside) for x in lines]
     weight = [0 if not x.inside and x.linked > MAX_LINK_SHARE * len(x.text)
               else WEIGHTS[x.name] * len(x.text) * (OUTSIDE if marked and not x.inside else 1) for x in lines]
