@@ -14,11 +14,11 @@ def test_oracle(spark, name):
     for t in ("documents", "pages", "labels"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF001}/{t}.parquet')")
     r = con.execute(queries.ORACLES[name])
-    cols = sorted(c[0] for c in r.description)
-    want = r.fetchdf()[cols].astype(str).sort_values(cols).reset_index(drop=True)
-    got = queries.QUERIES[name](spark, SF001).toPandas()
-    assert sorted(got.columns) == cols
-    assert got[cols].astype(str).sort_values(cols).reset_index(drop=True).equals(want)
+    cols = [c[0] for c in r.description]
+    got = queries.QUERIES[name](spark, SF001)
+    assert sorted(got.columns) == sorted(cols)
+    # rows as Python values: pandas shows whole numbers with nulls differently by origin
+    assert sorted(map(repr, (tuple(x) for x in got.select(*cols).collect()))) == sorted(map(repr, r.fetchall()))
 
 
 def test_pipeline(spark, tmp_dir):
