@@ -23,8 +23,8 @@ def url_path(url) -> Column:
 
 
 def object_path(url, strip_prefix: str = SIGNED_PATH_PREFIX, add_prefix: str = OBJECT_PREFIX) -> Column:
-    """``add_prefix + path.replace(strip_prefix, '').split('?')[0]``. When the prefix is absent the
-    path keeps its leading ``/`` (see :func:`prefix_missing`)."""
+    """The URL's path without the storage prefix, wherever it occurs, and without anything from a question mark on, below
+    ``add_prefix``. When the prefix is absent the path keeps its leading ``/`` (see :func:`prefix_missing`)."""
     rest = F.substring_index(F.replace(url_path(url), F.lit(strip_prefix), F.lit("")), "?", 1)
     return F.concat(F.lit(add_prefix), rest)
 
@@ -34,5 +34,5 @@ def prefix_missing(url, strip_prefix: str = SIGNED_PATH_PREFIX) -> Column:
 
 
 def file_name(url) -> Column:
-    """``url.split('?')[0].split('/')[-1]``."""
+    """What follows the last slash before the query of a URL."""
     return F.substring_index(F.substring_index(_c(url), "?", 1), "/", -1)
