@@ -6,13 +6,16 @@ the whole text, and a linear layer gives the logit. Slots of the embedding table
 fingerprint of the feature they belong to, so a feature not seen in training adds nothing and does
 not borrow another's vector. Max-pooling sends each gradient to one position, so training is sparse.
 
-The thresholds are calibrated by language, told from function words of the text itself: on rows of the training sample kept
-aside, each language gets the logit that separates best, drawn to the common one where it has few toxic
-rows. The score is the sigmoid of the logit less its threshold, so 0.5 is the threshold everywhere.
+The thresholds are calibrated by language, told from function words of the text itself: on a fifth of each class of the
+training sample, kept aside from everything else (choice of features, log odds, gradients), each language gets the logit that
+separates best, drawn to the common one where it has few toxic rows. With under five rows of a class none are kept aside, and
+the thresholds are those of the training rows. The score is the sigmoid of the logit less its threshold, so 0.5 is the
+threshold everywhere.
 
 Defined cases: a null text counts as empty and scores like any text without a known word; without
 any labelled row every score is 0; repeated rows score alike; an empty table gives an empty table;
-columns other than id and text are not read.
+columns other than id and text are not read. Texts of any length are scored whole; those over
+``samples.MAX_BYTES`` are left out of training only.
 """
 
 from __future__ import annotations
@@ -92,19 +95,22 @@ class Model:
         return v
 
     def pooled(self, v: np.ndarray, docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Max-pooled filter values of word number sequences; the flat sequence and argmax positions."""
+        """Max-pooled filter values of word number sequences; also the flat sequence, where each document's windows begin and
+        end in it, and the filter value of every window. The last window of a document holds padding only, so no value is below 0."""
         wide = max(WIDTHS)
         pad = np.zeros(wide, np.int64)
         flat = np.concatenate([x for d in docs for x in (d, pad)] + [pad])
-        ends = np.cumsum([len(d) + wide for d in docs])
-        starts = np.concatenate([[0], ends[:-1]])
+        rooms = np.cumsum([len(d) + wide for d in docs])
+        starts = np.concatenate([[0], rooms[:-1]])
+        ends = rooms - wide + 1  # windows from here on would reach into the next document
+        cuts = np.stack([starts, ends], axis=1).ravel()
         values, places = [], []
         for k, f in zip(WIDTHS, self.filters):
             by_word = [v @ f[j] for j in range(k)]  # a word's share is computed once, not at each place
             h = by_word[0][flat[:len(flat) - wide]]
             for j in range(1, k):
                 h = h + by_word[j][flat[j:len(flat) - wide + j]]
-            values.append(np.maximum.reduceat(h, starts, axis=0))
+            values.append(np.maximum.reduceat(h, cuts, axis=0)[::2])
             places.append(h)
         return flat, starts, ends, values, places
 
@@ -133,19 +139,58 @@ def _cut(z: np.ndarray, y: np.ndarray) -> float:
     return float(np.median(edges[best]))
 
 
+def kept_aside(y: np.ndarray) -> np.ndarray:
+    """Every fifth row of each class, for the thresholds alone; none if a class has no fifth row."""
+    aside = np.zeros(len(y), bool)
+    fifths = [np.flatnonzero(y == c)[4::5] for c in (0, 1)]
+    if all(len(f) for f in fifths):
+        aside[np.concatenate(fifths)] = True
+    return aside
+
+
+def gradients(m: Model, v: np.ndarray, docs: list[np.ndarray], y: np.ndarray, weight: np.ndarray):
+    """Gradients of the mean weighted log loss plus 5e-5 |out|^2: by the identity of ``m``'s arrays, of the output's bias, and of
+    the word vectors ``v``. A pooled value passes its gradient to the window it came from."""
+    flat, starts, ends, values, places = m.pooled(v, docs)
+    pre = np.concatenate(values, axis=1) + m.bias
+    h = np.maximum(pre, 0)
+    p = 1 / (1 + np.exp(-np.clip(h @ m.out + m.out_bias, -30, 30)))
+    g = ((p - y) * weight / len(docs)).astype(v.dtype)
+    dh = np.outer(g, m.out) * (pre > 0)
+    grads = {id(m.out): h.T @ g + 1e-4 * m.out, id(m.bias): dh.sum(0)}
+    dv = np.zeros_like(v)
+    for k, (f, place) in enumerate(zip(m.filters, places)):
+        d = dh[:, k * FILTERS:(k + 1) * FILTERS]
+        df_ = np.zeros_like(f)
+        for r in range(len(docs)):
+            live = np.flatnonzero(d[r])
+            if not len(live):
+                continue
+            spot = starts[r] + place[starts[r]:ends[r]][:, live].argmax(0)
+            for j in range(WIDTHS[k]):
+                w = flat[spot + j]
+                df_[j][:, live] += v[w].T * d[r, live]
+                np.add.at(dv, w, (f[j][:, live] * d[r, live]).T)
+        grads[id(f)] = df_
+    dv[_PAD] = 0
+    return grads, float(g.sum()), dv
+
+
 def train(texts: list[str], labels: list[int], seed: int = 7) -> Model:
     rng = np.random.default_rng(seed)
     y = np.array(labels, np.float32)
+    aside = kept_aside(y)
+    rows = np.flatnonzero(~aside)
     index: dict[str, int] = {}
     docs = [np.array([index.setdefault(w, len(index) + 1) for w in words_of(t)], np.int64) for t in texts]
     keys = np.zeros((len(index) + 1, 3), np.uint64)  # features of each word, 0: none
     for w, i in index.items():
         f = features(w)
         keys[i, :len(f)] = f
-    of_doc = [np.unique(keys[np.unique(d)]) for d in docs]  # documents count once per feature
-    found, n = np.unique(np.concatenate(of_doc), return_counts=True)
+    of_doc = {i: np.unique(keys[np.unique(docs[i])]) for i in rows}  # documents count once per feature
+    found, n = np.unique(np.concatenate(list(of_doc.values())), return_counts=True)
     toxic = np.zeros(len(found), np.int64)
-    hit, k = np.unique(np.concatenate([x for x, lab in zip(of_doc, labels) if lab] or [found[:0]]), return_counts=True)
+    hit, k = np.unique(np.concatenate([of_doc[i] for i in rows if labels[i]] or [found[:0]]), return_counts=True)
     toxic[np.searchsorted(found, hit)] = k
     del of_doc
     held = np.flatnonzero((n >= 2) & (found > 0))
@@ -157,7 +202,7 @@ def train(texts: list[str], labels: list[int], seed: int = 7) -> Model:
     prints[slot] = found[held] >> np.uint64(32)
     table = np.zeros((SLOTS, DIM), np.float32)
     table[slot] = rng.normal(0, 0.05, (len(slot), DIM))
-    n1, n0 = max(1, int(y.sum())), max(1, int((1 - y).sum()))
+    n1, n0 = max(1, int(y[rows].sum())), max(1, int((1 - y[rows]).sum()))
     # the first coordinate starts at the feature's log odds, the others at random
     a, b = toxic[held], n[held] - toxic[held]
     odds = np.log((a + 0.5) / (n1 + 1)) - np.log((b + 0.5) / (n0 + 1))
@@ -168,8 +213,6 @@ def train(texts: list[str], labels: list[int], seed: int = 7) -> Model:
     n_out = FILTERS * len(WIDTHS)
     m = Model(prints, table, filters, np.zeros(n_out, np.float32), rng.normal(0, 0.1, n_out).astype(np.float32), -1.0, {}, 0.0)
     m.out[:FILTERS] = np.abs(m.out[:FILTERS]) + 0.3
-    aside = np.arange(len(texts)) % 5 == 4
-    rows = np.flatnonzero(~aside)
     slots = [None] + m.slots(list(index))
     weight = np.where(y > 0, max(1.0, n0 / n1) ** 0.5, 1.0)
     speed = {id(p): np.zeros_like(p) for p in [m.bias, m.out, *m.filters]}
@@ -185,32 +228,11 @@ def train(texts: list[str], labels: list[int], seed: int = 7) -> Model:
             local[used] = np.arange(1, len(used) + 1)
             own = [slots[i] for i in used]
             v = m.vectors(own)
-            flat, starts, ends, values, places = m.pooled(v, [local[docs[i]] for i in take])
-            pre = np.concatenate(values, axis=1) + m.bias
-            h = np.maximum(pre, 0)
-            p = 1 / (1 + np.exp(-np.clip(h @ m.out + m.out_bias, -30, 30)))
-            g = ((p - y[take]) * weight[take] / len(take)).astype(np.float32)
-            dh = np.outer(g, m.out) * (pre > 0)
-            grads = {id(m.out): h.T @ g + 1e-4 * m.out, id(m.bias): dh.sum(0)}
-            dv = np.zeros_like(v)
-            for k, (f, place) in enumerate(zip(m.filters, places)):
-                d = dh[:, k * FILTERS:(k + 1) * FILTERS]
-                df_ = np.zeros_like(f)
-                for r in range(len(take)):
-                    live = np.flatnonzero(d[r])
-                    if not len(live):
-                        continue
-                    spot = starts[r] + place[starts[r]:ends[r]][:, live].argmax(0)
-                    for j in range(WIDTHS[k]):
-                        w = flat[spot + j]
-                        df_[j][:, live] += v[w].T * d[r, live]
-                        np.add.at(dv, w, (f[j][:, live] * d[r, live]).T)
-                grads[id(f)] = df_
+            grads, g, dv = gradients(m, v, [local[docs[i]] for i in take], y[take], weight[take])
             for q in [m.bias, m.out, *m.filters]:
                 speed[id(q)] += grads[id(q)] ** 2
                 q -= RATE * 2 * grads[id(q)] / (np.sqrt(speed[id(q)]) + 1e-6)
-            m.out_bias -= RATE * float(g.sum()) * 10
-            dv[_PAD] = 0
+            m.out_bias -= RATE * g * 10
             hit = np.flatnonzero(np.abs(dv[1:]).sum(1))
             s = np.array([x for i in hit for x in own[i]], np.int64)
             if len(s):
@@ -220,7 +242,7 @@ def train(texts: list[str], labels: list[int], seed: int = 7) -> Model:
                 np.add.at(total, inv, ds)
                 table_speed[uniq] += (total ** 2).mean(1)
                 m.table[uniq] -= 5 * RATE * total / (np.sqrt(table_speed[uniq])[:, None] + 1e-6)
-    hold = np.flatnonzero(aside) if 0 < y[aside].sum() < aside.sum() else np.arange(len(texts))
+    hold = np.flatnonzero(aside) if aside.any() else rows
     z, langs = m.logits([texts[i] for i in hold])
     langs = np.array(langs)
     m.common = _cut(z, y[hold])
@@ -235,16 +257,15 @@ def train(texts: list[str], labels: list[int], seed: int = 7) -> Model:
 def fit(docs: DataFrame, labels: DataFrame, learnable: Column, label_col: str = "toxic", id_col: str = "doc_id",
         text_col: str = "text", max_toxic: int = MAX_TOXIC, max_other: int = MAX_OTHER,
         max_words: int = MAX_WORDS) -> Model | None:
-    """Trains on at most ``max_toxic`` + ``max_other`` labelled rows for which ``learnable`` holds and
-    at most ``max_words`` words; whole texts. None without both classes."""
+    """Trains on at most ``max_toxic`` + ``max_other`` labelled rows for which ``learnable`` holds, whole texts of at most
+    ``6 * max_words`` bytes in all, each class in proportion to its rows (one text of each class at least). None without both classes."""
     known = samples.one_label(labels, label_col, id_col).where(learnable)
     got: list = []
     for lab, n in ((1, max_toxic), (0, max_other)):
         ids = samples.sample_ids(known.where(F.col("label") == lab), n, id_col)
-        got += [(zlib.crc32(str(i).encode()), t, lab) for i, t in samples.texts(docs, ids, id_col, text_col)]
+        room = 6 * max_words * n // (max_toxic + max_other)
+        got += [(zlib.crc32(str(i).encode()), t, lab) for i, t in samples.texts(docs, ids, id_col, text_col, max_total=room)]
     got.sort()
-    while got and sum(len(t) for _, t, _ in got) > 6 * max_words:
-        got = got[:int(len(got) * 0.9)]
     if len({lab for _, _, lab in got}) < 2:
         return None
     return train([t for _, t, _ in got], [lab for _, _, lab in got])
