@@ -28,12 +28,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from asrprep.llm import components
+from asrprep.operators.joins import DEFAULT_MAX_ROWS, broadcast_if_small, estimated_bytes
 from asrprep.session import pin
 
 SHINGLE = 3
 MAX_BITS = 3
 SEED = 42
 HOT_CELL = 1024
+HOT_ROOT = 1 << 20
 
 
 def fingerprint_text(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> int:
@@ -139,15 +141,29 @@ def _hot_links(cells: DataFrame, near: DataFrame, max_bits: int) -> DataFrame:
     return edges.distinct()
 
 
+def _smallest_ids(linked: DataFrame, hot_root: int = HOT_ROOT, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+    """(fp, component_id) of ``linked`` (fp, first_id, root). A component of more than ``hot_root`` members isn't shuffled by its
+    root: there are at most rows / ``hot_root`` of those, so they are broadcast. If all components together are small, all are."""
+    least = pin(linked.groupBy("root").agg(F.min("first_id").alias("component_id"), F.count(F.lit(1)).alias("n")))
+    rows, size = estimated_bytes(least)
+    small = broadcast_if_small(least, rows, size, max_rows=max_rows)
+    if small is not least:
+        return linked.join(small, "root").select("fp", "component_id")
+    hot = F.broadcast(least.where(F.col("n") > hot_root))
+    return (linked.join(hot, "root").select("fp", "component_id")
+            .unionByName(linked.join(hot.select("root"), "root", "left_anti").join(least, "root").select("fp", "component_id")))
+
+
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
                 max_bits: int = MAX_BITS, hot_cell: int = HOT_CELL) -> DataFrame:
     """One row per row of ``docs``: doc_id, fingerprint (16 hex digits), component_id."""
     prints = pin(fingerprints(docs, id_col, text_col, shingle))
     ids = prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
     roots = components.connected(links(ids.select("fp"), max_bits, hot_cell), "a", "b")  # node, root
-    named = ids.join(roots, ids["fp"] == roots["node"], "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
-    least = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    member = named.join(least, "root").select("fp", "component_id")
+    # only fingerprints with a link need their component's smallest id; the others are their own component
+    linked = pin(ids.join(roots, ids["fp"] == roots["node"]).select("fp", "first_id", "root"))
+    smallest = _smallest_ids(linked)
+    member = ids.join(smallest, "fp", "left").select("fp", F.coalesce("component_id", "first_id").alias("component_id"))
     return (prints.join(member, "fp")
             .select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"))
 
