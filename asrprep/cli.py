@@ -7,7 +7,7 @@ from ``get_spark`` (the submitted master and configuration win).
            [--metric sequence|edit] [--audit-out DIR] [--rejects-out DIR]
     prepare --input-csv MANIFEST.csv --out DIR [--sample-size Full|N] [--ledger-json FILE]
             [--audio [--loader module:callable] [--features module:callable] [--vocab DIR] [--run NAME]]
-    refresh-urls INPUT.csv --output OUT [--failed FAILED] [--signer module:callable] [--batch-size 1000]
+    refresh-urls INPUT.csv --output OUT [--failed FAILED] [--signer module:callable] [--batch-size 1000] [--journal DIR]
     split-urls INPUT.csv --out DIR [--frac 0.7] [--seed 42] [--column PresignedURL]
     wer PAIRS [--normalize] [--ref ref] [--hyp hyp]
 """
@@ -24,6 +24,7 @@ from asrprep.functions.text import clean_transcription
 from asrprep.functions.urls import file_name, object_path, prefix_missing
 from asrprep.operators import curation, features, labels, preparation, sampling, scoring
 from asrprep.operators.enrich import HashSigner, enrich
+from asrprep.operators.journal import Journal, enrich_journaled
 from asrprep.operators.manifest import run_counters
 from asrprep.session import get_spark, pin
 from asrprep.sources import io as aio
@@ -102,9 +103,16 @@ def run_refresh_urls(args) -> None:
     data = aio.read_csv(spark, args.input, "audio_url string").drop("new_audio_url", "path")
     data = data.withColumn("_row_id", F.monotonically_increasing_id())
     data = pin(data.withColumn("path", object_path("audio_url")).withColumn("prefix_missing", prefix_missing("audio_url")))
-    signed = enrich(data.select("_row_id", "path"), "_row_id", "path", _load_signer(args.signer),
-                    out_col="new_audio_url", batch_size=args.batch_size)
-    out = pin(data.join(signed.select("_row_id", "new_audio_url", "attempts", "error"), "_row_id", "left"))
+    if args.journal:  # answers of earlier runs are read back, new ones are kept as they come
+        book = Journal(spark, args.journal)
+        run = spark.sql("SELECT date_format(current_timestamp(), 'yyyyMMdd_HHmmss')").collect()[0][0]
+        out = pin(enrich_journaled(data, "path", "path", _load_signer(args.signer), book, run, "new_audio_url",
+                                   batch_size=args.batch_size))
+        book.compact()
+    else:
+        signed = enrich(data.select("_row_id", "path"), "_row_id", "path", _load_signer(args.signer),
+                        out_col="new_audio_url", batch_size=args.batch_size)
+        out = pin(data.join(signed.select("_row_id", "new_audio_url", "attempts", "error"), "_row_id", "left"))
     columns = [c for c in data.columns if c not in ("_row_id", "path", "prefix_missing", "new_audio_url")]
     aio.write_csv(out.select(*columns, "new_audio_url"), args.output)
     if args.failed:
@@ -162,6 +170,7 @@ def main(argv=None) -> None:
     u.add_argument("input")
     u.add_argument("--output", default="updated_dataset_with_presigned_urls.csv")
     u.add_argument("--failed", default="failed_rows.csv")
+    u.add_argument("--journal", help="folder for the answers; a repeated job asks only for what it lacks")
     u.add_argument("--signer", help="module:callable returning a signer(list[str]) -> list[str]")
     u.add_argument("--batch-size", type=int, default=1000)
     u.set_defaults(fn=run_refresh_urls)

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from asrprep.plans import curation_queries, io_queries, prep_queries
+from asrprep.plans import curation_queries, io_queries, lazy_queries, prep_queries
 
-_MODULES = [curation_queries, prep_queries, io_queries]
+_MODULES = [curation_queries, prep_queries, io_queries, lazy_queries]
 
 
 def queries() -> dict:
