@@ -5,6 +5,7 @@ import math
 import os
 import random
 import re
+import shutil
 import wave
 
 import numpy as np
@@ -16,6 +17,7 @@ from asrprep.functions.urls import file_name, object_path, prefix_missing
 from asrprep.operators import features, labels, manifest, sampling, scoring
 from asrprep.operators.enrich import HashSigner, enrich
 from asrprep.operators.ordering import with_global_index, with_group_index
+from asrprep.plans import prep_queries
 from asrprep.sources import io as aio
 from asrprep.streaming import prepare as stream
 from conftest import SF001
@@ -456,6 +458,23 @@ def test_stream_replayed_batch_is_not_duplicated(spark, tmp_dir):
     assert sorted(ids) == list(range(30))
 
 
+def test_stream_over_one_table_of_a_folder(spark, tmp_dir):
+    """The table may be a file, or a folder of files; tables beside it are not read."""
+    rows = spark.createDataFrame([(1, " a ", 3), (2, None, 0), (3, " \t", 2), (4, "b", 1), (4, "b", 1), (None, "c", 1)],
+                                 "doc_id long, text string, n_chars long")
+    for name in ("folder", "file"):
+        sf = os.path.join(tmp_dir, name)
+        rows.repartition(3).write.parquet(os.path.join(sf, "documents.parquet"))
+        spark.range(5).write.parquet(os.path.join(sf, "pages.parquet"))
+        rows.write.parquet(os.path.join(sf, "my_documents.parquet"))
+    table = os.path.join(tmp_dir, "file", "documents.parquet")
+    shutil.move(table, table + "-was")
+    rows.toPandas().astype({"doc_id": "Int64"}).to_parquet(table, index=False)
+    for name in ("folder", "file"):
+        got = prep_queries.stream_prepare(spark, os.path.join(tmp_dir, name)).collect()
+        assert sorted(map(tuple, got), key=str) == sorted([(1, "a", 3), (4, "b", 1), (4, "b", 1), (None, "c", 1)], key=str)
+
+
 def test_normalizer_nfkc_option(spark):
     import unicodedata
     texts = ["ﬁnal Ｔｅｘｔ ①", "café", "x²"]
