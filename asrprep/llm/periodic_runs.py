@@ -14,8 +14,8 @@ takes in the order of ``n log n`` comparisons.
 
 Catchers compare names of word windows, where the name of a window of 2s words comes from those of its
 halves; equal names are only a hint, the words themselves are compared before anything is reported. The
-appended words of all catchers of a level are taken together as array operations, and the rows of an Arrow
-batch are one stream of words, in which a separator that occurs once stands between rows. No shuffle; a
+appended words of all catchers of a level are taken together as array operations, and rows of about a megabyte
+of an Arrow batch are one stream of words, in which a separator that occurs once stands between rows. No shuffle; a
 text is one task's, its memory some 60 bytes a word.
 
 Defined cases: a null or empty text has no words and no runs; very long texts are taken alone and whole; repeated
@@ -36,7 +36,9 @@ from pyspark.sql import functions as F
 from asrprep.llm.wordcols import slices, space_table, words
 
 #: Comparisons held at once.
-TILE = 1 << 20
+TILE = 1 << 18
+#: Bytes of text taken as one stream (a longer text alone): its arrays take some 25 times as much.
+STREAM_BYTES = 1 << 20
 #: Words compared for all hits together before the remaining ones are followed one by one.
 TRIAL = 12
 RUN = pa.struct([("start", pa.int64()), ("length", pa.int64()), ("period", pa.int64())])
@@ -181,17 +183,18 @@ def _of_slice(part: pa.RecordBatch, min_words: int, table: np.ndarray) -> pa.Rec
                                       names=["doc_id", "n_words", "runs", "collapsed"])
 
 
+def _of_batches(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordBatch]:
+    table = space_table()
+    for batch in batches:
+        for part in slices(batch, 1, STREAM_BYTES):
+            yield _of_slice(part, min_words, table)
+
+
 def periodic_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 12) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, runs (array of start, length, period, by start and period, words from
     0) and collapsed (the words joined by one space, of each run only the first period)."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = space_table()
-        for batch in batches:
-            for part in slices(batch, 1):
-                yield _of_slice(part, min_words, table)
-
-    return rows.mapInArrow(run, f"doc_id {kind}, n_words long, runs array<struct<start: long, length: long, period: long>>, "
-                                "collapsed string")
+    return rows.mapInArrow(lambda batches: _of_batches(batches, min_words), f"doc_id {kind}, n_words long, "
+                           "runs array<struct<start: long, length: long, period: long>>, collapsed string")

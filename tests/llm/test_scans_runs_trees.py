@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 
 import duckdb
@@ -189,6 +190,21 @@ def test_runs_of_awkward_and_long_texts(spark, awkward, empty):
     assert [tuple(r) for r in periodic_runs.periodic_runs(one).select("runs").first()["runs"]] == [(0, 600_000, 2)]
 
 
+def test_runs_take_a_large_batch_in_bounded_memory():
+    """Five megabytes in one Arrow batch: the same rows as from small batches, and arrays of a megabyte's size only."""
+    rng = random.Random(5)
+    texts = [" ".join(rng.choice("ab cd ef gh".split()) + str(rng.randrange(30)) for _ in range(400)) + " x y" * 20 for _ in range(3000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["doc_id", "text"])
+    assert batch.nbytes > 5 << 20
+    tracemalloc.start()
+    got = [b.num_rows for b in periodic_runs._of_batches(iter([batch]), 12)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(got) == len(texts) and peak < 64 << 20
+    few = [b.to_pylist() for n in (1, 40) for b in periodic_runs._of_batches((batch.slice(i, n) for i in range(0, 40, n)), 12)]
+    assert [r for b in few[:-1] for r in b] == few[-1] and all(r["runs"] for r in few[-1])
+
+
 def brute_op12(rows):
     out = []
     for r in rows:
