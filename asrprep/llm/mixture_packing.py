@@ -13,7 +13,8 @@ which is carried to the next window, and from one group of documents to the next
    its group: each group holds every source in its target share, however the table is sorted. Documents aren't
    split over groups, so a group's shares are off by up to a document of each source.
 3. The deficits with which a group starts follow from the counts of the groups before it (a
-   running sum per source over a small table), so groups are packed independently.
+   running sum per source over a small table), so groups are packed independently, by their documents' token
+   counts alone. The ids don't go with a group: they meet their document's pieces in a join, a document a row.
 4. Each group's windows are full, but for the last: the rest is cut into windows whose sizes are
    powers of two. So there is no padding at all.
 
@@ -51,6 +52,8 @@ GROUP_TOKENS = 8 << 20  # more groups than input partitions if groups would exce
 _IDS = "part int, pos long, source string, doc_id {id}, before long, n_tokens long, ids binary"
 _OUT = ("doc_id {id}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
         "offset long, source string")
+_PIECE = pa.struct([("start", pa.int64()), ("length", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64())])
+_PLACED = "part int, pos long, pieces array<struct<start: long, length: long, sequence_id: long, offset: long>>"
 _BATCH_CHARS = 4 << 20
 
 
@@ -132,35 +135,49 @@ def round_robin(left: np.ndarray, share: np.ndarray, deficit: np.ndarray, sizes:
     return takes, deficit
 
 
-def pack_group(rows: pd.DataFrame, carry: pd.DataFrame, length: int) -> pd.DataFrame:
-    """Pieces of one group's documents. ``carry``: source, share, deficit."""
-    rows = rows.sort_values(["part", "pos"])
-    group = int(rows["grp"].iloc[0])
+def lay_out(rows: pa.Table, carry: pd.DataFrame, length: int) -> pa.Table:
+    """The pieces of one group's documents (grp, part, pos, source, n_tokens), a list for each. ``carry``: source, share,
+    deficit."""
+    rows = rows.sort_by([("part", "ascending"), ("pos", "ascending")]).combine_chunks()
+    group = rows["grp"][0].as_py()
     names = carry["source"].fillna("\0null").tolist()
     index = {s: i for i, s in enumerate(names)}
-    queue_of = rows["source"].fillna("\0null").map(index).to_numpy()
+    queue_of = rows["source"].to_pandas().fillna("\0null").map(index).to_numpy()
     n_tokens = rows["n_tokens"].to_numpy()
     left = np.bincount(queue_of, weights=n_tokens, minlength=len(names)).astype(np.int64)
     share = carry["share"].to_numpy(float)
     takes, _ = round_robin(left, share / share.sum(), carry["deficit"].to_numpy(float), window_sizes(int(left.sum()), length))
     w, s, off, t = np.array(takes, np.int64).reshape(-1, 4).T
-    out, doc_ids = [], rows["doc_id"].to_numpy(object)
-    blobs = rows["ids"].tolist()
+    out = []
     for q in np.unique(queue_of):
         docs, mine = np.flatnonzero(queue_of == q), np.flatnonzero(s == q)
-        ids = np.concatenate([_wide(blobs[d]) for d in docs])
-        raw = memoryview(ids.tobytes())
         starts = np.concatenate([[0], np.cumsum(n_tokens[docs])])
         begins = np.concatenate([[0], np.cumsum(t[mine])])
         cuts = np.unique(np.concatenate([starts, begins]))  # at document and at window borders
         a, b = cuts[:-1], cuts[1:]
         d, k = np.searchsorted(starts, a, "right") - 1, np.searchsorted(begins, a, "right") - 1
-        out.append(pd.DataFrame({
-            "doc_id": doc_ids[docs[d]], "start": a - starts[d], "length": b - a,
-            "ids_crc32": [zlib.crc32(raw[4 * x:4 * y]) for x, y in zip(a.tolist(), b.tolist())],
-            "doc_tokens": n_tokens[docs[d]], "sequence_id": (group << 32) + w[mine[k]],
-            "offset": off[mine[k]] + a - begins[k], "source": [rows["source"].iloc[docs[0]]] * len(a)}))
-    return pd.concat(out, ignore_index=True)
+        out.append((docs[d], a - starts[d], b - a, (group << 32) + w[mine[k]], off[mine[k]] + a - begins[k]))
+    doc, *fields = map(np.concatenate, zip(*out))
+    order = np.argsort(doc, kind="stable")
+    values = pa.StructArray.from_arrays([pa.array(x[order], pa.int64()) for x in fields], fields=list(_PIECE))
+    ends = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=len(n_tokens)))])
+    return pa.table({"part": rows["part"], "pos": rows["pos"], "pieces": pa.ListArray.from_arrays(ends.astype(np.int32), values)})
+
+
+def checksums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row per piece, with the checksum of its ids, from rows (doc_id, source, n_tokens, ids, pieces)."""
+    for b in batches:
+        lists = b.column("pieces")
+        of, flat = lists.value_parent_indices(), lists.flatten()
+        start, length, sequence, offset = (flat.field(f.name) for f in _PIECE)
+        crcs, at, borders = [], 0, list(zip(start.to_pylist(), length.to_pylist()))
+        for ids, n in zip(b.column("ids"), lists.value_lengths().to_pylist()):
+            raw = memoryview(_wide(ids.as_py())).cast("B")
+            crcs += [zlib.crc32(raw[4 * x:4 * (x + m)]) for x, m in borders[at:at + n]]
+            at += n
+        yield pa.RecordBatch.from_arrays(
+            [b.column("doc_id").take(of), start, length, pa.array(crcs, pa.int64()), b.column("n_tokens").take(of), sequence,
+             offset, b.column("source").take(of)], names=[x.split()[0] for x in _OUT.split(", ")])
 
 
 def with_group(ids: DataFrame, counts: DataFrame, total: int, groups: int, targets: dict[str, float] | None) -> DataFrame:
@@ -201,7 +218,8 @@ def pack(docs: DataFrame, tokenizer: str | None = None, length: int = LENGTH, en
     counts = pin(spark.read.parquet(path).groupBy("part", "source").agg(F.sum("n_tokens").alias("n")))
     total, parts = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_distinct("part")).collect()[0]
     groups = max(1, parts, math.ceil(total / GROUP_TOKENS))
-    ids, sizes = (with_group(spark.read.parquet(path), counts, total, groups, targets) for _ in range(2))
+    documents, sizes = (with_group(spark.read.parquet(path).select("part", "pos", "source", "before", "n_tokens"), counts, total,
+                                   groups, targets) for _ in range(2))
     shares = counts.groupBy("source").agg(F.sum("n").alias("all"))
     if targets:
         weight = F.create_map(*[x for k, v in targets.items() for x in (F.lit(k), F.lit(float(v)))])
@@ -218,16 +236,17 @@ def pack(docs: DataFrame, tokenizer: str | None = None, length: int = LENGTH, en
     shares = shares.select(F.col("source").alias("_source"), (F.col("all") / F.lit(float(grand))).alias("share"))
     carry = (mine.join(shares, F.col("source").eqNullSafe(F.col("_source"))).join(totals, "grp")
              .select("grp", "source", "share", (F.col("share") * F.col("all_before") - F.col("gave")).alias("deficit")))
-    id_type = docs.schema[id_col].dataType.simpleString()
 
-    def each(rows: pd.DataFrame, start: pd.DataFrame) -> pd.DataFrame:
-        if rows.empty:
-            return pd.DataFrame({c: [] for c in names})
-        here = start.sort_values("source")
+    def each(rows: pa.Table, start: pa.Table) -> pa.Table:
+        if not rows.num_rows:
+            return pa.table({"part": pa.array([], pa.int32()), "pos": pa.array([], pa.int64()), "pieces": pa.array([], pa.list_(_PIECE))})
+        here = start.to_pandas().sort_values("source")
         if here["share"].sum() <= 0:
             here = here.assign(share=1.0)
-        return pack_group(rows, here, length)
+        return lay_out(rows, here, length)
 
-    schema = _OUT.format(id=id_type)
-    names = [x.split()[0] for x in schema.split(", ")]
-    return ids.groupBy("grp").cogroup(carry.groupBy("grp")).applyInPandas(each, schema)
+    # groups hold no ids, only their numbers; each document's ids then meet its pieces, row by row
+    placed = documents.groupBy("grp").cogroup(carry.groupBy("grp")).applyInArrow(each, _PLACED)
+    rows = spark.read.parquet(path).select("part", "pos", "doc_id", "source", "n_tokens", "ids").join(placed, ["part", "pos"])
+    return (rows.select("doc_id", "source", "n_tokens", "ids", "pieces")
+            .mapInArrow(checksums, _OUT.format(id=docs.schema[id_col].dataType.simpleString())))

@@ -275,6 +275,17 @@ def test_mixture_of_a_table_sorted_by_source(spark, targets):
     assert len(full) > 20 and all(abs(w[s] / 120 - share[s]) <= 0.1 for w in full for s in n)
 
 
+def test_mixture_packing_groups_hold_no_ids(spark, awkward):
+    """What is brought together for a group are numbers of its documents, however long those are."""
+    plan = mixture_packing.pack(awkward, length=64)._jdf.queryExecution().optimizedPlan()
+    groups = [plan]
+    while groups and not groups[0].nodeName().startswith("FlatMapCoGroupsIn"):
+        node = groups.pop(0)
+        groups += [node.children().apply(k) for k in range(node.children().size())]
+    sides = [groups[0].children().apply(k).schema().simpleString() for k in range(2)]
+    assert all("binary" not in side and "ids" not in side for side in sides), sides
+
+
 def test_round_robin_keeps_shares():
     left, share = np.array([50_000, 30_000, 20_000]), np.array([0.5, 0.3, 0.2])
     takes, deficit = mixture_packing.round_robin(left, share, np.zeros(3), [100] * 1000)
