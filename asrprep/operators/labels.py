@@ -1,9 +1,10 @@
 """Vocabulary label encoding, decoding and batch collation.
 
 The vocabulary replaces a pretrained BPE tokenizer: words ranked by corpus frequency (ties by word)
-after the special ids. Encoding explodes words with their position, joins the vocabulary (a shuffle
-join on the word; AQE broadcasts the vocabulary when it is measured small, or splits hot words'
-partitions), and regroups per row (a group is one row's own words).
+after the special ids. Encoding explodes words with their position, joins the vocabulary and regroups per row
+(a group is one row's own words). A vocabulary that is measured small is broadcast. Of a larger one the smallest ids, the
+most frequent words, are broadcast: they answer most tokens where those are, and only tokens of the other words, none of
+them hot, are shuffled to the rest of the vocabulary.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from asrprep.functions.text import words as words_expr
-from asrprep.operators.joins import checked_broadcast
+from asrprep.operators.joins import DEFAULT_MAX_BYTES, DEFAULT_MAX_ROWS, checked_broadcast, estimated_bytes
 from asrprep.operators.ordering import with_global_index
 
 # Special tokens and ids, and the loss-masking pad label.
@@ -33,6 +34,20 @@ def build_vocab(df: DataFrame, text_col: str = "transcription", lower_case: bool
     return ranked.select("word", (F.col("_r") + F.lit(N_SPECIAL)).cast("int").alias("id"), F.col("freq").cast("long"))
 
 
+def _look_up(toks: DataFrame, vocab: DataFrame, by: str, value: str, max_bytes: int = DEFAULT_MAX_BYTES,
+             max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+    """``toks`` left-joined with ``vocab`` (word, _vid) on ``by``; ``value`` is the other column, null where there is none."""
+    n, size = estimated_bytes(vocab)
+    if n <= max_rows and size <= max_bytes:
+        return toks.join(F.broadcast(vocab), by, "left")
+    share = min(max_rows / n, max_bytes / size)  # frequent words are rather short, so about this many fit
+    frequent = F.col("_vid") < F.lit(N_SPECIAL + int(0.8 * share * n))
+    near = toks.join(checked_broadcast(vocab.where(frequent), max_bytes, max_rows), by, "left")
+    open_ = F.col(by).isNotNull() & F.col(value).isNull()
+    far = near.where(open_).drop(value).join(vocab.where(~frequent), by, "left")
+    return near.where(~open_).unionByName(far)
+
+
 def encode(df: DataFrame, vocab: DataFrame, key_cols: list[str], text_col: str = "transcription",
            lower_case: bool = False, add_bos: bool = True, add_eos: bool = True, out_col: str = "labels") -> DataFrame:
     """``out_col`` = [bos] + word ids (unknown words -> unk) + [eos] for every row.
@@ -40,9 +55,7 @@ def encode(df: DataFrame, vocab: DataFrame, key_cols: list[str], text_col: str =
     ``posexplode_outer`` keeps rows without words as one null token, so the regrouping covers every
     row and no join back to the input is needed."""
     toks = df.select(*key_cols, F.posexplode_outer(words_expr(F.col(text_col), lower=lower_case)).alias("p", "word"))
-    # hot words ("the") would skew a shuffle join on the word: broadcast the vocabulary when its
-    # counted size allows, else the shuffle join with AQE skew splitting
-    joined = toks.join(checked_broadcast(vocab.select("word", F.col("id").alias("_vid"))), "word", "left")
+    joined = _look_up(toks, vocab.select("word", F.col("id").alias("_vid")), "word", "_vid")
     # position and id in one long: a third of a struct's size in the shuffle, and sorted as numbers
     item = F.when(F.col("word").isNotNull(), F.shiftleft(F.col("p").cast("long"), 32)
                   .bitwiseOR(F.coalesce("_vid", F.lit(UNK_ID)).cast("long")))
@@ -60,7 +73,7 @@ def decode(df: DataFrame, vocab: DataFrame, key_cols: list[str], labels_col: str
     """Ids back to text: ``-100`` first mapped to pad, special ids skipped, words joined by one space."""
     ids = F.transform(labels_col, lambda x: F.when(x == IGNORE_INDEX, F.lit(PAD_ID)).otherwise(x))
     toks = df.select(*key_cols, F.posexplode_outer(F.filter(ids, lambda x: x >= N_SPECIAL)).alias("p", "_vid"))
-    joined = toks.join(checked_broadcast(vocab.select("word", F.col("id").alias("_vid"))), "_vid", "left")
+    joined = _look_up(toks, vocab.select("word", F.col("id").alias("_vid")), "_vid", "word")
     item = F.when(F.col("_vid").isNotNull(), F.struct("p", F.coalesce("word", F.lit(UNK)).alias("w")))
     per_row = joined.groupBy(*key_cols).agg(F.array_sort(F.collect_list(item)).alias("_w"))
     return per_row.select(*key_cols, F.array_join(F.transform("_w", lambda s: s["w"]), " ").alias(out_col))
